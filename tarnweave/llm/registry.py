@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chatformat, qualityrules
+from . import chatformat, langid, pii, qualityrules
 
 
 def queries() -> dict:
     return {
+        "op3_pii": pii.op3_pii,
+        "op5_language_id": langid.op5_language_id,
         "op6_chat_formatting": chatformat.op6_chat_formatting,
         "op10_quality_rules": qualityrules.op10_quality_rules,
     }
