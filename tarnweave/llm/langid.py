@@ -273,18 +273,19 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(run, f"{fields}, {extra}")
 
 
-def calibrate(scored: DataFrame, quantile: float = 0.9995, slack: float = 1.5) -> dict[str, tuple[float, float]]:
-    """Per language mean entropy and least rejected excess, in bits times the root of the length.
+def calibrate(scored: DataFrame, quantile: float = 0.9995, slack: float = 1.5, least: float = 1.5) -> dict[str, tuple[float, float]]:
+    """Per language mean entropy and least rejected excess over it, in bits a symbol.
 
-    Excesses of all rows go through a histogram of quarter bits, whose size is bounded.
+    Excesses of all rows go through a histogram of bounded size; the limit is their quantile
+    times a slack and at least ``least``, so texts of the kind that was learnt from are kept.
     """
     seen = scored.where("entropy IS NOT NULL")
     stats = seen.groupBy("lang_pred").agg((F.sum(F.col("entropy") * F.col("n_symbols")) / F.sum("n_symbols")).alias("mean"))
     mean = {r.lang_pred: r["mean"] for r in stats.collect()}  # one row a language
     if not mean:
         return {}
-    excess = F.greatest((F.col("entropy") - _pick(mean)) * F.sqrt("n_symbols"), F.lit(0.0))
-    bins = seen.groupBy("lang_pred", F.least(F.floor(excess * 4), F.lit(4096)).alias("b")).count().collect()
+    excess = F.greatest(F.col("entropy") - _pick(mean), F.lit(0.0))
+    bins = seen.groupBy("lang_pred", F.floor(excess * 32).alias("b")).count().collect()
     out = {}
     for name, m in mean.items():
         own = sorted((r["b"], r["count"]) for r in bins if r.lang_pred == name)
@@ -292,7 +293,7 @@ def calibrate(scored: DataFrame, quantile: float = 0.9995, slack: float = 1.5) -
         for b, c in own:
             run += c
             if run >= quantile * total:
-                out[name] = (m, slack * (b + 1) / 4)
+                out[name] = (m, max(least, slack * (b + 1) / 32))
                 break
     return out
 
@@ -309,7 +310,7 @@ def identify(docs: DataFrame, model: Model | None, limits: dict[str, tuple[float
     scored = score(docs, model)
     if limits is None:
         limits = calibrate(score(docs.select("text"), model))
-    excess = (F.col("entropy") - _pick({k: v[0] for k, v in limits.items()})) * F.sqrt("n_symbols")
+    excess = F.col("entropy") - _pick({k: v[0] for k, v in limits.items()})
     over = F.coalesce(excess > _pick({k: v[1] for k, v in limits.items()}), F.lit(False))
     return scored.withColumn("rejected", F.col("entropy").isNull() | over)
 
