@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chatformat, langid, pii, qualityrules
+from . import chatformat, decontaminate, langid, pii, qualityrules, resample
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op3_pii": pii.op3_pii,
         "op5_language_id": langid.op5_language_id,
         "op6_chat_formatting": chatformat.op6_chat_formatting,
+        "op8_decontamination": decontaminate.op8_decontamination,
+        "op9_quality_classifier": resample.op9_quality_classifier,
         "op10_quality_rules": qualityrules.op10_quality_rules,
     }
 
