@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chatformat, decontaminate, langid, pii, qualityrules, resample
+from . import chatformat, decontaminate, langid, ngramjoin, pii, qualityrules, resample
 
 
 def queries() -> dict:
     return {
+        "op1_ngram_jaccard_join": ngramjoin.op1_ngram_jaccard_join,
         "op3_pii": pii.op3_pii,
         "op5_language_id": langid.op5_language_id,
         "op6_chat_formatting": chatformat.op6_chat_formatting,
