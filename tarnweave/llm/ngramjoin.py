@@ -180,11 +180,11 @@ def _runs(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "token long, a long, b long, n long")
 
 
-def _position(id_column: str):
+def id_position(id_column: str):
     return F.shiftrightunsigned(F.xxhash64(id_column), 64 - FILTER_BITS)
 
 
-def _filter(ids: DataFrame) -> np.ndarray:
+def id_filter(ids: DataFrame) -> np.ndarray:
     """Packed bit array of fixed size in which the bit of every id is on."""
 
     def run(batches):
@@ -198,7 +198,7 @@ def _filter(ids: DataFrame) -> np.ndarray:
         )
 
     out = np.zeros((1 << (FILTER_BITS - 19), 1 << 16), np.uint8)
-    at = ids.select(_position("id").alias("p"))
+    at = ids.select(id_position("id").alias("p"))
     rows = at.repartition(1 << (FILTER_BITS - 19), F.shiftright("p", 19)).mapInArrow(run, "part long, bits binary")
     for part, x in rows.coalesce(8).collect():  # 2**FILTER_BITS bits
         out[part] |= np.frombuffer(x, np.uint8)
@@ -207,7 +207,7 @@ def _filter(ids: DataFrame) -> np.ndarray:
 
 def _members(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
     """Ordered sets of the documents with these ids, computed from their texts again."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter(ids))
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def run(batches):
         for batch in batches:
@@ -220,7 +220,7 @@ def _members(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
                         [rows.column("doc_id").cast(pa.int64()).take(pa.array(i, pa.int64())), pa.array([x.tobytes() for x in t], pa.binary())], ["id", "t"]
                     )
 
-    placed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _position("doc_id").alias("p"))
+    placed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", id_position("doc_id").alias("p"))
     sets = placed.mapInArrow(run, "id long, t binary")
     return sets.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
 

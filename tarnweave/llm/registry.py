@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chatformat, decontaminate, langid, ngramjoin, pii, qualityrules, resample
+from . import chatformat, decontaminate, langid, ngramjoin, pii, qualityrules, resample, suffixdedup
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_pii": pii.op3_pii,
         "op5_language_id": langid.op5_language_id,
         "op6_chat_formatting": chatformat.op6_chat_formatting,
+        "op7_suffix_array_dedup": suffixdedup.op7_suffix_array_dedup,
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_quality_classifier": resample.op9_quality_classifier,
         "op10_quality_rules": qualityrules.op10_quality_rules,
