@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chatformat, decontaminate, langid, ngramjoin, pii, qualityrules, resample, suffixdedup
+from . import chatformat, decontaminate, langid, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
 
 
 def queries() -> dict:
     return {
         "op1_ngram_jaccard_join": ngramjoin.op1_ngram_jaccard_join,
+        "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_pii": pii.op3_pii,
         "op5_language_id": langid.op5_language_id,
         "op6_chat_formatting": chatformat.op6_chat_formatting,
