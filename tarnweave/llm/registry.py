@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chatformat, decontaminate, langid, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
+from . import chatformat, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_ngram_jaccard_join": ngramjoin.op1_ngram_jaccard_join,
         "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_pii": pii.op3_pii,
+        "op4_lm_scoring": lmscore.op4_lm_scoring,
         "op5_language_id": langid.op5_language_id,
         "op6_chat_formatting": chatformat.op6_chat_formatting,
         "op7_suffix_array_dedup": suffixdedup.op7_suffix_array_dedup,
