@@ -254,7 +254,8 @@ def detect(df: DataFrame, precision: float = 0.9) -> DataFrame:
 
 def redact(df: DataFrame, precision: float = 0.9) -> DataFrame:
     """``df`` with every span of ``text`` replaced by its kind in square brackets; null stays null."""
-    found = detect(df.withColumn("_null", F.col("text").isNull()), precision)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "text"])  # whatever their names
+    found = detect(df.select(row.alias("_rest"), "text", F.col("text").isNull().alias("_null")), precision)
     # overlapping spans: each starts where the ones before it have ended
     cut = F.transform(
         "spans",
@@ -282,7 +283,7 @@ def redact(df: DataFrame, precision: float = 0.9) -> DataFrame:
     tail = F.coalesce(F.array_max("reach"), F.lit(0))
     new = F.concat(body, F.substring("text", tail + 1, F.greatest(F.length("text") - tail, F.lit(0))))
     new = F.when(F.col("_null"), F.lit(None)).when(F.size("spans") == 0, F.col("text")).otherwise(new)
-    return a.withColumn("text", new).select(*df.columns)
+    return a.select(*[new.alias("text") if c == "text" else F.col(f"_rest.`{c}`") for c in df.columns])
 
 
 def _joined(spans: str) -> Column:

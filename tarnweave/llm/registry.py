@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import chatformat, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
 
 
@@ -17,6 +19,7 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_quality_classifier": resample.op9_quality_classifier,
         "op10_quality_rules": qualityrules.op10_quality_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
