@@ -1,3 +1,408 @@
 """Anomaly rules, codes and names, linkage, vectors, entity search, adapters and incremental loads."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tarnweave.functions import codes
+from tarnweave.operators import anomalies, linkage, lookup, network, vectors
+from tarnweave.operators.records import insert_absent
+
+from .registry import query
+from .relational import PATH, PRICE, M, awards
+
+c = F.col
+
+
+def paths(t, home: str = "o_custkey"):
+    """Award paths: one row per order line, direct where the line came back."""
+    return awards(t).select(
+        c(home).alias("sa"), c("l_suppkey").alias("imp"), c("o_orderkey").alias("lot"), c("l_extendedprice").alias("amount"),
+        (c("l_returnflag") == "R").alias("direct"), c("l_returnflag").alias("code"),
+    )
+
+
+def nation_paths(t):
+    return awards(t).join(t.customer, c("o_custkey") == c("c_custkey")).select(
+        c("c_nationkey").alias("sa"), c("l_suppkey").alias("imp"), c("o_orderkey").alias("lot"), c("l_extendedprice").alias("amount"),
+        (c("l_returnflag") == "R").alias("direct"), c("l_returnflag").alias("code"),
+    )
+
+
+RF1 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n, {PRICE} AS total, CASE WHEN count(DISTINCT o_orderkey) >= 5 THEN 'high' ELSE 'medium' END AS severity FROM {PATH} WHERE l_returnflag = 'R' GROUP BY ALL HAVING count(DISTINCT o_orderkey) >= 3"
+RF2 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n, {PRICE} AS total, max(l_extendedprice) AS largest, CASE WHEN {PRICE} > 100000 THEN 'high' ELSE 'medium' END AS severity FROM {PATH} WHERE l_returnflag = 'R' AND l_extendedprice > 0 AND l_extendedprice < 40000 GROUP BY ALL HAVING count(DISTINCT o_orderkey) >= 2 AND {PRICE} > 40000"
+RF3 = f"WITH p AS (SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n FROM {PATH} GROUP BY ALL), q AS (SELECT o_custkey AS sa, count(DISTINCT o_orderkey) AS lots FROM {PATH} GROUP BY 1) SELECT sa, imp, n, lots, round(n / lots, 6) AS share, CASE WHEN n / lots > 0.8 THEN 'high' ELSE 'medium' END AS severity FROM p JOIN q USING (sa) WHERE lots >= 3 AND n / lots > 0.5"
+RF4 = "SELECT l_orderkey AS lot, count(*) AS n, CASE WHEN count(*) > 6 THEN 'high' ELSE 'medium' END AS severity FROM lineitem GROUP BY 1 HAVING count(*) > 3"
+RF5 = "SELECT l_orderkey AS lot, count(*) AS n, CASE WHEN count(*) > 1 THEN 'high' ELSE 'low' END AS severity FROM lineitem WHERE l_returnflag IN ('A', 'M1') GROUP BY 1"
+RF6 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(*) FILTER (l_returnflag = 'A') AS n_first, count(*) FILTER (l_returnflag = 'R') AS n_second, 'medium' AS severity FROM {PATH} GROUP BY ALL HAVING n_first >= 1 AND n_second >= 1"
+RF7 = f"WITH p AS (SELECT l_suppkey AS imp, c_nationkey AS sa, count(*) AS n, {PRICE} AS total FROM {PATH} JOIN customer ON o_custkey = c_custkey WHERE l_extendedprice > 0 AND l_extendedprice < 500000000 GROUP BY ALL), x AS (SELECT *, sum(total) OVER (PARTITION BY imp) AS whole FROM p) SELECT imp, sa, n, total, round(total / whole, 6) AS share, CASE WHEN total / whole >= 0.09 THEN 'high' ELSE 'medium' END AS severity FROM x WHERE whole > 10000 AND total / whole >= 0.07 AND n >= 3"
+
+
+@query("rf1_recurrent_pairs", RF1)
+def rf1(t):
+    return anomalies.recurrent_pairs(paths(t))
+
+
+@query("rf2_split_awards", RF2)
+def rf2(t):
+    return anomalies.split_awards(paths(t))
+
+
+@query("rf3_dominant_winner", RF3)
+def rf3(t):
+    return anomalies.dominant_winner(paths(t))
+
+
+def _notices(t):
+    return t.lineitem.select(c("l_orderkey").alias("lot"), c("l_returnflag").alias("code"))
+
+
+@query("rf4_many_notices", RF4)
+def rf4(t):
+    return anomalies.many_notices(_notices(t))
+
+
+@query("rf5_changed_contracts", RF5)
+def rf5(t):
+    return anomalies.changed_contracts(_notices(t), ("A", "M1"))
+
+
+@query("rf6_both_procedures", RF6)
+def rf6(t):
+    return anomalies.both_procedures(paths(t), ("A",), ("R",))
+
+
+@query("rf7_client_capture", RF7)
+def rf7(t):
+    return anomalies.captured_client(nation_paths(t), share=0.07, high=0.09)
+
+
+_ALL = " UNION ALL ".join(f"SELECT '{k}' AS rule, severity FROM ({q})" for k, q in (("rf1", RF1), ("rf2", RF2), ("rf3", RF3), ("rf4", RF4), ("rf5", RF5), ("rf6", RF6), ("rf7", RF7)))
+
+
+@query("rf10_findings_by_severity", f"SELECT rule, severity, count(*) AS n FROM ({_ALL}) GROUP BY ALL")
+def rf10(t):
+    every = anomalies.findings(rf1=rf1(t), rf2=rf2(t), rf3=rf3(t), rf4=rf4(t), rf5=rf5(t), rf6=rf6(t), rf7=rf7(t))
+    return every.groupBy("rule", "severity").agg(F.count("*").alias("n"))
+
+
+@query("rf11_status", f"SELECT rule, count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'medium') AS medium, count(*) FILTER (severity = 'low') AS low FROM ({_ALL}) GROUP BY 1")
+def rf11(t):
+    every = anomalies.findings(rf1=rf1(t), rf2=rf2(t), rf3=rf3(t), rf4=rf4(t), rf5=rf5(t), rf6=rf6(t), rf7=rf7(t))
+    return every.groupBy("rule").agg(*[F.count_if(c("severity") == s).alias(s) for s in ("high", "medium", "low")])
+
+
+@query("rf8_communities")
+def rf8(t):
+    """Communities of the network of pairs with at least three lots; companies have odd node numbers."""
+    pairs = awards(t).groupBy("o_custkey", "l_suppkey").agg(F.count_distinct("o_orderkey").alias("w")).where("w >= 3")
+    edges = pairs.select((c("o_custkey") * 2).alias("a"), (c("l_suppkey") * 2 + 1).alias("b"), "w")
+    found = network.communities(edges)
+    n = found.groupBy("community").agg(
+        F.count("*").alias("size"), F.count_if(c("node") % 2 == 0).alias("authorities"), F.count_if(c("node") % 2 == 1).alias("companies")
+    )
+    level = F.when(c("size") >= 10, "high").when(c("size") >= 5, "medium").otherwise("low")
+    kept = n.where("authorities >= 1 AND companies >= 2 AND size >= 3").withColumn("severity", level)
+    return kept.orderBy(c("size").desc(), "community").limit(50)
+
+
+@query("gr02_projection", f"SELECT o_custkey AS sa, l_suppkey AS imp, count(*) AS w FROM {PATH} GROUP BY ALL")
+def projection(t):
+    return paths(t).groupBy("sa", "imp").agg(F.count("*").alias("w"))
+
+
+# codes and names
+
+_NAMES = ("ROSSI S.R.L.", "Rossi   srl", "BETA s.p.a.", "GAMMA S.C.P.A. DI X", "coop. DELTA", "Epsilon Cooperativa", "A&B s.n.c.", "zeta spazio", "snc", "")
+_CODES = ("it 12345678901", "IT12345678901", " 0123456789 ", "abc", "RSSMRA80A01H501U", "12345678", "1234567890123456789", "ESB1234567", "")
+_KINDS = ("12345678903", "12345678901", "00000000000", "RSSMRA80A01H501U", "RSSMRA80A01H501A", "123456789", "ESB12345", "1", "AAAAAAAAAAAAAAAA", "")
+
+
+def _values(t, values):
+    return t.spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+
+
+_V = ", ".join("({}, '{}')".format(i, v) for i, v in enumerate(_NAMES))
+_FORMS = r"\b(s\.?r\.?l\.?|s\.?p\.?a\.?|s\.?n\.?c\.?|s\.?a\.?s\.?|s\.?c\.?r\.?l\.?|s\.?c\.?p\.?a\.?|scarl|coop\.?|cooperativa|s\.?\s*coop\.?)\b"
+
+
+def _name_sql(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({x}), '{_FORMS}', '', 'g'), '[^a-z0-9àèéìòù\\s]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("scl_normalize_name", f"SELECT i, {_name_sql('v')} AS name FROM (VALUES {_V}) x(i, v)")
+def names(t):
+    return _values(t, _NAMES).select("i", codes.normalize_name(c("v")).alias("name"))
+
+
+@query("scl_normalize_part_names", f"SELECT p_partkey, {_name_sql('p_name')} AS name FROM part")
+def part_names(t):
+    return t.part.select("p_partkey", codes.normalize_name(c("p_name")).alias("name"))
+
+
+_W = ", ".join("({}, '{}')".format(i, v) for i, v in enumerate(_CODES))
+_CODE = r"regexp_replace(regexp_replace(upper(trim(v)), '^IT', ''), '\s+', '', 'g')"
+
+
+@query("scl_normalize_code", f"SELECT i, CASE WHEN regexp_full_match({_CODE}, '[0-9A-Z]{{8,16}}') THEN {_CODE} END AS code FROM (VALUES {_W}) x(i, v)")
+def code_values(t):
+    return _values(t, _CODES).select("i", codes.normalize_code(c("v")).alias("code"))
+
+
+_K = ", ".join("({}, '{}')".format(i, v) for i, v in enumerate(_KINDS))
+_D = lambda i: f"CAST(substr(v, {i}, 1) AS INT)"
+_VAT = " + ".join(_D(i) if i % 2 else f"(2 * {_D(i)} - CASE WHEN {_D(i)} > 4 THEN 9 ELSE 0 END)" for i in range(1, 11))
+
+
+@query("scl_vat_checksum", f"SELECT i, CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN (10 - ({_VAT}) % 10) % 10 = {_D(11)} ELSE false END AS valid FROM (VALUES {_K}) x(i, v)")
+def vat(t):
+    return _values(t, _KINDS).select("i", codes.vat_valid(c("v")).alias("valid"))
+
+
+_PLACE = lambda i: f"(instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', substr(v, {i}, 1)))"
+_ODDS = "[" + ", ".join(map(str, codes.ODD)) + "]"
+_PERSON = " + ".join(f"{_ODDS}[{_PLACE(i)}]" if i % 2 else f"(CASE WHEN {_PLACE(i)} > 10 THEN {_PLACE(i)} - 11 ELSE {_PLACE(i)} - 1 END)" for i in range(1, 16))
+
+
+@query("scl_person_checksum", f"SELECT i, CASE WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN chr(CAST(65 + ({_PERSON}) % 26 AS INT)) = substr(v, 16, 1) ELSE false END AS valid FROM (VALUES {_K}) x(i, v)")
+def person(t):
+    return _values(t, _KINDS).select("i", codes.person_valid(c("v")).alias("valid"))
+
+
+@query("scl_classify", f"SELECT i, CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN 'PIVA' WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN 'CF' WHEN regexp_full_match(v, '[0-9]{{8,13}}') THEN 'NUM_BAD' WHEN regexp_full_match(v, '[A-Z]{{2}}[0-9A-Z]{{3,}}') THEN 'FOREIGN' ELSE 'OTHER' END AS kind FROM (VALUES {_K}) x(i, v)")
+def kinds(t):
+    return _values(t, _KINDS).select("i", codes.classify(c("v"))["kind"].alias("kind"))
+
+
+@query("scl_dates", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(date_trunc('month', ts), '%Y-%m') AS month, strftime(CAST(ts AS DATE) + 30, '%d/%m/%Y') AS later, date_diff('day', CAST(ts AS DATE), DATE '2024-03-01') AS left_days FROM events")
+def dates(t):
+    day = c("ts").cast("date")
+    return t.events.select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.date_format(F.date_trunc("month", "ts"), "yyyy-MM").alias("month"),
+        F.date_format(F.date_add(day, 30), "dd/MM/yyyy").alias("later"),
+        F.datediff(F.lit("2024-03-01").cast("date"), day).cast("long").alias("left_days"),
+    )
+
+
+@query("scl_arrays_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, len(string_split(event_type, 'e')) AS parts, string_split(event_type, 'e')[1] AS head FROM events")
+def arrays_json(t):
+    parts = F.split("event_type", "e")
+    return t.events.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.size(parts).cast("long").alias("parts"), F.get(parts, 0).alias("head"))
+
+
+@query("scl_numbers", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(100.0 * l_discount / (l_tax + 1), 1) AS pct, CAST(floor(l_extendedprice) AS BIGINT) AS whole, abs(l_quantity - 25) AS gap, CAST(l_quantity AS BIGINT) % 7 AS rest FROM lineitem")
+def numbers(t):
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.round(100.0 * c("l_discount") / (c("l_tax") + 1), 1).alias("pct"), F.floor("l_extendedprice").alias("whole"),
+        F.abs(c("l_quantity") - 25).alias("gap"), (c("l_quantity").cast("long") % 7).alias("rest"),
+    )
+
+
+@query("scl28_host", r"SELECT page_id, regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1), '^www\.', '') AS host FROM pages")
+def host(t):
+    return t.pages.select("page_id", F.coalesce(F.regexp_replace(F.parse_url("url", F.lit("HOST")), r"^www\.", ""), F.lit("")).alias("host"))
+
+
+@query("prj08_links", r"SELECT page_id, len(regexp_extract_all(html, 'href=\"(https?://[^\"]+)\"', 1)) AS n, coalesce(regexp_extract_all(html, 'href=\"(https?://[^\"]+)\"', 1)[1], '') AS first FROM pages")
+def links(t):
+    found = F.regexp_extract_all("html", F.lit(r'href="(https?://[^"]+)"'), F.lit(1))
+    return t.pages.select("page_id", F.size(found).cast("long").alias("n"), F.coalesce(F.get(found, 0), F.lit("")).alias("first"))
+
+
+@query("src24_html_rewrite", r'''SELECT page_id, md5(regexp_replace(html, '(?i)<head([^>]*)>', '<head\1><base href="/">')) AS h FROM pages''')
+def html_rewrite(t):
+    return t.pages.select("page_id", F.md5(F.regexp_replace("html", r"(?i)<head([^>]*)>", '<head$1><base href="/">')).alias("h"))
+
+
+@query("prj24_dictionary", "SELECT l_returnflag, section, count(*) AS n FROM lineitem LEFT JOIN (VALUES ('A', 'avvisi'), ('R', 'esiti')) d(code, section) ON l_returnflag = code GROUP BY ALL")
+def dictionary(t):
+    d = t.spark.createDataFrame([("A", "avvisi"), ("R", "esiti")], "code string, section string")
+    return t.lineitem.join(F.broadcast(d), c("l_returnflag") == c("code"), "left").groupBy("l_returnflag", "section").agg(F.count("*").alias("n"))
+
+
+@query("prj28_status", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'aggiudicato' WHEN o_orderdate IS NULL THEN 'concluso/non datato' WHEN CAST(o_orderdate AS DATE) >= DATE '1997-01-01' THEN 'aperto' ELSE 'scaduto' END AS status FROM orders")
+def status(t):
+    from tarnweave.sources.adapters import status_of
+
+    return t.orders.select("o_orderkey", status_of(c("o_orderstatus") == "F", c("o_orderdate").cast("date"), F.lit("1997-01-01").cast("date")).alias("status"))
+
+
+@query("prj27_embedding_text", "SELECT p_partkey, substr(array_to_string([nullif(p_name, ''), nullif(p_type, '')], ' — '), 1, 2000) AS text FROM part")
+def embedding_text(t):
+    return t.part.select("p_partkey", F.substring(F.concat_ws(" — ", F.nullif("p_name", F.lit("")), F.nullif("p_type", F.lit(""))), 1, 2000).alias("text"))
+
+
+# linkage
+
+_PAIRS = (
+    ("12345678903", "12345678903", "a", "b"), ("12345678903", "00743110157", "a", "a"), ("12345678903", "12345678901", "a", "b"),
+    ("12345678901", "99999999999", "a", "a"), ("RSSMRA80A01H501U", "12345678903", "rossi mario", "rossimario"),
+    ("RSSMRA80A01H501U", "12345678903", "rossi", "verdi"), ("ESB12345", "12345678903", "a", "a"), ("1234567890", "12345678903", "a", "b"),
+    ("", "", "a", "a"), ("9999999999", "12345678903", "a", "a"),
+)
+_TIERS = ("merge", "reject", "merge", "review", "bridge", "review", "reject", "merge", "review", "review")
+
+
+@query("lk02_verdict", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{x}')" for i, x in enumerate(_TIERS)) + ") v(i, tier)")
+def verdicts(t):
+    rows = t.spark.createDataFrame([(i, *p) for i, p in enumerate(_PAIRS)], "i int, a string, b string, an string, bn string")
+    return rows.select("i", codes.verdict(c("a"), c("b"), c("an"), c("bn")).alias("tier"))
+
+
+_FUZZY = "a.s_suppkey < b.s_suppkey AND substr(a.s_name, 1, 3) = substr(b.s_name, 1, 3) AND length(a.s_name) >= 8 AND abs(length(a.s_name) - length(b.s_name)) <= 2 AND levenshtein(a.s_name, b.s_name) <= 1 AND a.s_nationkey = b.s_nationkey"
+
+
+def _supplier_edges(t):
+    near = linkage.fuzzy_pairs(t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"))).where(F.levenshtein("a_name", "b_name") <= 1)
+    s = t.supplier
+    x = near.join(s.select(c("s_suppkey").alias("a"), c("s_nationkey").alias("x")), "a").join(s.select(c("s_suppkey").alias("b"), c("s_nationkey").alias("y")), "b")
+    return x.where("x = y").select("a", "b")
+
+
+_CLOSURE = f"""
+WITH RECURSIVE e AS (SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM supplier a JOIN supplier b ON {_FUZZY}),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT s_suppkey AS id, s_suppkey AS k FROM supplier UNION SELECT r.id, u.b FROM r JOIN u ON r.k = u.a)
+SELECT id, min(k) AS cluster FROM r GROUP BY 1"""
+
+
+@query("lk07_entities", _CLOSURE)
+def entities(t):
+    return linkage.clusters(t.supplier.select(c("s_suppkey").alias("id")), _supplier_edges(t))
+
+
+@query("lk07_golden_records", f"SELECT cluster, min(s_name) AS representative, count(*) AS members FROM ({_CLOSURE}) JOIN supplier ON id = s_suppkey GROUP BY 1")
+def golden(t):
+    found = linkage.clusters(t.supplier.select(c("s_suppkey").alias("id")), _supplier_edges(t))
+    rows = found.join(t.supplier, c("id") == c("s_suppkey")).select("id", "cluster", c("s_name").alias("code"), c("s_name").alias("name"), F.array(F.lit("imp")).alias("roles"))
+    return linkage.golden(rows).select("cluster", "representative", "members")
+
+
+@query("lk08_incremental", f"SELECT min(id) OVER (PARTITION BY cluster) AS cluster, id FROM ({_CLOSURE})")
+def incremental(t):
+    """Even suppliers were resolved before; odd ones and their edges arrive."""
+    edges = _supplier_edges(t)
+    before = t.supplier.where("s_nationkey < 12").select(c("s_suppkey").alias("id"))
+    old = linkage.clusters(before, edges.join(before.withColumnRenamed("id", "a"), "a", "left_semi").join(before.withColumnRenamed("id", "b"), "b", "left_semi"))
+    missing = t.supplier.select(c("s_suppkey").alias("a"), c("s_suppkey").alias("b"))
+    new = linkage.rejoin(old, edges.union(missing))
+    return new.groupBy("cluster").agg(F.min("id").alias("least"), F.collect_list("id").alias("ids")).select(c("least").alias("cluster"), F.explode("ids").alias("id"))
+
+
+@query("lk10_strategies")
+def strategies(t):
+    """The literal pairs as a gold set."""
+    rows = t.spark.createDataFrame([(*p, x in ("merge", "bridge")) for p, x in zip(_PAIRS, _TIERS, strict=True)], "left_code string, right_code string, left_name string, right_name string, so boolean")
+    return linkage.strategies(rows)
+
+
+@query("lk11_bands", "WITH p AS (SELECT levenshtein(a.n_name, b.n_name) AS d, greatest(length(a.n_name), length(b.n_name)) AS m FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey) SELECT CASE WHEN d = 0 THEN 'EXACT' WHEN d <= 2 THEN 'NEAR' WHEN d <= 6 THEN 'MID' ELSE 'FAR' END AS band, count(*) AS n FROM p GROUP BY 1")
+def bands(t):
+    a, b = t.nation.alias("a"), t.nation.alias("b")
+    d = F.levenshtein(c("a.n_name"), c("b.n_name"))
+    band = F.when(d == 0, "EXACT").when(d <= 2, "NEAR").when(d <= 6, "MID").otherwise("FAR")
+    return a.join(b, F.expr("a.n_nationkey < b.n_nationkey")).select(band.alias("band")).groupBy("band").agg(F.count("*").alias("n"))
+
+
+@query("snk01_insert_absent", "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events)")
+def absent(t):
+    return insert_absent(t.events.select(c("user_id").alias("o_custkey")), t.orders.select("o_custkey"), "o_custkey")
+
+
+# vectors and search
+
+_DOT = "list_inner_product(CAST({0} AS DOUBLE[]), CAST({1} AS DOUBLE[]))"
+_COS = f"({_DOT.format('v.embedding', 'q.embedding')} / (sqrt({_DOT.format('v.embedding', 'v.embedding')}) * sqrt({_DOT.format('q.embedding', 'q.embedding')})))"
+
+
+def _vec(t):
+    return t.embeddings.select(c("vec_id").alias("id"), "embedding", "label")
+
+
+@query("jn25_exact_knn", f"SELECT query, id, round(score, 6) AS score, k AS rank FROM (SELECT q.vec_id AS query, v.vec_id AS id, {_COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, v.vec_id) AS k FROM embeddings v, embeddings q WHERE q.vec_id % 100 = 0) WHERE k <= 10")
+def exact_knn(t):
+    v = _vec(t)
+    found = vectors.nearest(v, v.where("id % 100 = 0"), 10)
+    return found.select("query", "id", F.round("score", 6).alias("score"), c("rank").cast("long").alias("rank"))
+
+
+def _query_vector(t):
+    return t.embeddings.orderBy("vec_id").limit(1)
+
+
+_ONE = "(SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q"
+
+
+@query("vec06_theme_count", f"SELECT count(*) AS n, arg_max(vec_id, (round({_COS}, 9), -vec_id)) AS best FROM embeddings v, {_ONE} WHERE {_COS} >= 0.2")
+def theme_count(t):
+    hits = vectors.theme(t.embeddings, _query_vector(t), 0.2)
+    return hits.agg(F.count("*").alias("n"), F.max_by("vec_id", F.struct(F.round("score", 9), -c("vec_id"))).alias("best"))
+
+
+@query("vec07_sweep", " UNION ALL ".join(f"SELECT CAST({s} AS DOUBLE) AS least, count(*) AS n FROM embeddings v, {_ONE} WHERE {_COS} >= {s}" for s in ("0.1", "0.15", "0.2", "0.25")))
+def sweep(t):
+    every = vectors.theme(t.embeddings, _query_vector(t), -2.0)
+    steps = F.explode(F.array(*[F.lit(s) for s in (0.1, 0.15, 0.2, 0.25)])).alias("least")
+    return every.select("score", steps).groupBy("least").agg(F.count_if(c("score") >= c("least")).alias("n"))
+
+
+@query("jn22_topk_join", f"WITH h AS (SELECT v.vec_id, {_COS} AS s FROM embeddings v, {_ONE} ORDER BY s DESC, v.vec_id LIMIT 80) SELECT vec_id, o_totalprice FROM h JOIN orders ON o_orderkey = vec_id + 1")
+def topk_join(t):
+    hits = vectors.theme(t.embeddings, _query_vector(t), -2.0).orderBy(c("score").desc(), "vec_id").limit(80)
+    return hits.join(t.orders, c("o_orderkey") == c("vec_id") + 1).select("vec_id", "o_totalprice")
+
+
+@query("vec08_price_estimate", f"""
+WITH h AS (SELECT v.vec_id, {_COS} AS s FROM embeddings v, {_ONE} ORDER BY s DESC, v.vec_id LIMIT 80),
+d AS (SELECT l_discount AS d FROM h JOIN lineitem ON l_orderkey = vec_id + 1 WHERE l_extendedprice > 0 AND l_discount >= 0 AND l_discount < 1),
+x AS (SELECT count(*) AS n, avg(CASE WHEN d < 0.005 THEN 1.0 ELSE 0.0 END) AS z, list_sort(list(d)) AS s FROM d)
+SELECT n, round(z, 6) AS zero_share, round(s[CAST(least(n - 1, floor(0.25 * n)) AS INT) + 1], 6) AS p25, round(s[CAST(least(n - 1, floor(0.5 * n)) AS INT) + 1], 6) AS median,
+  round(s[CAST(least(n - 1, floor(0.75 * n)) AS INT) + 1], 6) AS p75 FROM x WHERE n >= 5""")
+def price_estimate(t):
+    hits = vectors.theme(t.embeddings, _query_vector(t), -2.0).orderBy(c("score").desc(), "vec_id").limit(80)
+    base = hits.join(t.lineitem, c("l_orderkey") == c("vec_id") + 1)
+    rows = base.select(F.lit(1.0).alias("base"), (1.0 - c("l_discount")).alias("award")).where("award > 0")
+    return vectors.estimate(rows, 100_000.0).select("n", "zero_share", "p25", "median", "p75")
+
+
+@query("vec12_recall")
+def recall(t):
+    v = _vec(t).select("id", "embedding")
+    q = v.where("id % 100 = 0")
+    return vectors.recall(vectors.approximate(v, q, 10), vectors.nearest(v, q, 10))
+
+
+@query("gr08_entity_search", f"SELECT s_suppkey AS id, s_name AS name, w AS wins FROM (SELECT l_suppkey, count(*) AS w FROM lineitem GROUP BY 1) JOIN supplier ON s_suppkey = l_suppkey WHERE list_min(list_transform(list_filter(regexp_split_to_array(lower(s_name), '[^a-z0-9#]+'), lambda x: x <> ''), lambda x: levenshtein(x, 'suplier'))) <= 2 ORDER BY list_min(list_transform(list_filter(regexp_split_to_array(lower(s_name), '[^a-z0-9#]+'), lambda x: x <> ''), lambda x: levenshtein(x, 'suplier') / greatest(length(x), 7))), w DESC, s_suppkey LIMIT 10")
+def entity_search(t):
+    wins = t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("wins"))
+    rows = t.supplier.join(wins, c("s_suppkey") == c("l_suppkey")).select(c("s_suppkey").alias("id"), c("s_name").alias("name"), "wins")
+    return lookup.search(rows, "Suplier").select("id", "name", "wins")
+
+
+@query("tl01_read_only_sql", f"SELECT o_orderpriority, count(*) AS n, {M.format('o_totalprice')} AS total FROM orders WHERE o_totalprice > 1000 GROUP BY 1")
+def read_only_sql(t):
+    t.orders.createOrReplaceTempView("tw_orders")
+    text = "SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM tw_orders WHERE o_totalprice > :least GROUP BY 1"
+    return lookup.run_sql(t.spark, text, {"least": 1000})
+
+
+@query("tl15_chat_history", "SELECT conv_id, count(*) AS turns, arg_max(role, (turn, text)) AS last_role, CAST(sum(length(text)) AS BIGINT) AS size FROM conversations GROUP BY 1")
+def chat_history(t):
+    return t.conversations.groupBy("conv_id").agg(
+        F.count("*").alias("turns"), F.max_by("role", F.struct("turn", "text")).alias("last_role"), F.sum(F.length("text")).cast("long").alias("size")
+    )
+
+
+@query("src21_sample")
+def sample(t):
+    """A random sample of 100 rows that is the same in every run."""
+    return t.orders.orderBy(F.xxhash64("o_orderkey"), "o_orderkey").limit(100).select("o_orderkey")
+
+
+@query("src07_window_split")
+def window_split(t):
+    from tarnweave.sources.paging import window_plan
+
+    return t.spark.createDataFrame(window_plan(t.events, "ts", 2000) or [], "first_day date, last_day date, n long")

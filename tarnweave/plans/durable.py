@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,3 +21,15 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets the driver drop what is no longer referenced: shuffle files, broadcasts, old checkpoints
+    and finished plans.  Worth a call between the phases of a job of many."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds what a Python worker gets at once; texts are larger than the rows Spark's default is for."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
