@@ -10,9 +10,9 @@ then put in a path-compressed trie, frequent tokens first, which is traversed on
 overlaps of shared paths are counted once and a subtree is left as soon as what remains can't
 reach the threshold.
 
-Runs of a token up to ``RUN`` members give their pairs.  A longer run gives stars around a few of its members
-and only the pairs between parts that the found links have not joined yet: no pairs
-within a component, no cap, and no link is lost between components.
+Runs of a token up to ``RUN`` members give their pairs.  A longer run gives stars around a few of its members;
+what these leave in parts goes set by set through tries of the run's sets: no pairs of a run
+are written, none within a part is needed, and no link between parts is lost.
 
 Null and empty texts have no shingles and stay alone; rows of one doc_id are one document, rows
 without doc_id are alone with a null component; other columns are ignored.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.operators.components import components
-from tarnweave.plans.durable import cut
+from tarnweave.plans.durable import cut, release, small_batches
 
 from .tokens import mix, shingles, slabs, words
 
@@ -34,8 +34,9 @@ K = 5
 CELLS = 20
 RUN = 32
 STARS = 4
-ENTRIES = 1 << 20
-FILTER_BITS = 27
+TRIE = 512
+ENTRIES = 1 << 19
+FILTER_BITS = 24
 _CHUNK = 12
 
 
@@ -81,31 +82,31 @@ def _sketch(docs: DataFrame) -> np.ndarray:
 
 
 def _describe(docs: DataFrame, rank) -> DataFrame:
-    """Per row: doc_id, n_shingles, two set hashes, and the prefix of the ordered set."""
+    """Per row: doc_id, n_shingles and two hashes of the set."""
 
     def run(batches):
         for rows, b, o in slabs(batches):
             n = np.zeros(len(rows), np.int64)
             s1, s2 = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-            head: list[bytes] = [b""] * len(rows)
             for i, t in _sets(b, o, rank.value):
                 n[i] = len(t)
                 s1[i] = np.bitwise_xor.reduce(mix(t)).view(np.int64)
                 s2[i] = mix(t ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)
-                head[i] = t[: len(t) - (3 * len(t) + 3) // 4 + 1].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(s1), pa.array(s2), pa.array(head, pa.binary())],
-                ["doc_id", "n", "s1", "s2", "head"],
+                [rows.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(s1), pa.array(s2)], ["doc_id", "n", "s1", "s2"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, head binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
 
 
 _ENTRY = np.dtype([("t", "<u8"), ("id", "<i8"), ("n", "<i4"), ("p", "<i4")])
 
 
-def _deal(heads: DataFrame, buckets: int) -> DataFrame:
-    """Prefix entries of all classes, packed by ranges of tokens."""
+def _deal(docs: DataFrame, representatives: DataFrame, rank, buckets: int) -> DataFrame:
+    """Prefix entries of the class representatives, packed by ranges of tokens.
+
+    The bit array lets a few other members through, which then merely link to their own class.
+    """
 
     def pack(held):
         e = np.concatenate(held)
@@ -120,20 +121,21 @@ def _deal(heads: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         held, size = [], 0
-        for batch in batches:
-            for i, n, head in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                t = np.frombuffer(head, np.uint64)
+        for ids, b, o in batches:
+            for i, t in _sets(b, o, rank.value):
+                n = len(t)
+                t = t[: n - (3 * n + 3) // 4 + 1]
                 e = np.empty(len(t), _ENTRY)
-                e["t"], e["id"], e["n"], e["p"] = t, i, n, np.arange(len(t))
+                e["t"], e["id"], e["n"], e["p"] = t, ids[i], n, np.arange(len(t))
                 held.append(e)
                 size += len(e)
-                if size >= ENTRIES:
-                    yield pack(held)
-                    held, size = [], 0
+            if size >= ENTRIES:
+                yield pack(held)
+                held, size = [], 0
         if size:
             yield pack(held)
 
-    return heads.select("id", "n", "head").mapInArrow(run, "bucket long, e binary").repartition(buckets, "bucket")
+    return _among(docs, representatives, run, "bucket long, e binary").repartition(buckets, "bucket")
 
 
 def _runs(dealt: DataFrame) -> DataFrame:
@@ -205,155 +207,233 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _members(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
-    """Ordered sets of the documents with these ids, computed from their texts again."""
+def _among(docs: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` over slabs (ids, bytes, offsets) of the texts whose id is in the bit array of ``ids``."""
     bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
 
-    def run(batches):
+    def some(batches):
         for batch in batches:
             p = batch.column("p").to_numpy()
-            some = batch.filter(pa.array((bits.value[p >> 3] >> (7 - (p & 7)) & 1).astype(bool)))
-            if len(some):
-                for rows, b, o in slabs(iter([some])):
-                    i, t = zip(*_sets(b, o, rank.value), strict=True) if len(b) else ((), ())
-                    yield pa.RecordBatch.from_arrays(
-                        [rows.column("doc_id").cast(pa.int64()).take(pa.array(i, pa.int64())), pa.array([x.tobytes() for x in t], pa.binary())], ["id", "t"]
-                    )
+            on = batch.filter(pa.array((bits.value[p >> 3] >> (7 - (p & 7)) & 1).astype(bool)))
+            if len(on):
+                for rows, b, o in slabs(iter([on])):
+                    yield rows.column("doc_id").to_numpy(), b, o
+
+    placed = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", id_position("doc_id").alias("p"))
+    return placed.mapInArrow(lambda batches: run(some(batches)), schema)
+
+
+def _members(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
+    """Ordered sets of (at least) the documents with these ids, computed from their texts again."""
+
+    def run(slabs_of):
+        for ids, b, o in slabs_of:
+            got = list(_sets(b, o, rank.value))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[[i for i, _ in got]] if got else [], pa.int64()), pa.array([t.tobytes() for _, t in got], pa.binary())], ["id", "t"]
+            )
 
-    placed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", id_position("doc_id").alias("p"))
-    sets = placed.mapInArrow(run, "id long, t binary")
-    return sets.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    return _among(docs, ids, run, "id long, t binary")
 
 
 class Trie:
-    """Path-compressed trie of ordered sets that is traversed with one set."""
+    """Path-compressed trie of ordered sets, laid out in arrays and traversed level by level.
+
+    A node is a run of tokens that all sets below it share, so its overlap with a probe is counted
+    once for all of them; a node is left, with all below it, when the overlap so far and the lengths
+    that remain can't reach the threshold.
+    """
 
     def __init__(self):
-        self.root = [(), 0, {}, None, [], 1 << 60]  # tokens, longest, children, -, ends, shortest
+        self.sets: list[tuple[bytes, int, np.ndarray]] = []
+        self.levels: list[np.ndarray] | None = None
 
     def add(self, key: int, t: np.ndarray) -> None:
-        node, i, n = self.root, 0, len(t)
-        while True:
-            node[1], node[5] = max(node[1], n), min(node[5], n)
-            if i == n:
-                node[4].append((key, n))
-                return
-            nxt = node[2].get(int(t[i]))
-            if nxt is None:
-                node[2][int(t[i])] = [t[i:], n, {}, None, [(key, n)], n]
-                return
-            own = nxt[0]
-            m = min(len(own), n - i)
-            differ = np.flatnonzero(own[:m] != t[i : i + m])
-            same = int(differ[0]) if len(differ) else m
-            if same < len(own):  # the path splits here
-                lower = [own[same:], nxt[1], nxt[2], None, nxt[4], nxt[5]]
-                nxt = [own[:same], nxt[1], {int(own[same]): lower}, None, [], nxt[5]]
-                node[2][int(t[i])] = nxt
-            node, i = nxt, i + same
+        self.sets.append((t.astype(">u8").tobytes(), key, t))
+
+    def _lay(self) -> None:
+        self.sets.sort(key=lambda x: x[:2])
+        parent, source, start, end = [-1], [-1], [0], [0]
+        ends: list[tuple[int, int, int]] = []  # node, key, size
+        stack = [0]
+        before = self.sets[0][2][:0]
+        for k, (_, key, t) in enumerate(self.sets):
+            m = min(len(before), len(t))
+            differ = before[:m] != t[:m]
+            same = int(differ.argmax()) if differ.any() else m
+            last = -1
+            while end[stack[-1]] > same:
+                last = stack.pop()
+            if end[stack[-1]] < same:  # the path so far splits here
+                parent.append(stack[-1])
+                source.append(source[last])
+                start.append(start[last])
+                end.append(same)
+                parent[last], start[last] = len(parent) - 1, same
+                stack.append(len(parent) - 1)
+            if len(t) > same:
+                parent.append(stack[-1])
+                source.append(k)
+                start.append(same)
+                end.append(len(t))
+                stack.append(len(parent) - 1)
+            ends.append((stack[-1], key, len(t)))
+            before = t
+        n = len(parent)
+        self.parent, self.depth = np.array(parent), np.array(end)
+        flat = [self.sets[source[x]][2][start[x] : end[x]] for x in range(1, n)]
+        self.tokens, self.flat = np.unique(np.concatenate(flat) if flat else before, return_inverse=True)
+        self.at = np.cumsum([0, *map(len, flat)])[:-1] if flat else np.zeros(0, np.int64)
+        self.ends = np.array(ends, np.int64)
+        self.short, self.long = np.full(n, 1 << 60), np.zeros(n, np.int64)
+        np.minimum.at(self.short, self.ends[:, 0], self.ends[:, 2])
+        np.maximum.at(self.long, self.ends[:, 0], self.ends[:, 2])
+        order = np.argsort(self.depth, kind="stable").tolist()
+        level = [0] * n
+        for x in order[1:]:
+            level[x] = level[parent[x]] + 1
+        for x in order[:0:-1]:
+            self.short[parent[x]] = min(self.short[parent[x]], self.short[x])
+            self.long[parent[x]] = max(self.long[parent[x]], self.long[x])
+        by = np.argsort(level, kind="stable")
+        cuts = np.flatnonzero(np.diff(np.array(level)[by])) + 1
+        self.levels = np.split(by, cuts)[1:]
 
     def linked(self, t: np.ndarray) -> list[int]:
         """Keys whose sets have 4 * intersection >= 3 * union with t."""
-        n, own, out = len(t), t, []
-        stack = [(self.root, 0, 0)]
-        while stack:
-            node, depth, over = stack.pop()
-            seg = node[0]
-            if len(seg):
-                at = np.searchsorted(own, seg)
-                at[at == n] = 0
-                over += int((own[at] == seg).sum())
-                depth += len(seg)
-            if 7 * (over + min(n - over, node[1] - depth)) < 3 * (n + node[5]):
-                continue
-            out += [key for key, size in node[4] if 7 * over >= 3 * (n + size)]
-            stack += [(x, depth, over) for x in node[2].values()]
-        return out
+        if not self.sets:
+            return []
+        if self.levels is None:
+            self._lay()
+        n = len(t)
+        hit = np.zeros(len(self.tokens) + 1, np.int64)
+        at = np.searchsorted(self.tokens, t)
+        at[at == len(self.tokens)] = 0
+        hit[at[self.tokens[at] == t]] = 1
+        over = np.zeros(len(self.parent), np.int64)
+        if len(self.at):
+            over[1:] = np.add.reduceat(hit[self.flat], self.at)
+        alive = np.zeros(len(self.parent), bool)
+        alive[0] = True
+        for nodes in self.levels:
+            nodes = nodes[alive[self.parent[nodes]]]
+            if not len(nodes):
+                break
+            o = over[nodes] + over[self.parent[nodes]]
+            over[nodes] = o
+            reach = o + np.minimum(n - o, self.long[nodes] - self.depth[nodes])
+            alive[nodes] = 7 * reach >= 3 * (n + self.short[nodes])
+        node, key, size = self.ends.T
+        ok = alive[node] & (7 * over[node] >= 3 * (n + size))
+        return key[ok].tolist()
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b, salt) whose sets link; the sets of one (a, salt) meet in one trie."""
-    left = pairs.select("a", "salt").distinct().join(sets, F.col("a") == F.col("id")).select("a", "salt", F.lit(None).cast("long").alias("b"), "t")
-    right = pairs.join(sets, F.col("b") == F.col("id")).select("a", "salt", "b", "t")
+    """Pairs (a, b) whose sets link; the sets of one (a, salt) meet in one trie."""
+    own = pairs.select("a", "salt").distinct().select(F.col("a").alias("id"), "a", "salt", F.lit(None).cast("long").alias("b"))
+    met = own.union(pairs.select(F.col("b").alias("id"), "a", "salt", "b")).join(sets, "id")
+
+    def found(key, own, trie):
+        b = sorted({x for t in own for x in trie.linked(t)})
+        return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(b), pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     def run(batches):
-        key, own, trie = None, None, None
+        key, own, trie = None, [], Trie()
         for batch in batches:
-            a, b = [], []
-            for x in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if (x[0], x[1]) != key:
-                    if trie:
-                        found = trie.linked(own)
-                        a += [key[0]] * len(found)
-                        b += found
-                    key, own, trie = (x[0], x[1]), np.frombuffer(x[3], np.uint64), Trie()
-                if x[2] is not None:
-                    trie.add(x[2], np.frombuffer(x[3], np.uint64)[::-1])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        if trie:
-            found = trie.linked(own)
-            yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
-
-    rows = left.union(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+            for a, salt, b, t in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if (a, salt) != key:
+                    if own:
+                        yield found(key, own, trie)
+                    key, own, trie = (a, salt), [], Trie()
+                if b is None:
+                    own.append(np.frombuffer(t, np.uint64))
+                else:
+                    trie.add(b, np.frombuffer(t, np.uint64)[::-1])
+        if own:
+            yield found(key, own, trie)
+
+    rows = met.select("a", "salt", "b", "t").repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _stars(members: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of a few members of each run's largest part with all others, and members of runs in parts."""
-    own = members.join(labels, members.a == labels.node, "left").select(
-        "token", "a", "n", F.coalesce("component", "a").alias("part")
-    )
-    sizes = own.groupBy("token", "part").agg(
-        F.count("*").alias("size"), *[F.min_by("a", F.xxhash64("a", F.lit(turn * STARS + i))).alias(f"hub{i}") for i in range(STARS)]
-    )
-    main = sizes.groupBy("token").agg(
-        F.max_by(F.struct("part", *[f"hub{i}" for i in range(STARS)]), F.struct("size", "part")).alias("main"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    rest = cut(own.join(main.select("token", "main"), "token"))
-    hubs = F.explode(F.array_distinct(F.array(*[F.col(f"main.hub{i}") for i in range(STARS)]))).alias("hub")
-    pairs = rest.where("part <> main.part").select(hubs, F.col("a").alias("b")).withColumnRenamed("hub", "a").distinct()
-    return pairs, rest
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs of a few members of each long run with all its others."""
+    hubs = members.groupBy("token").agg(F.array_distinct(F.array(*[F.min_by("a", F.xxhash64("a", F.lit(i))) for i in range(STARS)])).alias("hubs"))
+    pairs = members.join(hubs, "token").select(F.explode("hubs").alias("hub"), "a").where("hub <> a")
+    return pairs.select(F.col("hub").alias("a"), F.col("a").alias("b")).distinct()
+
+
+def _between(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the parts into which known links leave the long runs, all of them.
+
+    Runs that share members are one family.  Its sets stand in tries of about ``TRIE`` sets, by hash and
+    class of size (linked sizes are in equal or neighbouring classes); every set outside the family's
+    largest part is sent through all of its tries.  So sets move, pairs are never written.
+    """
+    hub = members.groupBy("token").agg(F.min("a").alias("hub"))
+    near = members.join(hub, "token").select("hub", "a").distinct()
+    family = components(near, "hub", "a").select(F.col("node").alias("of"), F.col("component").alias("family"))
+    docs = members.groupBy("a").agg(F.first("n").alias("n")).join(family, F.col("a") == F.col("of")).join(labels, F.col("a") == F.col("node"), "left")
+    docs = cut(docs.select("a", "n", "family", F.coalesce("component", "a").alias("part"), F.floor(F.log("n") / float(np.log(4 / 3)) + 1e-9).alias("size")))
+    parts = docs.groupBy("family", "part").agg(F.count("*").alias("m"))
+    main = parts.groupBy("family").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    tries = docs.groupBy("family", "size").agg((F.floor(F.count("*") / TRIE) + 1).alias("tries"))
+    open_docs = docs.join(main.select("family", "main"), "family")
+    stored = open_docs.join(tries, ["family", "size"]).select("family", "size", F.pmod(F.xxhash64("a"), F.col("tries")).alias("trie"), F.lit(0).alias("kind"), "a", "part")
+    apart = open_docs.where("part <> main").withColumn("size", F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)])))
+    sent = apart.join(tries, ["family", "size"]).withColumn("trie", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tries") - 1)))
+    rows = stored.union(sent.select("family", "size", "trie", F.lit(1).alias("kind"), "a", "part")).join(sets, F.col("a") == F.col("id"))
+
+    def run(batches):
+        key, trie, part_of = None, Trie(), {}
+        for batch in batches:
+            a, b = [], []
+            for family, size, at, kind, doc, part, t in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if (family, size, at) != key:
+                    key, trie, part_of = (family, size, at), Trie(), {}
+                x = np.frombuffer(t, np.uint64)
+                if kind == 0:
+                    trie.add(doc, x[::-1])
+                    part_of[doc] = part
+                else:
+                    first: dict[int, int] = {}  # one link to each other part is enough
+                    for y in trie.linked(x):
+                        if part_of[y] != part:
+                            first.setdefault(part_of[y], y)
+                    a += [doc] * len(first)
+                    b += first.values()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    keys = ["family", "size", "trie"]
+    dealt = rows.select(*keys, "kind", "a", "part", "t").repartition(*keys).sortWithinPartitions(*keys, "kind")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per row ``(doc_id, n, id)``, id the class representative (null without shingles), and the linked
+    """Per row ``(doc_id, n, id)``, id the class representative (null without shingles), and linked
     pairs ``(a, b)`` of representatives that together connect every component."""
     spark = docs.sparkSession
+    small_batches(spark)
     rank = spark.sparkContext.broadcast(_sketch(docs))
     described = cut(_describe(docs, rank))
     classes = described.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"))
-    rows = described.select("doc_id", "n", "s1", "s2")
-    classed = rows.join(classes, ["s1", "s2", "n"], "left").select("doc_id", "n", "id")
-    heads = described.join(classes.select("id", F.col("s1").alias("r1"), F.col("s2").alias("r2")), (F.col("doc_id") == F.col("id")) & (F.col("s1") == F.col("r1")) & (F.col("s2") == F.col("r2"))).dropDuplicates(["id", "s1", "s2"])
-    total = described.agg(F.coalesce(F.sum(F.length("head")), F.lit(0))).first()[0] // 8
-    found = cut(_runs(_deal(heads.select("id", "n", "head"), total // ENTRIES + 1)))
+    classed = cut(described.join(classes, ["s1", "s2", "n"], "left").select("doc_id", "n", "id"))
+    total = described.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // 4
+    representatives = classed.where("doc_id = id").select("id").distinct()
+    found = cut(_runs(_deal(docs, representatives, rank, total // ENTRIES + 1)))
+    release(spark)
     short = found.where("b IS NOT NULL").select("a", "b").distinct()
     members = cut(found.where("b IS NULL").select("token", "a", "n").distinct())
     ids = short.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("a")).distinct()
-    sets = cut(_members(docs, cut(ids), rank))
-    edges = cut(_verify(short.withColumn("salt", F.lit(0)), sets))
-    none = spark.createDataFrame([], "node long, component long")
-    turn = 0
-    while not members.isEmpty():
-        labels = none if edges.isEmpty() else components(edges)
-        pairs, members = _stars(members, labels, turn)
-        if members.isEmpty():
-            break
-        apart = members.where("part <> main.part")
-        new = cut(_verify(pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int")), sets))
-        edges = cut(edges.union(new).distinct())
-        gained = new.select("b").distinct().count()
-        left = apart.select("a").distinct().count()
-        members = members.select("token", "a", "n")
-        turn += 1
-        if gained * 4 < left:  # few parts still join through stars: compare all that are apart
-            labels = none if edges.isEmpty() else components(edges)
-            _, members = _stars(members, labels, turn)
-            x, y = members.alias("x"), members.where("part <> main.part").alias("y")
-            cross = x.join(y, F.expr("x.token = y.token AND x.part <> y.part AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"))
-            cross = cross.select(F.expr("least(x.a, y.a)").alias("a"), F.expr("greatest(x.a, y.a)").alias("b")).distinct()
-            last = _verify(cross.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int")), sets)
-            return classed, cut(edges.union(last).distinct())
+    sets = cut(_members(docs, ids, rank))
+    release(spark)
+    pairs = short.withColumn("salt", F.lit(0)).union(_stars(members).withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int") + 1))
+    edges = cut(_verify(pairs, sets))
+    release(spark)
+    if not members.isEmpty():
+        labels = components(edges) if not edges.isEmpty() else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
+        edges = edges.union(cut(_between(members, labels, sets)))
+        release(spark)
     return classed, edges
 
 
