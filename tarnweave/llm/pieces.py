@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnweave.plans.durable import cut
+from tarnweave.plans.durable import cut, small_batches
 
 MARK = "▁"
 CHUNK = 32_768
@@ -296,6 +296,7 @@ def _rows(batches, most: int = 1 << 22):
 
 def encode(docs: DataFrame, model_path: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """``docs`` with ``ids``, the piece ids of ``text``."""
+    small_batches(docs.sparkSession)
     with open(model_path or default_model(), "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     size = F.coalesce(F.length("text"), F.lit(0))
