@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import domain, relational  # noqa: F401
+from . import domain, relational, storage  # noqa: F401
 from .registry import QUERIES, SQL
 
 
