@@ -62,7 +62,7 @@ def _sketch(docs: DataFrame) -> np.ndarray:
             _, _, h, first = words(b, o)
             s, _ = shingles(h, first, K)
             n += np.bincount((s >> np.uint64(64 - CELLS)).astype(np.int64), minlength=len(n))
-        parts = n.reshape(-1, 1 << _CHUNK)
+        parts = n.astype(np.uint32).reshape(-1, 1 << _CHUNK)  # of one task
         on = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(on), pa.array([parts[i].tobytes() for i in on], pa.binary())], ["part", "n"])
 
@@ -70,7 +70,7 @@ def _sketch(docs: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(n, np.int64)
+                x = np.frombuffer(n, np.uint32).astype(np.int64)
                 sums[part] = sums[part] + x if part in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "n"])
 
@@ -423,7 +423,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = cut(_runs(_deal(docs, representatives, rank, total // ENTRIES + 1)))
     release(spark)
     short = found.where("b IS NOT NULL").select("a", "b").distinct()
-    members = cut(found.where("b IS NULL").select("token", "a", "n").distinct())
+    members = found.where("b IS NULL").select("token", "a", "n")
     ids = short.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("a")).distinct()
     sets = cut(_members(docs, ids, rank))
     release(spark)
