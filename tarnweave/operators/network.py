@@ -27,7 +27,7 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return ranged.withColumn("_own", own).join(before, "_p").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_p", "_own", "_n", "_before")
 
 
-def communities(edges: DataFrame, levels: int = 5, rounds: int = 8) -> DataFrame:
+def communities(edges: DataFrame, levels: int = 5, rounds: int = 4) -> DataFrame:
     """``(node, community)`` of a weighted graph ``(a, b, w)`` by greedy modularity, synchronous and
     deterministic.
 
