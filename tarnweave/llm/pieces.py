@@ -29,7 +29,7 @@ from tarnweave.plans.durable import cut, small_batches
 
 MARK = "▁"
 CHUNK = 32_768
-MOST_SEGMENTS = 400_000
+MOST_SEGMENTS = 200_000
 
 
 def default_model() -> str:
@@ -96,7 +96,7 @@ class Pieces:
             return ok
         ok = self.pairs.get((a, b))
         if ok is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > 300_000:
                 self.pairs.clear()
             ok = self.pairs[a, b] = self.agree("", b) and self.merged(a + b) == [a, b]
         return ok
