@@ -202,6 +202,23 @@ def test_scores(spark, monkeypatch):
         assert r.score < 0
 
 
+def test_every_training_text_is_learnt_from(spark, monkeypatch):
+    made, init = [], lmscore.Model.__init__
+
+    def noted(self, counts):
+        init(self, counts)
+        made.append(self)
+
+    monkeypatch.setattr(lmscore.Model, "__init__", noted)
+    words = [bytes([97 + i // 26, 97 + i % 26]).decode() * 2 for i in range(600)]
+    df = spark.createDataFrame([(i, f"{w} is {w}") for i, w in enumerate(words)], "row long, text string")
+    lmscore.score(df, F.lit(True)).count()
+    with open(lmscore.default_ranks(), "rb") as f:
+        read = {x for s in lmscore.subwords(f.read(), words) for x in s}
+    moved = (made[0].net.p["E"] != lmscore.Attention().p["E"]).any(1)
+    assert len(read) > 300 and moved[sorted(read)].all()
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 300, "ann", "x"), (2, None, None, "y"), (2, None, None, "y")]
     out = chatformat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
