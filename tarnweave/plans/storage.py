@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tarnweave.operators.records import distinct_in_order, first_known
 from tarnweave.sources import files
-from tarnweave.streaming.incremental import Table, run_available, upsert_batches
+from tarnweave.streaming.incremental import Table, merge_batches, run_available, upsert_batches
 
 from .durable import shared_dir
 from .registry import query
@@ -57,3 +58,24 @@ def stream_upsert(t):
     stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     run_available(stream, upsert_batches(table, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()]), f"{path}/checkpoint")
     return table.read().select("user_id", "event_id")
+
+
+def first_known_events(events):
+    """Per user the first known value and purchase, and the event types in order."""
+    order = F.struct("ts", "event_id")
+    return events.groupBy("user_id").agg(
+        first_known("value", order).alias("value"),
+        first_known(F.when(F.col("event_type") == "purchase", F.col("event_id")), order).alias("purchase"),
+        F.array_join(distinct_in_order(F.col("event_type"), order), ",").alias("types"),
+    )
+
+
+@query("str02_stream_merge", "WITH f AS (SELECT user_id, event_type, min((ts, event_id)) AS o FROM events WHERE event_type IS NOT NULL GROUP BY ALL), t AS (SELECT user_id, string_agg(event_type, ',' ORDER BY o) AS types FROM f GROUP BY 1), v AS (SELECT user_id, arg_min(value, (ts, event_id)) FILTER (value IS NOT NULL) AS value, arg_min(event_id, (ts, event_id)) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY 1) SELECT user_id, value, purchase, coalesce(types, '') AS types FROM v LEFT JOIN t USING (user_id)")
+def stream_merge(t):
+    """The events of a user come in several batches."""
+    path = _folder(t)
+    t.events.repartition(3, "event_id").write.parquet(f"{path}/in")
+    kept, merged = Table(t.spark, f"{path}/kept"), Table(t.spark, f"{path}/merged")
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    run_available(stream, merge_batches(kept, merged, ["user_id"], ["event_id"], [F.col("ts")], first_known_events), f"{path}/checkpoint")
+    return merged.read()

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tarnweave.streaming.incremental import Table, latest_events
+from tarnweave.streaming.incremental import Table, latest_events, merge_batches, run_available
 
 
 def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
@@ -13,3 +13,19 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
     again = latest_events(spark, f"{tmp_path}/in", table, f"{tmp_path}/two")
     assert again.exceptAll(got).isEmpty() and got.exceptAll(again).isEmpty()
+
+
+def test_merge_over_batches_equals_batch_and_replay_changes_nothing(spark, tmp_path):
+    from tarnweave.plans.storage import first_known_events
+
+    schema = "event_id long, ts long, user_id long, event_type string, value double"
+    batches = [[(3, 3, 1, "view", None), (4, 4, None, "view", 4.0)], [(2, 2, 1, "purchase", 2.0)], [(1, 1, 1, "click", None), (5, 5, 2, None, None)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    kept, merged = Table(spark, f"{tmp_path}/kept"), Table(spark, f"{tmp_path}/merged")
+    for turn in ("one", "two"):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        run_available(stream, merge_batches(kept, merged, ["user_id"], ["event_id"], [F.col("ts")], first_known_events), f"{tmp_path}/{turn}")
+        rows = sorted((tuple(r) for r in merged.read().collect()), key=str)
+        assert rows == sorted([(1, 2.0, 2, "click,purchase,view"), (2, None, None, ""), (None, 4.0, None, "view")], key=str)
+    assert kept.read().count() == 5
