@@ -266,10 +266,14 @@ def redact(df: DataFrame, precision: float = 0.9) -> DataFrame:
             x["k"].alias("k"),
         ),
     )
-    reach = F.transform(
-        "spans", lambda x, i: F.array_max(F.transform(F.slice("spans", F.greatest(i - 7, F.lit(1)), F.lit(9)), lambda y: F.when(y["s"] <= x["s"], y["e"])))
-    )
-    a = found.withColumn("reach", reach).withColumn("cut", cut)
+    # the furthest end so far: of whole chunks of about the root of the number of spans, and of the own chunk
+    side = F.ceil(F.sqrt(F.greatest(F.size("spans"), F.lit(1)))).cast("int")
+    chunk = F.transform(F.sequence(F.lit(0), F.col("side") - 1), lambda j: F.array_max(F.transform(F.slice("spans", j * F.col("side") + 1, F.col("side")), lambda y: y["e"])))
+    def furthest(x, i):
+        j = F.floor(i / F.col("side")).cast("int")
+        near = F.slice("spans", j * F.col("side") + 1, i - j * F.col("side") + len(KINDS))  # with those of the same start
+        return F.greatest(F.array_max(F.slice("chunk", F.lit(1), j)), F.array_max(F.transform(near, lambda y: F.when(y["s"] <= x["s"], y["e"]))))
+    a = found.withColumn("side", side).withColumn("chunk", chunk).withColumn("reach", F.transform("spans", furthest)).withColumn("cut", cut)
     name = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     body = F.array_join(
         F.transform(

@@ -219,6 +219,14 @@ def test_every_training_text_is_learnt_from(spark, monkeypatch):
     assert len(read) > 300 and moved[sorted(read)].all()
 
 
+def test_redaction_of_many_nested_spans(spark, monkeypatch):
+    spans = [(0, 0, 200), *[(5 * i, 1, 5 * i + 3) for i in range(1, 31)]]
+    found = "array(" + ",".join(f"named_struct('s',{s},'k',{k},'e',{e})" for s, k, e in spans) + ")"
+    monkeypatch.setattr(pii, "detect", lambda df, precision: df.withColumn("spans", F.expr(found)))
+    df = spark.createDataFrame([("x" * 200 + " end",)], "text string")
+    assert pii.redact(df).first().text == f"[{pii.KINDS[0].upper()}] end"
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 300, "ann", "x"), (2, None, None, "y"), (2, None, None, "y")]
     out = chatformat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
