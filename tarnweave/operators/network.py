@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnweave.operators.components import components
-from tarnweave.plans.durable import cut
+from tarnweave.plans.durable import cut, release
 
 
 def competitors(paths: DataFrame, seed: DataFrame, k: int = 8) -> DataFrame:
@@ -27,13 +27,14 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return ranged.withColumn("_own", own).join(before, "_p").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_p", "_own", "_n", "_before")
 
 
-def communities(edges: DataFrame, levels: int = 5, rounds: int = 4) -> DataFrame:
+def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-9, patience: int = 3) -> DataFrame:
     """``(node, community)`` of a weighted graph ``(a, b, w)`` by greedy modularity, synchronous and
     deterministic.
 
     In each round a node takes, among the communities of its neighbours, the one of largest gain
     (ties: smallest); only nodes whose hash is even or odd move, in turn, so that two neighbours seldom swap.
-    A level ends when nothing moves or modularity falls; then communities become nodes.
+    A level ends when no node moved in a pair of rounds, or when modularity rose by no more than ``tolerance``
+    in ``patience`` pairs, each of another hash; then communities become nodes.
     Communities are connected: each is split into its components at the end.
     """
     both = edges.select("a", "b", F.col("w").cast("double").alias("w"))
@@ -46,7 +47,9 @@ def communities(edges: DataFrame, levels: int = 5, rounds: int = 4) -> DataFrame
     for _ in range(levels):
         nodes = cut(graph.groupBy(F.col("a").alias("n")).agg(F.sum("w").alias("d")).withColumn("c", F.col("n")))
         best_q, best, moved_any = modularity(graph, nodes, total), nodes, False
-        for turn in range(rounds):
+        turn = idle = 0
+        moved = risen = False
+        while True:
             volume = nodes.groupBy("c").agg(F.sum("d").alias("vol"))
             links = graph.where("a <> b").join(nodes.select(F.col("n").alias("b"), F.col("c").alias("to")), "b").groupBy("a", "to").agg(F.sum("w").alias("k"))
             own = nodes.select(F.col("n").alias("a"), "d", "c")
@@ -63,14 +66,20 @@ def communities(edges: DataFrame, levels: int = 5, rounds: int = 4) -> DataFrame
             nodes_new = cut(
                 nodes.join(choice, nodes.n == choice.a, "left").select("n", "d", F.when(may & better, F.col("x.to")).otherwise(F.col("c")).alias("c"), F.coalesce(may & better, F.lit(False)).alias("m"))
             )
-            moved = not nodes_new.where("m").isEmpty()
+            now = not nodes_new.where("m").isEmpty()
             nodes = nodes_new.select("n", "d", "c")
-            if moved:
+            moved |= now
+            if now:
                 q = modularity(graph, nodes, total)
-                if q > best_q + 1e-9:
-                    best_q, best, moved_any = q, nodes, True
-            elif turn % 2:
-                break
+                if q > best_q + tolerance:
+                    best_q, best, moved_any, risen = q, nodes, True, True
+            if turn % 2:
+                idle = 0 if risen else idle + 1
+                if not moved or idle == patience:
+                    break
+                moved = risen = False
+                release(edges.sparkSession)
+            turn += 1
         if not moved_any:
             break
         name = best.select(F.col("n").alias("community"), F.col("c").alias("up"))

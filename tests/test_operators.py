@@ -87,6 +87,20 @@ def test_communities_of_two_cliques(spark):
     assert len({got[i] for i in range(5)}) == 1 and len({got[i] for i in range(10, 15)}) == 1 and got[0] != got[10]
 
 
+def test_local_moving_settles(spark):
+    r = random.Random(5)
+    edges = [(i, i + 1, 1.0 + r.randrange(5)) for i in range(40)]
+    found = network.communities(spark.createDataFrame(edges, "a long, b long, w double"), levels=1, patience=1)
+    of = {x.node: x.community for x in found.collect()}
+    total = sum(w for *_, w in edges)
+    inside = sum(w for a, b, w in edges if of[a] == of[b])
+    volume = {}
+    for a, b, w in edges:
+        for n in (a, b):
+            volume[of[n]] = volume.get(of[n], 0.0) + w
+    assert inside / total - sum(v * v for v in volume.values()) / (2 * total) ** 2 > 0.69  # four rounds reach 0.5
+
+
 def test_zero_vector_has_cosine_zero(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0]), ([3.0, 4.0], [3.0, 4.0])], "a array<double>, b array<double>")
     assert [round(r[0], 9) for r in df.select(vectors.cosine(F.col("a"), F.col("b"))).collect()] == [0.0, 1.0]
