@@ -105,10 +105,27 @@ def test_pieces_equal_the_library():
             assert (0, path[-1][1]) in whole[0, ""]
 
 
-def test_giant_texts_over_chunks(spark):
-    df = spark.createDataFrame([(1, "ab" * 3000), (1, "ab" * 3000), (2, None), (3, "x y " * 2000)], "doc_id long, text string")
-    a = sorted((r.doc_id, r.ids) for r in pieces.encode(df, chunk=500).collect())
-    assert a == sorted((r.doc_id, r.ids) for r in pieces.encode(df).collect())
+def test_giant_texts_over_chunks(spark, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "FAN", 3)  # a tree of several levels
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    texts = ["ab" * 3000, "ab" * 3000, None, "x y " * 2000, "éa b\n" * 1500 + "q" * 4000, "short", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("ids", F.lit("clash"))
+    got = {r.doc_id: r.ids for r in pieces.encode(df, chunk=500).collect()}
+    assert got == {i: None if t is None else sp.encode(t) for i, t in enumerate(texts)}
+
+
+def test_query_equals_the_library(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in pieces.op2_sentencepiece(spark, "/root/testdata/sf0.001").collect():
+        ids = sp.encode(docs[r.doc_id] or "")
+        assert r.n_tokens == len(ids) and r.round_trip
+        if docs[r.doc_id] is not None:
+            assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
 def base_spans(t):
