@@ -2,20 +2,21 @@
 
 A document's set are the hashes of its distinct shingles of ``K`` words.  Equal sets are one class,
 so exact copies cost one member.  All shingles are ordered by one global order, rare first: a
-sketch of fixed size counts every shingle of the corpus, and a token is the count's class
-followed by the hash.  Two sets with Jaccard similarity of 3/4 share a token among the first
+sketch of fixed size counts every shingle of the corpus, and a token is the class of the count's excess over the
+usual cell followed by the hash.  Two sets with Jaccard similarity of 3/4 share a token among the first
 quarter of each, so the first levels of the tries are built over those prefixes only, spread over
-tasks by token, and are pruned by length and by the length that remains.  The candidates of one set are
-then put in a path-compressed trie, frequent tokens first, which is traversed once with the set:
-overlaps of shared paths are counted once and a subtree is left as soon as what remains can't
-reach the threshold.
-
-Runs of a token up to ``RUN`` members give their pairs.  A longer run gives stars around a few of its members;
-what these leave in parts goes set by set through tries of the run's sets: no pairs of a run
+tasks by token, and are pruned by length and by the length that remains.
+
+Runs of a token up to ``RUN`` members give their pairs, a longer run stars around a few of its members.  Pairs lose
+those whose parity bitmaps differ in more places than linked sets can (a bound, so no link is lost); what is left falls into
+families.  The sets of a family go once into one path-compressed trie, frequent tokens first, through which each of them is
+sent: overlaps of shared paths are counted once and a subtree is left as soon as what remains can't
+reach the threshold.  Families too large for one trie are split by pairs around a member.  What the stars
+of long runs leave in parts goes set by set through tries of the run's sets: no pairs of a run
 are written, none within a part is needed, and no link between parts is lost.
 
 Null and empty texts have no shingles and stay alone; rows of one doc_id are one document, rows
-without doc_id are alone with a null component; other columns are ignored.
+without doc_id are alone with a null component; other columns are ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,8 +36,12 @@ CELLS = 20
 RUN = 32
 STARS = 4
 TRIE = 512
+#: Tokens of a family that go into one trie.
+TOKENS = 1 << 21
 ENTRIES = 1 << 19
 FILTER_BITS = 24
+#: More ids than this are joined instead of put in a bit array (32 MB).
+MOST_IDS = 1 << 25
 _CHUNK = 12
 
 
@@ -54,7 +59,7 @@ def _sets(b, o, rank):
 
 
 def _sketch(docs: DataFrame) -> np.ndarray:
-    """Class of the count of each of 2**CELLS cells, counting the shingles of all texts."""
+    """Class of the excess of each of 2**CELLS cells, counting the shingles of all texts."""
 
     def count(batches):
         n = np.zeros(1 << CELLS, np.int64)
@@ -78,7 +83,8 @@ def _sketch(docs: DataFrame) -> np.ndarray:
     summed = docs.select("text").mapInArrow(count, "part long, n binary").repartition("part").mapInArrow(add, "part long, n binary")
     for part, x in summed.collect():  # 2**CELLS numbers
         n[part] = np.frombuffer(x, np.int64)
-    return np.minimum(4 * np.log2(n.ravel() + 1), 255).astype(np.uint8)
+    over = np.maximum(n.ravel() - np.median(n), 0)  # a large corpus fills every cell with rare ones
+    return np.minimum(4 * np.log2(over + 1), 255).astype(np.uint8)
 
 
 def _describe(docs: DataFrame, rank) -> DataFrame:
@@ -182,36 +188,43 @@ def _runs(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "token long, a long, b long, n long")
 
 
-def id_position(id_column: str):
-    return F.shiftrightunsigned(F.xxhash64(id_column), 64 - FILTER_BITS)
+def id_position(id_column: str, bits: int = FILTER_BITS):
+    return F.shiftrightunsigned(F.xxhash64(id_column), 64 - bits)
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """Packed bit array of fixed size in which the bit of every id is on."""
+def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """Packed array of ``2**bits`` bits in which the bit of every id is on."""
 
     def run(batches):
-        bits: dict[int, np.ndarray] = {}
+        on: dict[int, np.ndarray] = {}
         for batch in batches:
             p = batch.column("p").to_numpy()
             for part in np.unique(p >> 19):
-                bits.setdefault(int(part), np.zeros(1 << 19, bool))[p[p >> 19 == part] & ((1 << 19) - 1)] = True
+                on.setdefault(int(part), np.zeros(1 << 19, bool))[p[p >> 19 == part] & ((1 << 19) - 1)] = True
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(bits), pa.int64()), pa.array([np.packbits(x).tobytes() for x in bits.values()], pa.binary())], ["part", "bits"]
+            [pa.array(list(on), pa.int64()), pa.array([np.packbits(x).tobytes() for x in on.values()], pa.binary())], ["part", "bits"]
         )
 
-    out = np.zeros((1 << (FILTER_BITS - 19), 1 << 16), np.uint8)
-    at = ids.select(id_position("id").alias("p"))
+    out = np.zeros((1 << (bits - 19), 1 << 16), np.uint8)
+    at = ids.select(id_position("id", bits).alias("p"))
     rows = at.repartition(1 << (FILTER_BITS - 19), F.shiftright("p", 19)).mapInArrow(run, "part long, bits binary")
-    for part, x in rows.coalesce(8).collect():  # 2**FILTER_BITS bits
+    for part, x in rows.toLocalIterator():  # 2**bits bits
         out[part] |= np.frombuffer(x, np.uint8)
     return out.ravel()
 
 
 def _among(docs: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` over slabs (ids, bytes, offsets) of the texts whose id is in the bit array of ``ids``."""
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
-
-    def some(batches):
+    """``run`` over slabs (ids, bytes, offsets) of the texts whose id is among ``ids``; the bit array lets a few others through."""
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = cut(ids.select("id").distinct())
+    n = ids.count()
+    size = max(FILTER_BITS, int(4 * n).bit_length())
+    if n > MOST_IDS:
+        some = texts.join(ids, texts.doc_id == ids.id, "left_semi")
+        return some.mapInArrow(lambda batches: run((r.column("doc_id").to_numpy(), b, o) for r, b, o in slabs(batches)), schema)
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids, size))
+
+    def chosen(batches):
         for batch in batches:
             p = batch.column("p").to_numpy()
             on = batch.filter(pa.array((bits.value[p >> 3] >> (7 - (p & 7)) & 1).astype(bool)))
@@ -219,8 +232,7 @@ def _among(docs: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
                 for rows, b, o in slabs(iter([on])):
                     yield rows.column("doc_id").to_numpy(), b, o
 
-    placed = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", id_position("doc_id").alias("p"))
-    return placed.mapInArrow(lambda batches: run(some(batches)), schema)
+    return texts.withColumn("p", id_position("doc_id", size)).mapInArrow(lambda batches: run(chosen(batches)), schema)
 
 
 def _members(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
@@ -236,6 +248,52 @@ def _members(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
     return _among(docs, ids, run, "id long, t binary")
 
 
+def parities(t: np.ndarray) -> bytes:
+    """Bitmap of at least two places a token; a place is on if an odd number of tokens fall on it."""
+    m = max(64, 1 << int(2 * len(t) - 1).bit_length())
+    return np.packbits(np.bincount((mix(t) & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def may_link(n: int, x: bytes, k: int, y: bytes) -> bool:
+    """Sets of n and k tokens with bitmaps x and y differ in as many tokens as places at least; linked ones in (n + k) / 7 at most."""
+    if 4 * min(n, k) < 3 * max(n, k):
+        return False
+    if len(x) < len(y):
+        x, y = y, x
+    a = int.from_bytes(x, "little")
+    bits = 8 * len(x)
+    while bits > 8 * len(y):  # upper half upon lower half
+        bits >>= 1
+        a = a >> bits ^ a & (1 << bits) - 1
+    return 7 * (a ^ int.from_bytes(y, "little")).bit_count() <= n + k
+
+
+def _marks(docs: DataFrame, ids: DataFrame, rank) -> DataFrame:
+    """Size and bitmap of (at least) the documents with these ids."""
+
+    def run(slabs_of):
+        for ids, b, o in slabs_of:
+            got = [(ids[i], len(t), parities(t)) for i, t in _sets(b, o, rank.value)]
+            a, n, m = zip(*got, strict=True) if got else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(n, pa.int64()), pa.array(m, pa.binary())], ["id", "n", "m"])
+
+    return _among(docs, ids, run, "id long, n long, m binary").dropDuplicates(["id"])
+
+
+def _likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs (a, b, n), n the size of a, whose bitmaps allow a link."""
+    x = marks.select(F.col("id").alias("a"), F.col("n").alias("n"), F.col("m").alias("m"))
+    y = marks.select(F.col("id").alias("b"), F.col("n").alias("k"), F.col("m").alias("w"))
+
+    def run(batches):
+        for batch in batches:
+            n, m, k, w = (batch.column(c).to_pylist() for c in "nmkw")
+            on = pa.array([may_link(*r) for r in zip(n, m, k, w, strict=True)], pa.bool_())
+            yield batch.select(["a", "b", "n"]).filter(on)
+
+    return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "n", "m", "k", "w").mapInArrow(run, "a long, b long, n long")
+
+
 class Trie:
     """Path-compressed trie of ordered sets, laid out in arrays and traversed level by level.
 
@@ -328,6 +386,79 @@ class Trie:
         return key[ok].tolist()
 
 
+class Parts:
+    """Parts of the members 0 to n - 1 that links have joined so far."""
+
+    def __init__(self, n: int):
+        self.up, self.count = list(range(n)), n
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+            self.count -= 1
+
+
+def _families(pairs: DataFrame, docs: DataFrame, rank) -> DataFrame:
+    """Links (a, b) that connect what the pairs (a, b, n) connect if their sets link.
+
+    A family of up to ``TRIE`` members and ``TOKENS`` tokens is one trie, each set is sent there once.  Of a larger one, each pair is verified.
+    """
+    pairs = cut(pairs)
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    nodes = cut(components(pairs))
+    ends = pairs.select(F.col("a").alias("node"), "n").union(pairs.select(F.col("b").alias("node"), (F.col("n") * 4 / 3).cast("long").alias("n")))
+    size = ends.groupBy("node").agg(F.max("n").alias("n")).join(nodes, "node").groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
+    fits = (F.col("m") <= TRIE) & (F.col("tokens") <= TOKENS)
+    placed = cut(nodes.join(size, "component").select(F.col("node").alias("id"), F.col("component").alias("family"), fits.alias("whole")))
+    small = placed.where("whole").select("id", "family")
+
+    def run(batches):
+        family, ids, sets = None, [], []
+
+        def settle():
+            trie, parts = Trie(), Parts(len(ids))
+            for i, t in enumerate(sets):
+                trie.add(i, t[::-1])
+            for i, t in enumerate(sets):
+                if parts.count == 1:
+                    break
+                for j in trie.linked(t):
+                    parts.join(i, j)
+            root = [parts.find(i) for i in range(len(ids))]
+            on = [i for i, r in enumerate(root) if r != i]
+            return pa.RecordBatch.from_arrays([pa.array([ids[root[i]] for i in on], pa.int64()), pa.array([ids[i] for i in on], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for f, a, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if f != family:
+                    if ids:
+                        yield settle()
+                    family, ids, sets = f, [], []
+                if not ids or ids[-1] != a:  # rows of one id are one document
+                    ids.append(a)
+                    sets.append(np.frombuffer(t, np.uint64))
+        if ids:
+            yield settle()
+
+    sent = _members(docs, small, rank).join(small, "id").select("family", "id", "t").repartition("family").sortWithinPartitions("family", "id", "t")
+    edges = cut(sent.mapInArrow(run, "a long, b long"))
+    rest = pairs.join(placed.where("NOT whole").select(F.col("id").alias("a")), "a", "left_semi")
+    if rest.isEmpty():
+        return edges
+    salts = rest.groupBy("a").agg((F.floor(F.count("*") * F.max("n") / TOKENS) + 1).alias("salts"))
+    rest = cut(rest.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")))
+    sets = _members(docs, rest.select(F.explode(F.array("a", "b")).alias("id")), rank)
+    return edges.union(cut(_verify(rest, cut(sets))))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets link; the sets of one (a, salt) meet in one trie."""
     own = pairs.select("a", "salt").distinct().select(F.col("a").alias("id"), "a", "salt", F.lit(None).cast("long").alias("b"))
@@ -363,7 +494,7 @@ def _stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.col("hub").alias("a"), F.col("a").alias("b")).distinct()
 
 
-def _between(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _between(members: DataFrame, labels: DataFrame, docs_of: DataFrame, rank) -> DataFrame:
     """Links between the parts into which known links leave the long runs, all of them.
 
     Runs that share members are one family.  Its sets stand in tries of about ``TRIE`` sets, by hash and
@@ -378,7 +509,10 @@ def _between(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
     parts = docs.groupBy("family", "part").agg(F.count("*").alias("m"))
     main = parts.groupBy("family").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     tries = docs.groupBy("family", "size").agg((F.floor(F.count("*") / TRIE) + 1).alias("tries"))
-    open_docs = docs.join(main.select("family", "main"), "family")
+    open_docs = cut(docs.join(main.select("family", "main"), "family"))
+    if open_docs.isEmpty():
+        return open_docs.select("a", F.col("main").alias("b"))
+    sets = _members(docs_of, open_docs.select(F.col("a").alias("id")), rank)
     stored = open_docs.join(tries, ["family", "size"]).select("family", "size", F.pmod(F.xxhash64("a"), F.col("tries")).alias("trie"), F.lit(0).alias("kind"), "a", "part")
     apart = open_docs.where("part <> main").withColumn("size", F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)])))
     sent = apart.join(tries, ["family", "size"]).withColumn("trie", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tries") - 1)))
@@ -421,18 +555,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = described.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // 4
     representatives = classed.where("doc_id = id").select("id").distinct()
     found = cut(_runs(_deal(docs, representatives, rank, total // ENTRIES + 1)))
-    release(spark)
     short = found.where("b IS NOT NULL").select("a", "b").distinct()
     members = found.where("b IS NULL").select("token", "a", "n")
-    ids = short.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("a")).distinct()
-    sets = cut(_members(docs, ids, rank))
-    release(spark)
-    pairs = short.withColumn("salt", F.lit(0)).union(_stars(members).withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int") + 1))
-    edges = cut(_verify(pairs, sets))
+    pairs = cut(short.union(_stars(members)).distinct())
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    marks = cut(_marks(docs, ids, rank))
+    edges = _families(_likely(pairs, marks), docs, rank)
     release(spark)
     if not members.isEmpty():
         labels = components(edges) if not edges.isEmpty() else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
-        edges = edges.union(cut(_between(members, labels, sets)))
+        edges = edges.union(cut(_between(members, labels, docs, rank)))
         release(spark)
     return classed, edges
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Text bytes that are handled at once; a longer text is handled alone.
-SLAB = 1 << 20
+SLAB = 1 << 18
 _pows: list[np.ndarray] = []
 
 
