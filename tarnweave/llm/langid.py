@@ -2,13 +2,16 @@
 
 One model of order ``ORDER`` per language value, learnt from the texts of that language.  Letters
 are lower-cased and folded to 12-bit symbols, every run of anything else is one boundary symbol.
-The n-gram counts of all training texts are summed per key range and come to the driver as
-sorted arrays, whose number of entries is checked against ``MAX_ENTRIES``.  A text gets the language of
-the lowest cross-entropy per symbol; it is rejected when that entropy lies further above the
-language's mean than the calibrated quantile of the training texts allows for its length.
+The n-gram counts of all training texts are summed per range of contexts.  The longest n-grams are used in blocks of
+ranges with about ``MAX_ENTRIES`` entries, one block in the driver and in a broadcast at a time; an n-gram and its
+context are in one block, so a text's entropy is the sum over blocks.  A text gets the language of
+the lowest cross-entropy per symbol.  It is rejected when that entropy lies further above the
+language's mean than the calibrated quantile allows; mean and quantile come from a fold of the training texts (``FOLD``) and a
+model that didn't see it.
 
 Null texts and texts without a letter are ``und`` with score 0 and are rejected.  Without training
-rows every text is ``und``.  Ties go to the language that sorts first.
+rows every text is ``und``.  A language without a text in the fold rejects nothing.  Ties go to the language that sorts
+first; repeated rows are judged alike, an empty table gives no rows, other columns are kept.
 """
 
 from __future__ import annotations
@@ -20,13 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.plans.durable import cut, small_batches
+
 from .tokens import mix, slabs
 
 ORDER = 4
 BITS = 12
 MAX_ENTRIES = 1 << 23
 DISCOUNT = 0.75
-RANGES = 16
+RANGES = 64
+#: One of so many training texts, by the hash of the text, calibrates.
+FOLD = 8
 
 
 @functools.cache
@@ -73,6 +80,11 @@ def grams(s: np.ndarray, row_at: np.ndarray) -> np.ndarray:
     return key
 
 
+def _range(keys: np.ndarray) -> np.ndarray:
+    """Range of the context of each key."""
+    return (mix(keys >> np.uint64(BITS)) >> np.uint64(32)).astype(np.int64) % RANGES
+
+
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k, c = np.concatenate(keys), np.concatenate(counts)
     u, inv = np.unique(k, return_inverse=True)
@@ -99,7 +111,7 @@ def _count(batches):
     for name, i in names.items():
         if i in held:
             k, c = _merge(*held[i])
-            part = mix(k) >> np.uint64(60)
+            part = _range(k)
             for r in range(RANGES):
                 on = part == r
                 if on.any():
@@ -166,22 +178,32 @@ def _group(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[new], np.add.reduceat(weights, new)
 
 
+def _shorter(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams at the ends of sorted distinct longer ones, and how many symbols stand before each."""
+    low = np.sort(keys & np.uint64((1 << (BITS * n)) - 1))
+    return _group(low, np.ones(len(low)))
+
+
 class Smoothed:
-    """Kneser-Ney tables of one language: per order sorted n-grams, contexts, totals and widths."""
+    """Kneser-Ney tables of one language: per order sorted n-grams, contexts, totals and widths.
+
+    ``low`` has the second order where ``keys`` are only a part of the first.
+    """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, low: tuple[np.ndarray, np.ndarray] | None = None):
         self.levels = []
         for n in range(ORDER, 0, -1):
             ctx = keys >> np.uint64(BITS)
             cs, tot = _group(ctx, counts.astype(float))
             _, wide = _group(ctx, np.ones(len(ctx)))
             self.levels.append((keys, counts.astype(float), cs, tot, wide))
-            if n > 1:  # how many symbols stand before each shorter n-gram
-                low = np.sort(keys & np.uint64((1 << (BITS * (n - 1))) - 1))
-                keys, counts = _group(low, np.ones(len(low)))
+            if n > 1:
+                keys, counts = low if low and n == ORDER else _shorter(keys, n - 1)
 
     def back(self, level: int, ctx: np.ndarray) -> np.ndarray:
         _, _, cs, tot, wide = self.levels[level]
+        if not len(cs):
+            return np.ones(len(ctx))
         i = np.minimum(np.searchsorted(cs, ctx), len(cs) - 1)
         seen = cs[i] == ctx
         return np.where(seen, DISCOUNT * wide[i] / tot[i], 1.0)
@@ -190,9 +212,11 @@ class Smoothed:
         if level == ORDER:
             return np.full(len(keys), 1.0 / (1 << BITS))
         k, c, cs, tot, _ = self.levels[level]
-        i = np.minimum(np.searchsorted(k, keys), len(k) - 1)
-        j = np.minimum(np.searchsorted(cs, keys >> np.uint64(BITS)), len(cs) - 1)
-        own = np.where(k[i] == keys, np.maximum(c[i] - DISCOUNT, 0) / tot[j], 0.0)
+        own = 0.0
+        if len(k):
+            i = np.minimum(np.searchsorted(k, keys), len(k) - 1)
+            j = np.minimum(np.searchsorted(cs, keys >> np.uint64(BITS)), len(cs) - 1)
+            own = np.where(k[i] == keys, np.maximum(c[i] - DISCOUNT, 0) / tot[j], 0.0)
         low = keys & np.uint64((1 << (BITS * (ORDER - level - 1))) - 1)
         return own + self.back(level, keys >> np.uint64(BITS)) * self.prob(level + 1, low)
 
@@ -200,9 +224,10 @@ class Smoothed:
 class Model:
     """Log2 probabilities per language of all n-grams seen in any language, by order."""
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(counts)
-        each = [Smoothed(*counts[x]) for x in self.langs]
+    def __init__(self, langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], low: dict[str, tuple[np.ndarray, np.ndarray]], ranges: range):
+        self.langs, self.ranges = langs, ranges
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        each = [Smoothed(*counts.get(x, none), low[x]) for x in langs]
         self.tables, self.backs = [], []
         for level in range(ORDER):
             keys = np.unique(np.concatenate([e.levels[level][0] for e in each]))
@@ -225,41 +250,120 @@ class Model:
         return out
 
 
-def train(docs: DataFrame) -> Model | None:
-    """Model of the ``text`` and non-null ``lang`` of all rows."""
-    counts = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    schema = "lang string, r int, k binary, c binary"
-    summed = counts.mapInArrow(_count, schema).repartition(RANGES, "r").mapInArrow(_sum, schema)
-    got: dict[str, tuple[list, list]] = {}
-    total = 0
-    for x in summed.toLocalIterator():
-        ks, cs = got.setdefault(x.lang, ([], []))
-        ks.append(np.frombuffer(x.k, np.uint64))
-        cs.append(np.frombuffer(x.c, np.int64))
-        total += len(ks[-1])
-        if total > MAX_ENTRIES:
-            raise ValueError(f"more than {MAX_ENTRIES} n-grams; raise MAX_ENTRIES or lower ORDER")
-    return Model({k: _merge(*v) for k, v in got.items()}) if got else None
-
-
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
+class Counts:
+    """Summed n-gram counts ``(lang, r, k, c)`` of a training set, from which models of blocks of ranges are made.
+
+    The second order of every language is held whole: it has a fraction of the entries of the first.
+    """
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        sizes = rows.groupBy("r").agg(F.sum(F.octet_length("k")).alias("n")).collect()  # at most RANGES
+        self.size = {x.r: x["n"] // 8 for x in sizes}
+        low: dict[str, tuple[list, list]] = {}
+        for x in rows.select("lang", "k").toLocalIterator():
+            ks, cs = low.setdefault(x.lang, ([], []))
+            for held, new in zip((ks, cs), _shorter(np.sort(np.frombuffer(x.k, np.uint64)), ORDER - 1), strict=True):
+                held.append(new)
+            if len(ks) > 16:
+                low[x.lang] = tuple([y] for y in _merge(ks, cs))
+        self.low = {k: _merge(*v) for k, v in low.items()}
+        self.langs = sorted(self.low)
+
+    def blocks(self) -> list[range]:
+        """Neighbouring ranges with about MAX_ENTRIES entries together."""
+        out, first, held = [], 0, 0
+        for r in range(RANGES):
+            if held and held + self.size.get(r, 0) > MAX_ENTRIES:
+                out.append(range(first, r))
+                first, held = r, 0
+            held += self.size.get(r, 0)
+        return [*out, range(first, RANGES)]
+
+    def model(self, ranges: range) -> Model:
+        got: dict[str, tuple[list, list]] = {}
+        for x in self.rows.where(F.col("r").between(ranges.start, ranges.stop - 1)).toLocalIterator():
+            ks, cs = got.setdefault(x.lang, ([], []))
+            ks.append(np.frombuffer(x.k, np.uint64))
+            cs.append(np.frombuffer(x.c, np.int64))
+        return Model(self.langs, {k: _merge(*v) for k, v in got.items()}, self.low, ranges)
+
+
+_COUNTS = "lang string, r int, k binary, c binary"
+
+
+def train(docs: DataFrame) -> Counts | None:
+    """Counts of the ``text`` and non-null ``lang`` of all rows."""
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    small_batches(docs.sparkSession)
+    counts = Counts(cut(rows.mapInArrow(_count, _COUNTS).repartition(RANGES, "r").mapInArrow(_sum, _COUNTS)))
+    return counts if counts.langs else None
+
+
+def learn(docs: DataFrame) -> tuple[Counts | None, dict[str, tuple[float, float]]]:
+    """Counts of the ``text`` and non-null ``lang`` of all rows, and the limits of rejection from the fold."""
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLD)) == 0
+    marked = train(rows.withColumn("lang", F.concat(F.when(fold, "1").otherwise("0"), "lang")))
+    if marked is None:
+        return None, {}
+    name = F.substring("lang", 2, 1 << 30)  # once counted, the fold is told apart by the name
+    both = Counts(cut(marked.rows.withColumn("lang", name).repartition(RANGES, "r").mapInArrow(_sum, _COUNTS)))
+    rest = Counts(marked.rows.where("substr(lang, 1, 1) = '0'").withColumn("lang", name))
+    seen = score(rows.where(fold).select("text"), rest if rest.langs else both)
+    return both, calibrate(cut(seen.select("lang_pred", "entropy", "n_symbols")))
+
+
+def score(docs: DataFrame, counts: Counts | None) -> DataFrame:
     """Adds ``lang_pred``, ``score``, ``entropy`` (bits a symbol of the winner, null for ``und``) and
     ``n_symbols``; the columns that ``docs`` has must not use these names."""
     extra = "lang_pred string, score double, entropy double, n_symbols long"
-    if model is None:
+    if counts is None:
         return docs.select("*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("long").alias("n_symbols"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    small_batches(spark)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    *firsts, last = counts.blocks()
+
+    def sums(m: Model, rows, b, o, before):
+        s, row_at, letters = symbols(b, o)
+        total = np.zeros((len(rows), len(m.langs)))
+        if len(s):
+            keys = grams(s, row_at)
+            if len(m.ranges) < RANGES:
+                logs = np.zeros((len(keys), len(m.langs)), np.float32)
+                r = _range(keys)
+                own = np.flatnonzero((r >= m.ranges.start) & (r < m.ranges.stop))
+                logs[own] = m.logs(keys[own])
+            else:
+                logs = m.logs(keys)
+            some = np.flatnonzero(np.diff(row_at) > 0)
+            total[some] = np.add.reduceat(logs, row_at[some], axis=0, dtype=np.float64)
+        if before is not None:
+            total += np.frombuffer(b"".join(before.to_pylist())).reshape(total.shape)
+        return total, np.diff(row_at), letters
+
+    rows = docs
+    for ranges in firsts:
+        shared = spark.sparkContext.broadcast(counts.model(ranges))
+
+        def part(batches, shared=shared):
+            for rows, b, o in slabs(batches):
+                at = rows.schema.get_field_index("_sums")
+                total, _, _ = sums(shared.value, rows, b, o, rows.column(at) if at >= 0 else None)
+                kept = rows.drop_columns(["_sums"]) if at >= 0 else rows
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([x.tobytes() for x in total], pa.binary())], [*kept.schema.names, "_sums"])
+
+        rows = cut(rows.mapInArrow(part, f"{fields}, _sums binary"))
+        shared.unpersist()
+    shared = spark.sparkContext.broadcast(counts.model(last))
 
     def run(batches):
         m = shared.value
         for rows, b, o in slabs(batches):
-            s, row_at, letters = symbols(b, o)
-            n = np.diff(row_at)
-            total = np.zeros((len(n), len(m.langs)))
-            if len(s):
-                logs = m.logs(grams(s, row_at))
-                some = np.flatnonzero(n > 0)
-                total[some] = np.add.reduceat(logs, row_at[some], axis=0, dtype=np.float64)
+            at = rows.schema.get_field_index("_sums")
+            total, n, letters = sums(m, rows, b, o, rows.column(at) if at >= 0 else None)
+            rows = rows.drop_columns(["_sums"]) if at >= 0 else rows
             cost = -total / np.maximum(n, 1)[:, None]
             best = cost.argmin(1)
             low = cost[np.arange(len(n)), best]
@@ -269,15 +373,14 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             new = [pa.array(pred, pa.string()), pa.array(np.where(ok, share, 0.0)), pa.array(low, mask=~ok), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays([*rows.columns, *new], [*rows.schema.names, "lang_pred", "score", "entropy", "n_symbols"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, {extra}")
+    return rows.mapInArrow(run, f"{fields}, {extra}")
 
 
 def calibrate(scored: DataFrame, quantile: float = 0.9995, slack: float = 1.5, least: float = 1.5) -> dict[str, tuple[float, float]]:
     """Per language mean entropy and least rejected excess over it, in bits a symbol.
 
-    Excesses of all rows go through a histogram of bounded size; the limit is their quantile
-    times a slack and at least ``least``, so texts of the kind that was learnt from are kept.
+    Excesses of all given rows go through a histogram of bounded size; the limit is their quantile
+    times a slack and at least ``least``, so texts of the kind that was learnt from are kept.  ``scored`` is read twice.
     """
     seen = scored.where("entropy IS NOT NULL")
     stats = seen.groupBy("lang_pred").agg((F.sum(F.col("entropy") * F.col("n_symbols")) / F.sum("n_symbols")).alias("mean"))
@@ -305,14 +408,11 @@ def _pick(values: dict[str, float]):
     return e
 
 
-def identify(docs: DataFrame, model: Model | None, limits: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+def identify(docs: DataFrame, counts: Counts | None, limits: dict[str, tuple[float, float]]) -> DataFrame:
     """``score`` with ``rejected``: no language, or an entropy beyond the calibrated excess."""
-    scored = score(docs, model)
-    if limits is None:
-        limits = calibrate(score(docs.select("text"), model))
     excess = F.col("entropy") - _pick({k: v[0] for k, v in limits.items()})
     over = F.coalesce(excess > _pick({k: v[1] for k, v in limits.items()}), F.lit(False))
-    return scored.withColumn("rejected", F.col("entropy").isNull() | over)
+    return score(docs, counts).withColumn("rejected", F.col("entropy").isNull() | over)
 
 
 def held_out(modulus: int, remainder: int = 2):
@@ -321,10 +421,7 @@ def held_out(modulus: int, remainder: int = 2):
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    learn = docs.where(~held_out(4))
-    model = train(learn)
-    limits = calibrate(score(learn.select("text"), model))
-    found = identify(docs.select("doc_id", "text"), model, limits)
+    found = identify(docs.select("doc_id", "text"), *learn(docs.where(~held_out(4))))
     return found.select(
         "doc_id", held_out(4).alias("held_out"), "lang_pred", "score", "entropy", "rejected"
     )

@@ -53,9 +53,23 @@ def test_trie_links():
         assert sorted(trie.linked(x)) == want
 
 
-@pytest.mark.parametrize("run", [4, 32])
-def test_near_duplicates(spark, monkeypatch, run):
+def test_parity_bitmaps_lose_no_link():
+    r = random.Random(5)
+    for _ in range(300):
+        x = set(r.sample(range(10**9), r.choice([1, 5, 60, 400, 3000])))
+        y = set(r.sample(sorted(x), max(1, int(len(x) * r.uniform(0.7, 1))))) | set(r.sample(range(10**9), int(len(x) * r.uniform(0, 0.2))))
+        a, b = (np.array(sorted(s), np.uint64) for s in (x, y))
+        if 4 * len(x & y) >= 3 * len(x | y):
+            assert ngramjoin.may_link(len(x), ngramjoin.parities(a), len(y), ngramjoin.parities(b))
+    a, b = (np.array(r.sample(range(10**9), 500), np.uint64) for _ in "ab")
+    assert not ngramjoin.may_link(500, ngramjoin.parities(a), 500, ngramjoin.parities(b))
+
+
+@pytest.mark.parametrize(("run", "tokens", "most"), [(4, 1 << 21, 1 << 25), (32, 2000, -1)])
+def test_near_duplicates(spark, monkeypatch, run, tokens, most):
     monkeypatch.setattr(ngramjoin, "RUN", run)
+    monkeypatch.setattr(ngramjoin, "TOKENS", tokens)  # families beyond one trie
+    monkeypatch.setattr(ngramjoin, "MOST_IDS", most)  # more ids than the bit array is for
     texts = dict(enumerate(near_copies()))
     sets = {}
     for d, x in texts.items():
@@ -178,8 +192,43 @@ def test_language_held_out(spark):
     assert rest.where("lang_pred = lang").count() >= 0.98 * rest.count()
 
 
+def test_language_in_blocks(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    whole = {r.doc_id: (r.lang_pred, r.score, r.entropy) for r in langid.score(docs, langid.train(docs)).collect()}
+    monkeypatch.setattr(langid, "MAX_ENTRIES", 5000)
+    model = langid.train(docs)
+    assert len(model.blocks()) > 2
+    for r in langid.score(docs, model).collect():
+        lang, share, entropy = whole[r.doc_id]
+        assert r.lang_pred == lang and r.score == pytest.approx(share, abs=1e-4) and r.entropy == pytest.approx(entropy, rel=1e-5)
+
+
+def test_entropy_of_plain_kneser_ney(spark):
+    """One language, one short table: the model's bits against sums over dictionaries."""
+    texts = ["abra cadabra", "Abba abracad", "cab  bad"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    def grams(t):
+        s = "   " + re.sub("[^a-z]+", " ", t.lower())
+        return [s[i - 3 : i + 1] for i in range(3, len(s))]
+    counts = [Counter(g for t in texts for g in grams(t))]
+    for _ in range(3):
+        counts.append(Counter(g[1:] for g in counts[-1]))
+    def p(g, level=0):
+        if level == 4:
+            return 1 / 4096
+        c, ctx = counts[level], g[:-1]
+        total = sum(n for x, n in c.items() if x[:-1] == ctx)
+        low = p(g[1:], level + 1)
+        if not total:
+            return low
+        return max(c[g] - 0.75, 0) / total + 0.75 * sum(x[:-1] == ctx for x in c) / total * low
+    for t, r in zip(["abra dab", "zzz"], langid.score(spark.createDataFrame([(0, "abra dab"), (1, "zzz")], "doc_id long, text string"), langid.train(docs)).orderBy("doc_id").collect(), strict=True):
+        own = grams(t)
+        assert math.isclose(r.entropy, -sum(math.log2(p(g)) for g in own) / len(own), rel_tol=1e-5)
+
+
 def test_language_odd_rows(spark, odd):
-    out = {r.doc_id: r for r in langid.identify(odd.select("doc_id", "text"), langid.train(odd)).collect()}
+    out = {r.doc_id: r for r in langid.identify(odd.select("doc_id", "text"), *langid.learn(odd)).collect()}
     assert out[None].lang_pred == out[1].lang_pred == out[7].lang_pred == "und" and out[7].rejected
     assert langid.train(odd.where("lang = 'xx'")) is None
     assert langid.score(odd.select("doc_id", "text"), None).where("lang_pred = 'und'").count() == odd.count()
