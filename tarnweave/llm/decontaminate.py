@@ -4,7 +4,7 @@ Each mask reads six of eight or nine consecutive words and ignores the rest; tog
 every stretch of ``STRETCH`` aligned words with up to two substitutions.  Benchmark items are
 indexed by their seed hashes, documents look theirs up, and around each hit the aligned words
 are compared: an overlap is the best segment with +1 for an equal and -3 for another word,
-and counts from ``LEAST`` equal words and score ``SCORE``.  Items shorter than ``STRETCH`` words must
+and counts from ``LEAST`` equal words and score ``SCORE``; then the best ones left and right of it, and so on.  Items shorter than ``STRETCH`` words must
 occur whole and unchanged.
 
 The index goes to the executors in blocks of at most ``block_words`` benchmark words, each block one
@@ -12,7 +12,7 @@ more pass over the same rows without a shuffle, so a benchmark of any size is ha
 
 Words are runs of anything but ASCII white space, A-Z lower-cased.  Null and empty texts match
 nothing, as do items without a word; repeated rows and items are all reported; an empty benchmark leaves all
-documents clean.
+documents clean, an empty table has no rows.  Other columns are kept, one named ``_overlaps`` is replaced.
 """
 
 from __future__ import annotations
@@ -41,6 +41,22 @@ def _seed(h: np.ndarray, offsets) -> np.ndarray:
     return mix(out)
 
 
+def _segments(same: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """Disjoint segments that count, each the best of what the ones found before it leave; all or nothing of a short item."""
+    if length < STRETCH:
+        return [(0, length)] if len(same) == length and same.all() else []
+    out, todo = [], [(0, len(same))]
+    while todo:
+        i, j = todo.pop()
+        c = np.concatenate([[0], np.cumsum(np.where(same[i:j], 1, -3))])
+        end = int(np.argmax(c - np.minimum.accumulate(c)))
+        start = int(np.argmin(c[: end + 1]))
+        if c[end] - c[start] >= SCORE and same[i + start : i + end].sum() >= LEAST:
+            out.append((i + start, i + end))
+            todo += [(a, b) for a, b in ((i, i + start), (i + end, j)) if b - a >= LEAST]
+    return sorted(out)
+
+
 class Index:
     """Seeds of one block of items, sorted by hash."""
 
@@ -91,14 +107,9 @@ class Index:
             a, b = self.first[i], self.first[i + 1]
             lo, hi = max(d, first[r]), min(d + b - a, first[r + 1])
             same = h[lo:hi] == self.h[a + lo - d : a + hi - d]
-            c = np.concatenate([[0], np.cumsum(np.where(same, 1, -3))])
-            base = np.minimum.accumulate(c)
-            end = int(np.argmax(c - base))
-            start = int(np.argmin(c[: end + 1]))
-            matched = int(same[start:end].sum())
-            if (b - a < STRETCH and matched == b - a) or (b - a >= STRETCH and matched >= LEAST and c[end] - c[start] >= SCORE):
-                at = int(lo - first[r])
-                out[r].append({"item_id": int(self.ids[i]), "start": at + start, "end": at + end, "matched": matched})
+            at = int(lo - first[r])
+            for start, end in _segments(same, int(b - a)):
+                out[r].append({"item_id": int(self.ids[i]), "start": at + start, "end": at + end, "matched": int(same[start:end].sum())})
         return out
 
 
