@@ -1,14 +1,15 @@
 """Quality by importance resampling: hashed n-gram models and Gumbel top-k.
 
 Words and word pairs are hashed to ``BUCKETS`` counts, once for a target (texts labelled good) and once
-for all texts; every text is counted.  A text's log weight is the mean log ratio of its
-n-grams times ``LENGTH``, so that long texts don't win by length.  Adding Gumbel noise drawn from
-the document id and keeping the k largest keys samples k texts without replacement in
+for all texts; every text is counted.  A text's log weight is the log of the ratio of the two generative models, the sum over
+its n-grams, so that a long text is told with more certainty than a short one.  Adding Gumbel noise drawn from
+the document's id and text and keeping the k largest keys samples k texts without replacement in
 proportion to their weights.  The k-th key is found by histograms that are refined, never by a
 sort of all rows.
 
-Null and empty texts have weight 0 ratio, that is log weight 0; rows that tie with the k-th key
-are all kept, so repeated rows stay together.  Without a target all log weights are 0.
+Null and empty texts have weight ratio 1, that is log weight 0; rows that tie with the k-th key
+are all kept, so repeated rows stay together.  Rows without a doc_id have draws of their own but are never in the target.
+Without a target all log weights are 0.  An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from tarnweave.plans.durable import cut
 from .tokens import mix, slabs, words
 
 BUCKETS = 1 << 15
-LENGTH = 64.0
 _R = np.uint64(0xA0761D6478BD642F)
 
 
@@ -48,13 +48,13 @@ def fit(docs: DataFrame, target_ids: np.ndarray) -> np.ndarray:
             _, _, h, first = words(b, o, fold=False)
             f, row = features(h, first)
             n[0] += np.bincount(f, minlength=BUCKETS)
-            doc = rows.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-            good = np.isin(doc, ids.value)
+            doc = rows.column("doc_id")
+            good = np.isin(doc.fill_null(0).to_numpy(zero_copy_only=False), ids.value) & doc.is_valid().to_numpy(zero_copy_only=False)
             if good.any():
                 n[1] += np.bincount(f[good[row]], minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(n[0]), pa.array(n[1])], ["b", "n", "t"])
 
-    sums = docs.select("doc_id", "text").mapInArrow(count, "b long, n long, t long").groupBy("b").agg(F.sum("n"), F.sum("t"))
+    sums = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, "b long, n long, t long").groupBy("b").agg(F.sum("n"), F.sum("t"))
     n = np.zeros((2, BUCKETS))
     for b, x, t in sums.collect():  # BUCKETS rows
         n[:, b] = x, t
@@ -64,8 +64,8 @@ def fit(docs: DataFrame, target_ids: np.ndarray) -> np.ndarray:
     return np.log(n[1] / n[1].sum()) - np.log(n[0] / n[0].sum())
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``(doc_id, log_weight, n_features)`` of every row."""
+def weigh(docs: DataFrame, ratio: np.ndarray, seed: int = 7) -> DataFrame:
+    """``(doc_id, draw, log_weight, n_features)`` of every row; ``draw`` is a hash of id and text."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
@@ -74,10 +74,10 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
             f, row = features(h, first)
             n = np.bincount(row, minlength=len(rows))
             total = np.bincount(row, shared.value[f], len(rows))
-            mean = np.where(n > 0, LENGTH * total / np.maximum(n, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(mean), pa.array(n, pa.int64())], ["doc_id", "log_weight", "n_features"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("doc_id", "draw")), pa.array(total), pa.array(n, pa.int64())], ["doc_id", "draw", "log_weight", "n_features"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, log_weight double, n_features long")
+    draws = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"), "text")
+    return draws.mapInArrow(run, "doc_id long, draw long, log_weight double, n_features long")
 
 
 def top_k(keyed: DataFrame, k: int, column: str = "key", few: int = 10_000) -> float:
@@ -114,9 +114,9 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 7, most_targets: in
     share = labels.where("quality IS NOT NULL").select(F.avg(good.cast("double"))).first()[0]
     target = labels.where(good & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
     ids = [r[0] for r in target.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_targets).collect()]
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + 0.5) / F.lit(float(1 << 53))
-    scored = weigh(docs, fit(docs, np.array(ids, np.int64)))
-    keyed = cut(scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))))
+    u = (F.shiftrightunsigned("draw", 11) + 0.5) / F.lit(float(1 << 53))
+    scored = weigh(docs, fit(docs, np.array(ids, np.int64)), seed)
+    keyed = cut(scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))).drop("draw"))
     k = round((1.0 if share is None else share) * keyed.count())
     return keyed.withColumn("kept", F.col("gumbel_key") >= top_k(keyed, k, "gumbel_key"))
 
