@@ -336,6 +336,15 @@ def test_repeated_bytes(spark, monkeypatch, hot):
         assert (got[d].n_bytes, got[d].n_removed, got[d].n_spans, bytes(got[d].kept)) == (len(b), sum(gone), runs, kept)
 
 
+def test_several_texts_of_one_id(spark):
+    r = random.Random(6)
+    p, q = ("".join(r.choice("abcdefghijkl ") for _ in range(400)) for _ in "pq")
+    rows = [(1, p), (2, "zzz " + p + " tail"), (2, q), (None, p)]
+    out = suffixdedup.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(bytes(x.kept).decode() == q for x in out if x.n_bytes == 400 and x.doc_id == 2)
+    assert sum(x.n_removed for x in out) in (0, 400)  # of the longer text of document 2, if it is the one
+
+
 def test_masks_hit_all_pairs_of_substitutions():
     from itertools import combinations
 
@@ -355,6 +364,50 @@ def test_decontamination(spark):
     assert decontaminate.clean(df, bench.limit(0)).count() == len(docs)
 
 
+def test_every_overlap_of_an_alignment(spark):
+    item = [f"t{i}" for i in range(60)]
+    text = " ".join(w if not 20 <= i < 40 else f"other{i}" for i, w in enumerate(item))
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    out = decontaminate.overlaps(spark.createDataFrame([(1, "x y " + text)], "doc_id long, text string"), bench).first()._overlaps
+    assert [(x.item_id, x.start, x.end, x.matched) for x in out] == [(7, 2, 22, 20), (7, 42, 62, 20)]
+
+
+def test_overlaps_of_random_substitutions(spark):
+    """Every stretch of 13 equal or twice substituted words is found, and nothing else is."""
+    r = random.Random(3)
+    items = {i: [f"i{i}w{k}" for k in range(40)] for i in range(8)}
+    docs, want = [], {}
+    for d in range(60):
+        i, a = r.randrange(8), r.randrange(25)
+        part = list(items[i][a : a + 15])
+        for k in r.sample(range(1, 14), d % 3):
+            part[k] = f"z{r.random()}"
+        noise = [f"n{r.random()}" for _ in range(30)]
+        docs.append((d, " ".join(noise[:15] + part + noise[15:]) if d % 4 else " ".join(noise)))
+        want[d] = {i} if d % 4 else set()
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    got = {x.doc_id: {y.item_id for y in x._overlaps} for x in decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got.keys() == want.keys() and all(got[d] <= want[d] for d in got)
+    assert all(got[d] == want[d] for d in got if d % 3 == 0)
+
+
+def test_importance_weights(spark):
+    """The log weight is the sum of log ratios of word and pair counts, counted here by dictionaries."""
+    r = random.Random(4)
+    texts = {i: " ".join(r.choice("abcdefg") for _ in range(r.randrange(1, 30))) for i in range(40)}
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    grams = {i: [*t.split(), *zip(t.split(), t.split()[1:])] for i, t in texts.items()}
+    every, good = Counter(g for x in grams.values() for g in x), Counter(g for i, x in grams.items() if i % 4 == 0 for g in x)
+    ratio = {g: math.log((good[g] + 1) / (sum(good.values()) + resample.BUCKETS)) - math.log((every[g] + 1) / (sum(every.values()) + resample.BUCKETS)) for g in every}
+    rows = resample.resample(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels).collect()
+    for x in rows:
+        assert math.isclose(x.log_weight, sum(ratio[g] for g in grams[x.doc_id]), abs_tol=1e-9)
+    kept = sorted((x.gumbel_key for x in rows), reverse=True)[:10]
+    assert sorted((x.gumbel_key for x in rows if x.kept), reverse=True) == kept
+    out = resample.resample(spark.createDataFrame([(None, f"t{i}") for i in range(50)], "doc_id long, text string"), labels.limit(0))
+    assert len({x.gumbel_key for x in out.collect()}) == 50
+
+
 def test_resampling(spark):
     good, bad = "the cat sat on the mat", "buy $$$ now !!! click $$$"
     docs = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(200)] + [(None, None)], "doc_id long, text string")
