@@ -63,10 +63,17 @@ def _sketch(docs: DataFrame) -> np.ndarray:
 
     def count(batches):
         n = np.zeros(1 << CELLS, np.int64)
+        held, size = [], 0
         for _, b, o in slabs(batches):
             _, _, h, first = words(b, o)
             s, _ = shingles(h, first, K)
-            n += np.bincount((s >> np.uint64(64 - CELLS)).astype(np.int64), minlength=len(n))
+            held.append((s >> np.uint64(64 - CELLS)).astype(np.uint32))
+            size += len(s)
+            if size >= len(n):
+                n += np.bincount(np.concatenate(held), minlength=len(n))
+                held, size = [], 0
+        if held:
+            n += np.bincount(np.concatenate(held), minlength=len(n))
         parts = n.astype(np.uint32).reshape(-1, 1 << _CHUNK)  # of one task
         on = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(on), pa.array([parts[i].tobytes() for i in on], pa.binary())], ["part", "n"])
@@ -167,7 +174,7 @@ def _runs(dealt: DataFrame) -> DataFrame:
         for m in range(2, RUN + 1):
             starts = at[size == m]
             i, j = np.triu_indices(m, 1)
-            step = max(1, (1 << 20) // len(i))
+            step = max(1, (1 << 17) // len(i))
             for k in range(0, len(starts), step):
                 x = e[(starts[k : k + step, None] + i).ravel()]
                 y = e[(starts[k : k + step, None] + j).ravel()]
@@ -208,7 +215,7 @@ def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     out = np.zeros((1 << (bits - 19), 1 << 16), np.uint8)
     at = ids.select(id_position("id", bits).alias("p"))
     rows = at.repartition(1 << (FILTER_BITS - 19), F.shiftright("p", 19)).mapInArrow(run, "part long, bits binary")
-    for part, x in rows.toLocalIterator():  # 2**bits bits
+    for part, x in rows.coalesce(8).collect():  # 2**bits bits
         out[part] |= np.frombuffer(x, np.uint8)
     return out.ravel()
 
@@ -216,8 +223,7 @@ def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 def _among(docs: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
     """``run`` over slabs (ids, bytes, offsets) of the texts whose id is among ``ids``; the bit array lets a few others through."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = cut(ids.select("id").distinct())
-    n = ids.count()
+    n = ids.count()  # repeated ones count
     size = max(FILTER_BITS, int(4 * n).bit_length())
     if n > MOST_IDS:
         some = texts.join(ids, texts.doc_id == ids.id, "left_semi")
@@ -405,14 +411,14 @@ class Parts:
             self.count -= 1
 
 
-def _families(pairs: DataFrame, docs: DataFrame, rank) -> DataFrame:
-    """Links (a, b) that connect what the pairs (a, b, n) connect if their sets link.
+def _families(pairs: DataFrame, docs: DataFrame, rank) -> tuple[DataFrame, bool]:
+    """Links (a, b) that connect what the pairs (a, b, n) connect if their sets link; whether each a is the least of its part.
 
     A family of up to ``TRIE`` members and ``TOKENS`` tokens is one trie, each set is sent there once.  Of a larger one, each pair is verified.
     """
     pairs = cut(pairs)
     if pairs.isEmpty():
-        return pairs.select("a", "b")
+        return pairs.select("a", "b"), True
     nodes = cut(components(pairs))
     ends = pairs.select(F.col("a").alias("node"), "n").union(pairs.select(F.col("b").alias("node"), (F.col("n") * 4 / 3).cast("long").alias("n")))
     size = ends.groupBy("node").agg(F.max("n").alias("n")).join(nodes, "node").groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
@@ -452,11 +458,11 @@ def _families(pairs: DataFrame, docs: DataFrame, rank) -> DataFrame:
     edges = cut(sent.mapInArrow(run, "a long, b long"))
     rest = pairs.join(placed.where("NOT whole").select(F.col("id").alias("a")), "a", "left_semi")
     if rest.isEmpty():
-        return edges
+        return edges, True
     salts = rest.groupBy("a").agg((F.floor(F.count("*") * F.max("n") / TOKENS) + 1).alias("salts"))
     rest = cut(rest.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")))
     sets = _members(docs, rest.select(F.explode(F.array("a", "b")).alias("id")), rank)
-    return edges.union(cut(_verify(rest, cut(sets))))
+    return edges.union(cut(_verify(rest, cut(sets)))), False
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -543,9 +549,9 @@ def _between(members: DataFrame, labels: DataFrame, docs_of: DataFrame, rank) ->
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per row ``(doc_id, n, id)``, id the class representative (null without shingles), and linked
-    pairs ``(a, b)`` of representatives that together connect every component."""
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per row ``(doc_id, n, id)``, id the class representative (null without shingles); linked
+    pairs ``(a, b)`` of representatives that together connect every component; ``(node, component)`` of those that have links."""
     spark = docs.sparkSession
     small_batches(spark)
     rank = spark.sparkContext.broadcast(_sketch(docs))
@@ -560,21 +566,27 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = cut(short.union(_stars(members)).distinct())
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     marks = cut(_marks(docs, ids, rank))
-    edges = _families(_likely(pairs, marks), docs, rank)
+    edges, stars = _families(_likely(pairs, marks), docs, rank)
     release(spark)
+
+    def labelled():
+        if edges.isEmpty():
+            return spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
+        return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select("a", "a").distinct()) if stars else components(edges)
+
+    labels = labelled()
     if not members.isEmpty():
-        labels = components(edges) if not edges.isEmpty() else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
-        edges = edges.union(cut(_between(members, labels, docs, rank)))
+        more = cut(_between(members, labels, docs, rank))
+        if not more.isEmpty():
+            edges, stars = edges.union(more), False
+            labels = labelled()
         release(spark)
-    return classed, edges
+    return classed, edges, labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row; see the module for the rules."""
-    classed, edges = links(docs)
-    if edges.isEmpty():
-        return classed.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
-    labels = components(edges)
+    classed, _, labels = links(docs)
     out = classed.join(labels, classed.id == labels.node, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"))
 
