@@ -261,7 +261,7 @@ class Counts:
         sizes = rows.groupBy("r").agg(F.sum(F.octet_length("k")).alias("n")).collect()  # at most RANGES
         self.size = {x.r: x["n"] // 8 for x in sizes}
         low: dict[str, tuple[list, list]] = {}
-        for x in rows.select("lang", "k").toLocalIterator():
+        for x in rows.select("lang", "k").coalesce(8).toLocalIterator():
             ks, cs = low.setdefault(x.lang, ([], []))
             for held, new in zip((ks, cs), _shorter(np.sort(np.frombuffer(x.k, np.uint64)), ORDER - 1), strict=True):
                 held.append(new)
@@ -282,7 +282,7 @@ class Counts:
 
     def model(self, ranges: range) -> Model:
         got: dict[str, tuple[list, list]] = {}
-        for x in self.rows.where(F.col("r").between(ranges.start, ranges.stop - 1)).toLocalIterator():
+        for x in self.rows.where(F.col("r").between(ranges.start, ranges.stop - 1)).coalesce(8).toLocalIterator():
             ks, cs = got.setdefault(x.lang, ([], []))
             ks.append(np.frombuffer(x.k, np.uint64))
             cs.append(np.frombuffer(x.c, np.int64))
@@ -292,11 +292,14 @@ class Counts:
 _COUNTS = "lang string, r int, k binary, c binary"
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    small_batches(rows.sparkSession)
+    return cut(rows.mapInArrow(_count, _COUNTS).repartition(RANGES, "r").mapInArrow(_sum, _COUNTS))
+
+
 def train(docs: DataFrame) -> Counts | None:
     """Counts of the ``text`` and non-null ``lang`` of all rows."""
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    small_batches(docs.sparkSession)
-    counts = Counts(cut(rows.mapInArrow(_count, _COUNTS).repartition(RANGES, "r").mapInArrow(_sum, _COUNTS)))
+    counts = Counts(_counted(docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")))
     return counts if counts.langs else None
 
 
@@ -304,12 +307,12 @@ def learn(docs: DataFrame) -> tuple[Counts | None, dict[str, tuple[float, float]
     """Counts of the ``text`` and non-null ``lang`` of all rows, and the limits of rejection from the fold."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
     fold = F.pmod(F.xxhash64("text"), F.lit(FOLD)) == 0
-    marked = train(rows.withColumn("lang", F.concat(F.when(fold, "1").otherwise("0"), "lang")))
-    if marked is None:
+    marked = _counted(rows.withColumn("lang", F.concat(F.when(fold, "1").otherwise("0"), "lang")))  # once counted, the fold is told by the name
+    name = F.substring("lang", 2, 1 << 30)
+    both = Counts(cut(marked.withColumn("lang", name).repartition(RANGES, "r").mapInArrow(_sum, _COUNTS)))
+    if not both.langs:
         return None, {}
-    name = F.substring("lang", 2, 1 << 30)  # once counted, the fold is told apart by the name
-    both = Counts(cut(marked.rows.withColumn("lang", name).repartition(RANGES, "r").mapInArrow(_sum, _COUNTS)))
-    rest = Counts(marked.rows.where("substr(lang, 1, 1) = '0'").withColumn("lang", name))
+    rest = Counts(marked.where("substr(lang, 1, 1) = '0'").withColumn("lang", name))
     seen = score(rows.where(fold).select("text"), rest if rest.langs else both)
     return both, calibrate(cut(seen.select("lang_pred", "entropy", "n_symbols")))
 
