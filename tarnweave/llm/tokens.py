@@ -6,11 +6,16 @@ so a word of any length costs the same per byte.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+with contextlib.suppress(OSError, AttributeError):  # glibc: freed arrays go back to the system, workers outlive many stages
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Text bytes that are handled at once; a longer text is handled alone.
