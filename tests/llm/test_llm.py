@@ -268,6 +268,28 @@ def test_scores(spark, monkeypatch):
         assert r.score < 0
 
 
+def test_held_out_texts_beat_word_counts(spark):
+    rows = lmscore.op4_lm_scoring(spark, "/root/testdata/sf0.01").where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_scores_without_an_id(spark):
+    df = spark.createDataFrame([(None, "a b"), (1, "a b"), (None, None)], "row long, text string")
+    got = lmscore.score(df, F.lit(True)).collect()
+    assert sorted((r.row is None, r.n_tokens) for r in got) == [(False, 3), (True, 1), (True, 3)]
+    assert len({round(r.score, 9) for r in got if r.n_tokens == 3}) == 1
+
+
+def test_probabilities_of_ids_sum_to_one():
+    m = lmscore.Model(np.random.default_rng(2).integers(0, 90, lmscore.IDS))
+    at = np.array([0, 41])
+    before = np.random.default_rng(3).integers(0, lmscore.IDS, 41)
+    x, live, _, _ = lmscore.windows(before, at)
+    z, _ = m.net.forward(x, live)
+    whole = np.exp(z[:, :, m.of[np.arange(lmscore.IDS)]] + m.share).sum(2)
+    assert np.allclose(whole, 1, atol=1e-3)
+
+
 def test_every_training_text_is_learnt_from(spark, monkeypatch):
     made, init = [], lmscore.Model.__init__
 
