@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset (single machine, tests) a temporary folder."""
+    """``spark.checkpoint.dir``; where it is unset on a single machine (tests) a temporary folder, on a cluster an error."""
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not known and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(known or tempfile.mkdtemp(prefix="tarnweave-"))
     return known or sc.getCheckpointDir()
@@ -31,5 +33,10 @@ def release(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds what a Python worker gets at once; texts are larger than the rows Spark's default is for."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bounds what a Python worker gets at once; texts are larger than the rows Spark's default is for.
+
+    A session that has another number than Spark's default keeps it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
