@@ -37,8 +37,8 @@ RUN = 32
 STARS = 4
 TRIE = 512
 #: Tokens of a family that go into one trie.
-TOKENS = 1 << 21
-ENTRIES = 1 << 19
+TOKENS = 1 << 19
+ENTRIES = 1 << 18
 FILTER_BITS = 24
 #: More ids than this are joined instead of put in a bit array (32 MB).
 MOST_IDS = 1 << 25
@@ -411,15 +411,24 @@ class Parts:
             self.count -= 1
 
 
+def _spread(edges: DataFrame) -> DataFrame:
+    """``(node, component)``: the least node up to two edges away, a first guess of the component."""
+    both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select("b", "a"))
+    near = both.groupBy(F.col("x").alias("node")).agg(F.least(F.col("node"), F.min("y")).alias("component"))
+    far = both.join(near, both.y == near.node).groupBy(F.col("x").alias("node")).agg(F.min("component").alias("far"))
+    return near.join(far, "node").select("node", F.least("component", "far").alias("component"))
+
+
 def _families(pairs: DataFrame, docs: DataFrame, rank) -> tuple[DataFrame, bool]:
     """Links (a, b) that connect what the pairs (a, b, n) connect if their sets link; whether each a is the least of its part.
 
-    A family of up to ``TRIE`` members and ``TOKENS`` tokens is one trie, each set is sent there once.  Of a larger one, each pair is verified.
+    A family of up to ``TRIE`` members and ``TOKENS`` tokens is one trie, each set is sent there once.  Pairs of a larger one, and those
+    between families, are verified one by one, so that any division into families gives the same parts.
     """
     pairs = cut(pairs)
     if pairs.isEmpty():
         return pairs.select("a", "b"), True
-    nodes = cut(components(pairs))
+    nodes = cut(_spread(pairs))
     ends = pairs.select(F.col("a").alias("node"), "n").union(pairs.select(F.col("b").alias("node"), (F.col("n") * 4 / 3).cast("long").alias("n")))
     size = ends.groupBy("node").agg(F.max("n").alias("n")).join(nodes, "node").groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
     fits = (F.col("m") <= TRIE) & (F.col("tokens") <= TOKENS)
@@ -456,7 +465,9 @@ def _families(pairs: DataFrame, docs: DataFrame, rank) -> tuple[DataFrame, bool]
 
     sent = _members(docs, small, rank).join(small, "id").select("family", "id", "t").repartition("family").sortWithinPartitions("family", "id", "t")
     edges = cut(sent.mapInArrow(run, "a long, b long"))
-    rest = pairs.join(placed.where("NOT whole").select(F.col("id").alias("a")), "a", "left_semi")
+    x = placed.select(F.col("id").alias("a"), F.col("family").alias("f"), "whole")
+    y = placed.select(F.col("id").alias("b"), F.col("family").alias("g"))
+    rest = cut(pairs.join(x, "a").join(y, "b").where("NOT whole OR f <> g").select("a", "b", "n"))
     if rest.isEmpty():
         return edges, True
     salts = rest.groupBy("a").agg((F.floor(F.count("*") * F.max("n") / TOKENS) + 1).alias("salts"))
@@ -569,18 +580,17 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     edges, stars = _families(_likely(pairs, marks), docs, rank)
     release(spark)
 
-    def labelled():
-        if edges.isEmpty():
-            return spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
-        return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select("a", "a").distinct()) if stars else components(edges)
-
-    labels = labelled()
+    none = spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
+    own = none if edges.isEmpty() else None
+    if own is None and stars:
+        own = edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select("a", "a").distinct())
     if not members.isEmpty():
-        more = cut(_between(members, labels, docs, rank))
+        guess = cut(_spread(edges)) if own is None else own  # smaller parts only mean more work
+        more = cut(_between(members, guess, docs, rank))
         if not more.isEmpty():
-            edges, stars = edges.union(more), False
-            labels = labelled()
+            edges, own = edges.union(more), None
         release(spark)
+    labels = components(edges) if own is None else own
     return classed, edges, labels
 
 
