@@ -12,11 +12,22 @@ READING = frozenset(
 )
 
 
+#: Functions that a reading statement may call; none of them reaches files, classes or the session.
+CALLS = frozenset(
+    "abs array array_contains array_distinct array_join array_sort avg bool_and bool_or cardinality ceil coalesce collect_list collect_set concat concat_ws"
+    " contains corr count count_if date_add date_diff date_format date_sub date_trunc datediff day dayofweek dense_rank element_at exists explode"
+    " filter first floor forall greatest if ifnull initcap instr lag last lcase lead least left length levenshtein ln log10 lower lpad ltrim map max max_by"
+    " md5 mean median min min_by mod month nullif nvl percentile percentile_approx pmod posexplode power quarter rank regexp_extract regexp_like regexp_replace"
+    " replace reverse right round row_number rpad rtrim sequence sha2 sign size slice split sqrt startswith endswith stddev struct substr substring sum to_date"
+    " to_timestamp transform trim try_cast try_divide ucase upper variance when year zip_with % * + - / < <= <=> <> = == > >= and or not like rlike in".split()
+)
+
+
 def tokens(text: str) -> list[str]:
-    """Search words: special characters become spaces, words of one letter go."""
+    """Search words: runs of letters and digits, words of one letter go."""
     import re
 
-    return [w for w in re.sub(r'[+\-&|!(){}\[\]^"~*?:\\/]', " ", text.lower()).split() if len(w) > 1]
+    return [w for w in re.findall(r"[^\W_]+", text.lower()) if len(w) > 1]
 
 
 def search(entities: DataFrame, text: str, edit: int = 2, k: int = 10) -> DataFrame:
@@ -41,20 +52,44 @@ def search(entities: DataFrame, text: str, edit: int = 2, k: int = 10) -> DataFr
     return found.orderBy(F.col("score").desc(), F.col("wins").desc(), "id").limit(k)
 
 
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
 def is_reading(spark: SparkSession, text: str) -> bool:
-    """The parsed plan and all plans inside it only read: an allow-list of plan nodes."""
+    """The parsed plan and all plans inside it only read: allow-lists of plan nodes and of functions, and relations
+    that are tables or views of the session (no files)."""
     try:
         plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
     except Exception:
         return False
-    stack = [plan]
+    from py4j.java_gateway import is_instance_of
+
+    def tree(x, kind: str) -> bool:
+        return is_instance_of(spark.sparkContext._gateway, x, f"org.apache.spark.sql.catalyst.{kind}")
+
+    stack, read, named = [plan], [], set()
     while stack:
         p = stack.pop()
-        if p.getClass().getSimpleName().rstrip("$") not in READING:
-            return False
-        for seq in (p.children(), p.innerChildren(), p.subqueries()):
-            stack += [seq.apply(i) for i in range(seq.size()) if hasattr(seq.apply(i), "innerChildren")]
-    return True
+        kind = p.getClass().getSimpleName().rstrip("$")
+        if tree(p, "plans.logical.LogicalPlan"):
+            if kind not in READING:
+                return False
+            if kind == "UnresolvedRelation":
+                read.append(_items(p.multipartIdentifier()))
+            if kind == "UnresolvedTableValuedFunction":
+                return False
+            if kind == "UnresolvedWith":
+                named |= {_items(x.productIterator().toSeq())[0].lower() for x in _items(p.cteRelations())}
+                stack += [_items(x.productIterator().toSeq())[1] for x in _items(p.cteRelations())]
+            stack += [*_items(p.children()), *_items(p.expressions())]
+        else:
+            if kind == "UnresolvedFunction" and ".".join(_items(p.nameParts())).lower() not in CALLS:
+                return False
+            if tree(p, "expressions.PlanExpression"):
+                stack.append(p.plan())
+            stack += _items(p.children())
+    return all(len(x) == 1 and (x[0].lower() in named or spark.catalog.tableExists(x[0])) for x in read)
 
 
 def run_sql(spark: SparkSession, text: str, args: dict | None = None, most: int = 50) -> DataFrame:

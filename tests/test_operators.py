@@ -1,15 +1,17 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tarnweave.functions import codes
-from tarnweave.operators import linkage, network, vectors
+from tarnweave.operators import linkage, lookup, network, vectors
 from tarnweave.operators.components import components
 from tarnweave.operators.records import merge_lots, upsert
 from tarnweave.sources import adapters
 from tarnweave.sources.paging import balanced_ranges, keyset_page
+from tarnweave.streaming.incremental import Table
 
 
 def test_components_match_union_find(spark):
@@ -155,3 +157,51 @@ def test_only_reading_sql(spark):
     assert is_reading(spark, "WITH a AS (SELECT 1 x) SELECT x, 'set or drop' FROM a WHERE x IN (SELECT 1) ORDER BY x LIMIT 3")
     for text in ("DROP TABLE x", "INSERT INTO a SELECT 1", "CREATE VIEW v AS SELECT 1", "SET a = b", "nonsense"):
         assert not is_reading(spark, text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT java_method('java.lang.System', 'getProperty', 'user.dir')",
+        "SELECT reflect('java.lang.System', 'exit', '0') FROM guarded",
+        "SELECT id FROM guarded WHERE id > (SELECT length(java_method('java.lang.System', 'getProperty', 'user.dir')))",
+        "WITH x AS (SELECT try_reflect('java.lang.System', 'exit', '0')) SELECT * FROM x",
+        "SELECT * FROM parquet.`/etc`",
+        "SELECT * FROM text.`/etc/passwd`",
+        "SELECT * FROM unknown_table",
+        "SELECT * FROM range(5)",
+        "DROP TABLE guarded",
+    ],
+)
+def test_statements_that_do_more_than_read_are_refused(spark, text):
+    spark.range(3).createOrReplaceTempView("guarded")
+    with pytest.raises(PermissionError):
+        lookup.run_sql(spark, text)
+
+
+def test_reading_statements(spark):
+    spark.range(3).createOrReplaceTempView("guarded")
+    out = lookup.run_sql(spark, "WITH x AS (SELECT id, upper('a') AS u FROM guarded WHERE id IN (SELECT max(id) FROM guarded)) SELECT count(*) AS n, sum(id) AS s FROM x")
+    assert out.first().n == 1 and out.first().s == 2
+
+
+def test_a_pointer_is_replaced_whole(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"))
+    table.replace(spark.range(2))
+    before = table.current()
+    table._point = lambda aside: None  # stopped before the last step
+    table.replace(spark.range(5))
+    assert table.current() == before and table.read().count() == 2
+    del table._point
+    table.replace(spark.range(5))
+    assert table.read().count() == 5
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from tarnweave.plans import durable
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(ValueError):
+        durable.shared_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
