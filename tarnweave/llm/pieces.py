@@ -33,7 +33,7 @@ from tarnweave.plans.durable import cut, small_batches
 MARK = "▁"
 CHUNK = 32_768
 FAN = 64
-MOST_SEGMENTS = 200_000
+MOST_SEGMENTS = 100_000
 #: Longer segments are merged one by one with a heap.
 SHORT = 64
 _CODE = 21
@@ -81,7 +81,7 @@ class Pieces:
         self.valid: dict[str, bool] = {}
         # codes: the id of a piece, or the number of pieces and the code point of a character that is none
         self.size = sp.get_piece_size()
-        self.code = np.arange(0x110000, dtype=np.int64) + self.size
+        self.code = np.arange(0x110000, dtype=np.int32) + self.size
         for p, i in self.id.items():
             if len(p) == 1:
                 self.code[ord(p)] = i
@@ -109,7 +109,7 @@ class Pieces:
     def merge_all(self, segments: list[str]) -> list[tuple[int, ...]]:
         """Ids of many short segments: each round merges the best pair of every segment, leftmost first."""
         lengths = np.fromiter(map(len, segments), np.int64, len(segments))
-        symbol = self.code[np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)]
+        symbol = self.code[np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)].astype(np.int64)
         owner = np.repeat(np.arange(len(segments)), lengths)
         pair = np.full(len(symbol), -1, np.int64)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
@@ -191,8 +191,8 @@ class Pieces:
             self.known.clear()
             new = segments
         short = [w for w in new if len(w) <= SHORT]
-        for i in range(0, len(short), 1 << 16):
-            part = short[i : i + (1 << 16)]
+        for i in range(0, len(short), 1 << 14):
+            part = short[i : i + (1 << 14)]
             self.known.update(zip(part, self.merge_all(part), strict=True))
         for w in new:
             if len(w) > SHORT:
@@ -414,11 +414,15 @@ def _lists(rows: list, ok: list[bool]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(flat), mask=mask)
 
 
+def _texts(p: Pieces, ids: pa.Array) -> pa.Array:
+    return pa.array([p.decode(x.values.to_pylist()) if x.is_valid else None for x in ids], pa.string())
+
+
 def _schema(df: DataFrame, more: str) -> str:
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), more])
 
 
-def _rows(batches, most: int = 1 << 22):
+def _rows(batches, most: int = 1 << 19):
     for batch in batches:
         n = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
         i = 0
@@ -428,9 +432,12 @@ def _rows(batches, most: int = 1 << 22):
             i = j
 
 
-def encode(docs: DataFrame, model_path: str | None = None, chunk: int = CHUNK) -> DataFrame:
-    """``docs`` with ``ids``, the piece ids of ``text``."""
-    docs = docs.drop("ids")
+def encode(docs: DataFrame, model_path: str | None = None, chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
+    """``docs`` with ``ids``, the piece ids of ``text``, and on demand ``decoded``, the text of these.
+
+    Asked for here, ``decoded`` takes no worker of its own beside the encoder's.
+    """
+    docs = docs.drop("ids", "decoded") if decoded else docs.drop("ids")
     small_batches(docs.sparkSession)
     with open(model_path or default_model(), "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -441,9 +448,10 @@ def encode(docs: DataFrame, model_path: str | None = None, chunk: int = CHUNK) -
         for batch in _rows(batches):
             texts = batch.column("text").to_pylist()
             ids = _lists(p.encode_all([p.escape(t) if t else "" for t in texts]), [t is not None for t in texts])
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
+            more = {"ids": ids, "decoded": _texts(p, ids)} if decoded else {"ids": ids}
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*batch.schema.names, *more])
 
-    done = docs.where(size <= chunk).mapInArrow(small, _schema(docs, "ids array<int>"))
+    done = docs.where(size <= chunk).mapInArrow(small, _schema(docs, "ids array<int>, decoded string" if decoded else "ids array<int>"))
     giant = cut(docs.where(size > chunk).withColumn("_uid", F.monotonically_increasing_id()))
     if giant.isEmpty():
         return done
@@ -473,7 +481,8 @@ def encode(docs: DataFrame, model_path: str | None = None, chunk: int = CHUNK) -
 
     parts = pieces.join(known, ["_uid", "k"]).mapInArrow(traced, "_uid long, k int, ids array<int>")
     joined = parts.groupBy("_uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return done.unionByName(giant.join(joined, "_uid").drop("_uid"))
+    long = giant.join(joined, "_uid").drop("_uid")
+    return done.unionByName(decode(long, model_path) if decoded else long)
 
 
 def _boundaries(pieces: DataFrame, model) -> DataFrame:
@@ -541,16 +550,14 @@ def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
     def run(batches):
         p = _loaded(model.value)
         for batch in batches:
-            ids = batch.column("ids")
-            out = [p.decode(x.values.to_pylist()) if x.is_valid else None for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _texts(p, batch.column("ids"))], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, _schema(encoded, "decoded string"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, round_trip)``; the hash is over the ids joined by commas."""
-    both = decode(encode(docs.select("doc_id", "text")))
+    both = encode(docs.select("doc_id", "text"), decoded=True)
     return both.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
