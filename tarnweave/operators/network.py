@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,11 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return ranged.withColumn("_own", own).join(before, "_p").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_p", "_own", "_n", "_before")
 
 
-def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-9, patience: int = 3) -> DataFrame:
+#: Directed edges of a graph that one task settles by the same rule; 2 MB.
+FEW = 1 << 16
+
+
+def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-9, patience: int = 3, few: int = FEW) -> DataFrame:
     """``(node, community)`` of a weighted graph ``(a, b, w)`` by greedy modularity, synchronous and
     deterministic.
 
@@ -36,12 +41,24 @@ def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-9, pati
     A level ends when no node moved in a pair of rounds, or when modularity rose by no more than ``tolerance``
     in ``patience`` pairs, each of another hash; then communities become nodes.
     Communities are connected: each is split into its components at the end.
+
+    A graph of at most ``few`` directed edges is settled inside one task, by the same moves in the same order, so with the
+    same result; node numbers are longs.
     """
     both = edges.select("a", "b", F.col("w").cast("double").alias("w"))
     both = cut(both.union(both.select("b", "a", "w")).groupBy("a", "b").agg(F.sum("w").alias("w")))
     total = both.agg(F.sum("w")).first()[0]
     if not total:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("community")).limit(0)
+    if both.count() <= few:
+
+        def here(batches):
+            rows = [r for batch in batches for r in zip(*(batch.column(x).to_pylist() for x in "abw"), strict=True)]
+            found = sorted(_settled(rows, total, levels, tolerance, patience).items()) if rows else []
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["node", "community"])
+
+        one = both.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), "w").coalesce(1)
+        return one.mapInArrow(here, "node long, community long")
     assigned = both.select(F.col("a").alias("node")).distinct().withColumn("community", F.col("node"))
     graph = both
     for _ in range(levels):
@@ -92,6 +109,85 @@ def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-9, pati
     return assigned.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("community"))
 
 
+def _settled(edges: list[tuple[int, int, float]], total: float, levels: int, tolerance: float, patience: int) -> dict[int, int]:
+    """Community of each node of a small symmetric graph: ``communities`` over dictionaries."""
+    import struct
+    from decimal import ROUND_HALF_UP, Decimal
+
+    import xxhash
+
+    def even(n: int, salt: int) -> int:
+        """The hash of a long and an int that the plan takes, modulo 2."""
+        return xxhash.xxh64_intdigest(struct.pack("<i", salt), xxhash.xxh64_intdigest(struct.pack("<q", n), 42)) & 1
+
+    def rounded(x: float) -> Decimal:
+        return Decimal(repr(x)).quantize(Decimal("1e-9"), ROUND_HALF_UP)
+
+    def quality(c: dict[int, int]) -> float:
+        vol: dict[int, float] = {}
+        for n, d in degree.items():
+            vol[c[n]] = vol.get(c[n], 0.0) + d
+        inside = sum(w for a, to in graph.items() for b, w in to.items() if c[a] == c[b])
+        return inside / total - sum(v * v for v in vol.values()) / total / total
+
+    graph: dict[int, dict[int, float]] = {}
+    for a, b, w in edges:
+        graph.setdefault(a, {})[b] = w
+    first, assigned = graph, {n: n for n in graph}
+    for _ in range(levels):
+        degree = {a: sum(to.values()) for a, to in graph.items()}
+        c = {n: n for n in graph}
+        best_q, best, moved_any, turn, idle, moved, risen = quality(c), c, False, 0, 0, False, False
+        while True:
+            vol: dict[int, float] = {}
+            for n, d in degree.items():
+                vol[c[n]] = vol.get(c[n], 0.0) + d
+            new = dict(c)
+            for n, d in degree.items():
+                if even(n, turn // 2) != turn % 2:
+                    continue
+                k: dict[int, float] = {}
+                for b, w in graph[n].items():
+                    if b != n:
+                        k[c[b]] = k.get(c[b], 0.0) + w
+                if k:
+                    gain = {x: v - d * (vol[x] - d if x == c[n] else vol[x]) / total for x, v in k.items()}
+                    to = max(gain, key=lambda x: (rounded(gain[x]), -x))
+                    if gain[to] > gain.get(c[n], 0.0) + 1e-9:
+                        new[n] = to
+            now = new != c
+            c = new
+            moved |= now
+            if now and (q := quality(c)) > best_q + tolerance:
+                best_q, best, moved_any, risen = q, c, True, True
+            if turn % 2:
+                idle = 0 if risen else idle + 1
+                if not moved or idle == patience:
+                    break
+                moved = risen = False
+            turn += 1
+        if not moved_any:
+            break
+        assigned = {n: best[x] for n, x in assigned.items()}
+        up: dict[int, dict[int, float]] = {}
+        for a, to in graph.items():
+            for b, w in to.items():
+                row = up.setdefault(best[a], {})
+                row[best[b]] = row.get(best[b], 0.0) + w
+        graph = up
+    root: dict[int, int] = {}
+    for n in sorted(first):  # each part is named by its least node
+        if n not in root:
+            root[n], stack = n, [n]
+            while stack:
+                x = stack.pop()
+                for y in first[x]:
+                    if y not in root and assigned[y] == assigned[x]:
+                        root[y] = n
+                        stack.append(y)
+    return root
+
+
 def modularity(graph: DataFrame, nodes: DataFrame, total: float) -> float:
     """Of a symmetric graph ``(a, b, w)`` under ``(n, d, c)``."""
     x, y = nodes.select(F.col("n").alias("a"), F.col("c").alias("ca")), nodes.select(F.col("n").alias("b"), F.col("c").alias("cb"))

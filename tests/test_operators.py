@@ -205,3 +205,10 @@ def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
     with pytest.raises(ValueError):
         durable.shared_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
+
+
+def test_small_graphs_are_settled_alike(spark):
+    """Two triangles and a bridge: one task and the plan give the same communities."""
+    df = spark.createDataFrame([(1, 2, 3), (2, 3, 3), (1, 3, 2), (4, 5, 3), (5, 6, 3), (4, 6, 2), (3, 4, 1)], "a long, b long, w long")
+    one = {x.node: x.community for x in network.communities(df, levels=1, patience=1).collect()}
+    assert one == {x.node: x.community for x in network.communities(df, levels=1, patience=1, few=0).collect()}
