@@ -13,9 +13,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-with contextlib.suppress(OSError, AttributeError):  # glibc: freed arrays go back to the system, workers outlive many stages
-    ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
-    pa.set_memory_pool(pa.system_memory_pool())
+
+def give_back(least: int, most: int = 1 << 20) -> None:
+    """glibc: freed arrays of ``least`` bytes go back to the system at once, others from ``most`` free bytes on; workers outlive
+    many stages.  Elsewhere nothing happens."""
+    with contextlib.suppress(OSError, AttributeError):
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, least)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, most)  # M_TRIM_THRESHOLD
+
+
+give_back(1 << 20)
+pa.set_memory_pool(pa.system_memory_pool())
+
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Text bytes that are handled at once; a longer text is handled alone.
