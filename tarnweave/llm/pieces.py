@@ -33,7 +33,7 @@ from tarnweave.plans.durable import cut, small_batches
 MARK = "▁"
 CHUNK = 32_768
 FAN = 64
-MOST_SEGMENTS = 100_000
+MOST_SEGMENTS = 150_000
 #: Longer segments are merged one by one with a heap.
 SHORT = 64
 _CODE = 21
@@ -69,6 +69,9 @@ class Pieces:
             else:
                 self.score[p], self.id[p] = sp.get_score(i), i
                 self.raw.append(p.replace(MARK, " ").encode())
+        self.raw_size = np.fromiter(map(len, self.raw), np.int64, len(self.raw))
+        self.raw_at = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
         self.fallback = any(self.byte)
         self.longest = max(map(len, self.score))
         self.prefix = bool(sp.encode("a", out_type=str)[0].startswith(MARK))
@@ -415,6 +418,28 @@ def _lists(rows: list, ok: list[bool]) -> pa.Array:
 
 
 def _texts(p: Pieces, ids: pa.Array) -> pa.Array:
+    """Texts of lists of ids: the pieces' bytes laid end to end, the space before each text left out."""
+    at = ids.offsets.to_numpy().astype(np.int64)
+    flat = ids.flatten().to_numpy()
+    if len(ids) and not ids.null_count and at[-1] - at[0] == len(flat):
+        at = at - at[0]
+        begin, size = p.raw_at[flat], p.raw_size[flat]
+        first = at[:-1][np.diff(at) > 0]
+        if p.prefix:
+            spaced = first[(size[first] > 0) & (p.raw_bytes[np.minimum(begin[first], len(p.raw_bytes) - 1)] == 32)]
+            begin[spaced] += 1
+            size[spaced] -= 1
+        ends = np.concatenate([[0], np.cumsum(size)])
+        data = p.raw_bytes[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
+        rows = ends[at]
+        starts = rows[:-1][rows[:-1] < len(data)]
+        try:
+            data.tobytes().decode()
+            whole = not ((data[starts] & 0xC0) == 0x80).any()  # no character goes on in the next text
+        except UnicodeDecodeError:
+            whole = False
+        if whole:
+            return pa.StringArray.from_buffers(len(ids), pa.py_buffer(rows.astype(np.int32)), pa.py_buffer(data))
     return pa.array([p.decode(x.values.to_pylist()) if x.is_valid else None for x in ids], pa.string())
 
 
@@ -422,7 +447,7 @@ def _schema(df: DataFrame, more: str) -> str:
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), more])
 
 
-def _rows(batches, most: int = 1 << 19):
+def _rows(batches, most: int = 1 << 21):
     for batch in batches:
         n = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
         i = 0

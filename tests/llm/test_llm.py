@@ -119,6 +119,18 @@ def test_pieces_equal_the_library():
             assert (0, path[-1][1]) in whole[0, ""]
 
 
+def test_decoding_of_columns():
+    """All rows at once give what each row gives alone, broken bytes included."""
+    import pyarrow as pa
+
+    p = pieces.Pieces(open(pieces.default_model(), "rb").read())
+    r = random.Random(11)
+    good = [[i for s in p.encode(p.escape(t)) for i in s] for t in ["a b", "", " x", "日本語😀é", "line\nline  two", "<s>"]]
+    odd = [[p.byte[0xC3]], [p.byte[0xA9]], [p.unknown, 1, 2], [r.randrange(p.size) for _ in range(50)]]
+    for rows in (good, good + odd, [*good, None], [[]], [good[0][1:], good[3]]):
+        assert pieces._texts(p, pa.array(rows, pa.list_(pa.int32()))).to_pylist() == [None if x is None else p.decode(x) for x in rows]
+
+
 def test_giant_texts_over_chunks(spark, monkeypatch):
     import sentencepiece
 
