@@ -103,3 +103,34 @@ def chart_columns(rows: DataFrame) -> tuple[str, str]:
     numeric = [f.name for f in rows.schema if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")]
     value = numeric[0] if numeric else rows.columns[-1]
     return next((c for c in rows.columns if c != value), value), value
+
+
+def complete(rows: DataFrame, required: list[str], defaults: dict) -> DataFrame:
+    """Rows whose required columns are neither null nor empty, with defaults for nulls of other columns."""
+    kept = rows.where(F.forall(F.array(*[F.coalesce(F.col(x).cast("string"), F.lit("")) for x in required]), lambda x: x != ""))
+    return kept.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items()})
+
+
+def provenance(rows: DataFrame, source: str) -> DataFrame:
+    """Rows marked as not yet processed, with their source and the time of the load."""
+    return rows.withColumns({"_synced": F.lit(False), "_ingestedAt": F.current_timestamp(), "_source": F.lit(source)})
+
+
+def backfilled(rows: DataFrame, values: DataFrame, key: str, column: str) -> DataFrame:
+    """Rows whose null `column` is filled from `values` (key, column); known values stay. A key with several values takes the least."""
+    found = values.groupBy(key).agg(F.min(column).alias("_found"))
+    return rows.join(found, key, "left").withColumn(column, F.coalesce(column, "_found")).drop("_found")
+
+
+def agreement(human: Column, verdict: Column) -> Column:
+    """How a label given by name alone stands to the verdict by code: agree, name_misled, code_found or other.
+
+    Labels are `same`, `diff`, `?` or empty (null is empty); verdicts are `same` or `diff`.
+    """
+    said = F.lower(F.trim(F.coalesce(human, F.lit(""))))
+    return (
+        F.when(said == verdict, "agree")
+        .when((said == "same") & (verdict == "diff"), "name_misled")
+        .when(said.isin("diff", "?") & (verdict == "same"), "code_found")
+        .otherwise("other")
+    )

@@ -422,3 +422,39 @@ def strategies_over_pairs(t):
     met = x.join(y, F.expr("a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey"))
     gold = met.select(F.lit("").alias("left_code"), F.lit("").alias("right_code"), c("a.p_name").alias("left_name"), c("b.p_name").alias("right_name"), (c("a.p_type") == c("b.p_type")).alias("so"))
     return linkage.strategies(gold).where("strategy = 'exact_name'").select("strategy", "tp", "fp", "fn", "tn")
+
+
+@query("prj20_complete_rows", "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END, 'avviso') AS kind, o_orderkey % 2 = 0 OR o_custkey % 2 = 0 AS active FROM orders WHERE o_orderkey % 5 > 0 AND o_custkey % 7 > 0")
+def complete_rows(t):
+    """Flat rows with both identifiers; kind and active have defaults."""
+    given = t.orders.select(
+        "o_orderkey", F.when(c("o_orderkey") % 5 > 0, c("o_orderkey")).alias("a"), F.when(c("o_custkey") % 7 > 0, c("o_custkey").cast("string")).otherwise("").alias("b"),
+        F.when(c("o_orderkey") % 3 > 0, c("o_orderstatus")).alias("kind"), F.when(c("o_orderkey") % 2 > 0, c("o_custkey") % 2 == 0).alias("active"),
+    )
+    return loads.complete(given, ["a", "b"], {"kind": "avviso", "active": True}).select("o_orderkey", "kind", "active")
+
+
+@query("prj32_provenance", "SELECT n_nationkey, false AS _synced, 'nations' AS _source, true AS stamped FROM nation")
+def provenance(t):
+    """Rows with their source, flag and time of the load."""
+    return loads.provenance(t.nation, "nations").select("n_nationkey", "_synced", "_source", c("_ingestedAt").isNotNull().alias("stamped"))
+
+
+@query("snk23_backfill", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN 'known' ELSE c_name END AS link FROM orders LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 > 0) ON o_custkey = c_custkey")
+def backfill(t):
+    """A derived column filled where it is null."""
+    rows = t.orders.select("o_orderkey", c("o_custkey").alias("k"), F.when(c("o_orderkey") % 3 > 0, "known").alias("link"))
+    found = t.customer.where("c_custkey % 4 > 0").select(c("c_custkey").alias("k"), c("c_name").alias("link"))
+    return loads.backfilled(rows, found, "k", "link").select("o_orderkey", "link")
+
+
+_SAID = "CASE p_size % 5 WHEN 0 THEN ' Same' WHEN 1 THEN 'diff' WHEN 2 THEN '?' WHEN 3 THEN '' END"
+_RULED = "CASE WHEN p_partkey % 3 = 0 THEN 'same' ELSE 'diff' END"
+
+
+@query("lk14_agreement", "WITH x AS (SELECT p_size % 5 AS h, p_partkey % 3 = 0 AS s FROM part) SELECT CASE WHEN h = 0 AND s OR h = 1 AND NOT s THEN 'agree' WHEN h = 0 THEN 'name_misled' WHEN h IN (1, 2) AND s THEN 'code_found' ELSE 'other' END AS outcome, count(*) AS n, count(*) FILTER (h IN (2, 3, 4)) AS unsure FROM x GROUP BY 1")
+def annotators(t):
+    """Labels by name against verdicts by code, counted by outcome."""
+    rows = t.part.select(F.expr(_SAID).alias("said"), F.expr(_RULED).alias("ruled"))
+    unsure = F.trim(F.coalesce("said", F.lit(""))).isin("", "?")
+    return rows.groupBy(loads.agreement(c("said"), c("ruled")).alias("outcome")).agg(F.count("*").alias("n"), F.count_if(unsure).alias("unsure"))
