@@ -134,3 +134,9 @@ def agreement(human: Column, verdict: Column) -> Column:
         .when(said.isin("diff", "?") & (verdict == "same"), "code_found")
         .otherwise("other")
     )
+
+
+def seeded(key: Column, seed: int) -> Column:
+    """A number from 0 to 1 that the seed and the key fix, alike in any partitioning; sorting by it shuffles, ties go by key. Null for a null key."""
+    drawn = F.md5(F.concat_ws(":", F.lit(seed), key.cast("string")))
+    return F.when(key.isNotNull(), F.conv(F.substring(drawn, 1, 8), 16, 10).cast("double") / 2**32)

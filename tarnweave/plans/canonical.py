@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarnweave.operators import linkage, loads, records
@@ -140,8 +141,6 @@ def delta_scope(t):
 
 @query("src04_history", "SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS place FROM orders WHERE o_custkey = 85")
 def history(t):
-    from pyspark.sql import Window
-
     one = t.orders.where("o_custkey = 85")
     return one.select("o_orderkey", "o_orderdate", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).cast("long").alias("place"))
 
@@ -458,3 +457,19 @@ def annotators(t):
     rows = t.part.select(F.expr(_SAID).alias("said"), F.expr(_RULED).alias("ruled"))
     unsure = F.trim(F.coalesce("said", F.lit(""))).isin("", "?")
     return rows.groupBy(loads.agreement(c("said"), c("ruled")).alias("outcome")).agg(F.count("*").alias("n"), F.count_if(unsure).alias("unsure"))
+
+
+_DRAWN = "CAST('0x' || substr(md5('7:' || {0}), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+@query("scl27_seeded_draw", "SELECT o_orderkey, CAST(" + _DRAWN.format("o_orderkey") + " AS DOUBLE) AS drawn FROM orders")
+def seeded_draw(t):
+    """One reproducible draw a row."""
+    return t.orders.select("o_orderkey", loads.seeded(c("o_orderkey"), 7).alias("drawn"))
+
+
+@query("srt08_seeded_shuffle", "SELECT s_nationkey, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY " + _DRAWN.format("s_suppkey") + ", s_suppkey) AS place FROM supplier")
+def seeded_shuffle(t):
+    """Places after a reproducible shuffle within groups."""
+    order = Window.partitionBy("s_nationkey").orderBy(loads.seeded(c("s_suppkey"), 7), "s_suppkey")
+    return t.supplier.select("s_nationkey", "s_suppkey", F.row_number().over(order).alias("place"))

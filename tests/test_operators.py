@@ -212,3 +212,20 @@ def test_small_graphs_are_settled_alike(spark):
     df = spark.createDataFrame([(1, 2, 3), (2, 3, 3), (1, 3, 2), (4, 5, 3), (5, 6, 3), (4, 6, 2), (3, 4, 1)], "a long, b long, w long")
     one = {x.node: x.community for x in network.communities(df, levels=1, patience=1).collect()}
     assert one == {x.node: x.community for x in network.communities(df, levels=1, patience=1, few=0).collect()}
+
+
+def test_loads_with_nulls(spark):
+    from pyspark.sql import functions as F
+
+    from tarnweave.operators import loads
+
+    rows = spark.createDataFrame([(1, "a", None), (2, "", "x"), (None, "b", "y"), (4, None, "z")], "id int, b string, link string")
+    assert [r.link for r in loads.complete(rows, ["id", "b"], {"link": "none"}).collect()] == ["none"]
+    found = spark.createDataFrame([(1, "q"), (1, "p"), (2, "n"), (None, "m")], "id int, link string")
+    out = {(r.id, r.link) for r in loads.backfilled(rows, found, "id", "link").collect()}
+    assert out == {(1, "p"), (2, "x"), (None, "y"), (4, "z")}
+    assert loads.backfilled(rows.limit(0), found, "id", "link").count() == 0
+    draws = rows.select(loads.seeded(F.col("id"), 1).alias("d"), "id").collect()
+    assert all((r.d is None) == (r.id is None) and (r.d is None or 0 <= r.d < 1) for r in draws)
+    said = spark.createDataFrame([(None, "same"), (" SAME ", "same"), ("same", "diff"), ("?", "same"), ("diff", "diff")], "h string, v string")
+    assert [r[0] for r in said.select(loads.agreement(F.col("h"), F.col("v"))).collect()] == ["other", "agree", "name_misled", "code_found", "agree"]
