@@ -8,63 +8,64 @@ from pyspark.sql import functions as F
 from tarnweave.functions.codes import near_names, verdict
 from tarnweave.operators.components import components
 
-PARTS = 3
+EDIT = 2  # near names are at most this many edits apart, and have a part more than that
 
 
-def _cuts(n, i):
-    """Where part i of PARTS of a text of length n begins."""
-    return F.floor(n * i / PARTS).cast("int")
+def _cuts(long: DataFrame) -> DataFrame:
+    """``(k, m, cut)``: where names of start k and length m are cut into parts that tell names apart about equally.
+
+    A place counts by the information of its characters (minus log of the chance that two names agree there).
+    """
+    place = long.select("k", F.col("n").alias("m"), F.posexplode(F.split("name", "")).alias("at", "letter"))
+    same = place.groupBy("k", "m", "at", "letter").agg(F.count("*").cast("double").alias("c"))
+    told = same.groupBy("k", "m", "at").agg((-F.log2(F.sum(F.col("c") * F.col("c")) / (F.sum("c") * F.sum("c"))) + 1e-6).alias("bits"))
+    bits = F.transform(F.array_sort(F.collect_list(F.struct("at", "bits"))), lambda x: x["bits"])
+    total = F.aggregate("bits", F.lit(0.0), lambda s, x: s + x)
+
+    def before(share):  # places whose sum of bits is within a share of the total
+        step = lambda s, x: F.struct((s["sum"] + x).alias("sum"), (s["n"] + F.when(s["sum"] + x <= share * total, 1).otherwise(0)).alias("n"))
+        return F.aggregate("bits", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")), step, lambda s: s["n"])
+
+    one, two = F.greatest(F.least(before(1 / 3), F.col("m") - 2), F.lit(1)), F.least(before(2 / 3), F.col("m") - 1)
+    return told.groupBy("k", "m").agg(bits.alias("bits")).select("k", "m", one.alias("one"), two.alias("two")).select(
+        "k", "m", F.array(F.lit(0), "one", F.greatest("two", F.col("one") + 1), "m").alias("cut")
+    )
 
 
-def fuzzy_pairs(names: DataFrame, block: int = 3, edit: int = 2) -> DataFrame:
+def fuzzy_pairs(names: DataFrame, block: int = 3) -> DataFrame:
     """Pairs (a, b, a_name, b_name), a < b, of ``(id, name)`` whose names start alike and are near.
 
-    A text with at most two edits keeps one of its three parts, shifted by two places at most.  Parts of one
-    side meet substrings of the other, so blocks of a common prefix are split without losing a
-    pair; equal names meet by themselves, counted once for each name before they are paired.
+    A name is cut into three parts, so two edits leave one of them whole.  With i parts before it, there is such a
+    part i with at most i edits before and ``EDIT`` - i after it, which bounds its shift: the first part stays
+    in place, the last one keeps its distance from the end.  Parts of the smaller id meet these substrings of
+    the larger one.  Any cut loses no pair; where names are cut follows from what tells them apart (``_cuts``), so a
+    common beginning is no block.  Equal names meet by themselves.  Null and empty names have no partner.
     """
-    n = F.length("name")
-    prefix = F.substring("name", 1, block)
     named = names.where("id IS NOT NULL AND name IS NOT NULL AND name <> ''")
-    long = named.where(n >= 8)
-    own = F.array(
-        *[F.struct(F.lit(i).alias("i"), n.alias("n"), F.substring("name", _cuts(n, i) + 1, _cuts(n, i + 1) - _cuts(n, i)).alias("part")) for i in range(PARTS)]
-    )
-    left = long.select("id", "name", prefix.alias("k"), F.explode(own).alias("x")).select("id", "name", "k", F.col("x.i").alias("i"), F.col("x.n").alias("n"), F.col("x.part").alias("part"))
-    # substrings that a part of a text of length m, m near n, may have become
-    probes = F.flatten(
-        F.array(
-            *[_probe(n, i, gap, edit) for i in range(PARTS) for gap in range(-edit, edit + 1)]
-        )
-    )
-    right = long.select("id", "name", prefix.alias("k"), F.explode(F.array_distinct(probes)).alias("x")).select(
-        F.col("id").alias("id2"), F.col("name").alias("name2"), F.col("k").alias("k2"), F.col("x.i").alias("i2"), F.col("x.n").alias("n2"), F.col("x.part").alias("part2")
-    )
-    meet = left.join(right, F.expr("k = k2 AND i = i2 AND n = n2 AND part = part2 AND id <> id2")).where(near_names(F.col("name"), F.col("name2")) & (F.col("name") != F.col("name2")))
-    flip = F.col("id") < F.col("id2")
-    fuzzy = meet.select(
-        F.least("id", "id2").alias("a"),
-        F.greatest("id", "id2").alias("b"),
-        F.when(flip, F.col("name")).otherwise(F.col("name2")).alias("a_name"),
-        F.when(flip, F.col("name2")).otherwise(F.col("name")).alias("b_name"),
-    ).distinct()
+    long = named.select("id", "name", F.substring("name", 1, block).alias("k"), F.length("name").alias("n")).where("n >= 8")
+    cuts = _cuts(long)
+    begin, size = F.get("cut", F.col("i")), F.get("cut", F.col("i") + 1) - F.get("cut", F.col("i"))
+    numbers = F.array(*[F.lit(i) for i in range(EDIT + 1)])
+    left = (
+        long.join(cuts.withColumnRenamed("m", "n"), ["k", "n"]).withColumn("i", F.explode(numbers))
+        .select("id", "name", "k", "i", F.col("n").alias("m"), F.substring("name", begin + 1, size).alias("part"))
+    )
+    gap = F.explode(F.sequence(F.col("n") - EDIT, F.col("n") + EDIT)).alias("m")
+    i, delta = F.col("i"), F.col("n") - F.col("m")
+    low, high = F.greatest(-i, delta - EDIT + i), F.least(i, delta + EDIT - i)
+    right = (
+        long.select("*", gap).join(cuts, ["k", "m"]).withColumn("i", F.explode(numbers)).where(low <= high)
+        .withColumn("at", F.explode(F.sequence(begin + low, begin + high))).where((F.col("at") >= 0) & (F.col("at") + size <= F.col("n")))
+        .select(F.col("id").alias("id2"), F.col("name").alias("name2"), "k", "i", "m", F.substring("name", F.col("at") + 1, size).alias("part"))
+        .distinct()
+    )
+    meet = left.join(right, ["k", "i", "m", "part"]).where((F.col("id") < F.col("id2")) & (F.col("name") != F.col("name2")) & near_names(F.col("name"), F.col("name2")))
+    fuzzy = meet.select(F.col("id").alias("a"), F.col("id2").alias("b"), F.col("name").alias("a_name"), F.col("name2").alias("b_name")).distinct()
     x, y = named.alias("x"), named.alias("y")
     equal = x.join(y, F.expr("x.name = y.name AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("a_name"), F.col("y.name").alias("b_name"))
     return fuzzy.union(equal)
 
 
-def _probe(n, i: int, gap: int, edit: int):
-    m = n + gap
-    size = _cuts(m, i + 1) - _cuts(m, i)
-    low, high = F.greatest(_cuts(m, i) - edit, F.lit(0)), F.least(_cuts(m, i) + edit, n - size)
-
-    def at(p):
-        return F.struct(F.lit(i).alias("i"), m.alias("n"), F.substring("name", p + 1, size).alias("part"))
-
-    none = F.array().cast("array<struct<i:int,n:int,part:string>>")
-    return F.when((size > 0) & (high >= low), F.transform(F.sequence(low, F.greatest(high, low)), at)).otherwise(none)
-
-
 def judged(pairs: DataFrame, subjects: DataFrame) -> DataFrame:
     """Adds ``tier`` to pairs of ids of ``(id, code, name)``."""
     l = subjects.select(F.col("id").alias("a"), F.col("code").alias("a_code"), F.col("name").alias("an"))

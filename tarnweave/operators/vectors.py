@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,26 +36,62 @@ def truncated(a: Column, dim: int) -> Column:
     return unit(F.slice(a, 1, dim))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", block: int = 256) -> DataFrame:
+def _best(score: np.ndarray, ids: pa.Array, query: np.ndarray, k: int):
+    """The k best rows of each query, of equal scores those of least id; rows of one query may stand anywhere."""
+    place = np.empty(len(ids), np.int64)
+    place[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+    order = np.lexsort((place, -score, query))
+    first = np.searchsorted(query[order], query[order])
+    order = order[np.arange(len(order)) - first < k]
+    return score[order], ids.take(pa.array(order)), query[order]
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", block: int = 4096) -> DataFrame:
     """Exact k nearest of each query by cosine: ``(query, id, score, rank)``.
 
-    ``queries`` is a stated query set; it is taken in blocks of bounded size, each block broadcast
-    and met by all vectors; per block and task only k rows a query survive the first step.
+    ``queries`` is a stated query set; it is taken in blocks of about ``block`` rows, each block broadcast as a
+    matrix of unit rows.  A task multiplies its batches with it and keeps k rows a query.  Scores that agree to 12 places are
+    a tie, which the least id wins.  Rows without an embedding are no neighbours and have none; a zero vector has cosine 0.
     """
-    q = queries.select(F.col(key).alias("query"), F.col("embedding").alias("q"))
-    n = q.count()
-    blocks = max(1, -(-n // block))
+    spark = vectors.sparkSession
+    q = queries.select(F.col(key).alias("query"), F.col("embedding").alias("q")).where("q IS NOT NULL")
+    blocks = max(1, -(-q.count() // block))
+    rows = vectors.select(F.col(key).alias("id"), F.col("embedding").cast("array<double>").alias("v")).where("v IS NOT NULL")
+    kind = q.schema["query"].dataType.simpleString()
+    fields = f"query {kind}, id {rows.schema['id'].dataType.simpleString()}, score double"
     out = None
     for b in range(blocks):
-        part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b)
-        scored = vectors.select(F.col(key).alias("id"), "embedding").join(F.broadcast(part), F.lit(True)).select("query", "id", cosine(F.col("embedding"), F.col("q")).alias("score"))
-        out = scored if out is None else out.union(scored)
-    # first within salted parts, then over what is left of them
+        part = (q if blocks == 1 else q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b)).toArrow()
+        shared = spark.sparkContext.broadcast((part["query"].combine_chunks(), _units(part["q"].combine_chunks())))
+
+        def run(batches, shared=shared):
+            names, matrix = shared.value
+            held = None
+            for batch in batches:
+                if not len(batch) or not len(names):
+                    continue
+                score = np.round(_units(batch["v"]) @ matrix.T, 12)
+                least = np.partition(score, -k, axis=0)[-k] if len(score) > k else np.full(len(names), -np.inf)
+                at, query = np.nonzero(score >= least)
+                found = score[at, query], batch["id"].take(pa.array(at)), query
+                if held:
+                    found = np.concatenate([held[0], found[0]]), pa.concat_arrays([held[1], found[1]]), np.concatenate([held[2], found[2]])
+                held = _best(*found, k)
+            if held:
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(held[2])), held[1], pa.array(held[0])], ["query", "id", "score"])
+
+        found = rows.mapInArrow(run, fields)
+        out = found if out is None else out.union(found)
     from tarnweave.operators.records import cap_per_key
 
-    order = [F.col("score").desc(), F.col("id")]
-    few = cap_per_key(out.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(32))), ["query", "salt"], order, k).drop("rank", "salt")
-    return cap_per_key(few, ["query"], order, k)
+    return cap_per_key(out, ["query"], [F.col("score").desc(), F.col("id")], k)
+
+
+def _units(column: pa.Array) -> np.ndarray:
+    """Rows of equal length as a matrix of rows of length one; zero rows stay zero."""
+    m = np.asarray(column.flatten(), np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+    n = np.sqrt((m * m).sum(1, keepdims=True))
+    return m / np.where(n == 0, 1, n)
 
 
 def theme(vectors: DataFrame, query: DataFrame, least: float) -> DataFrame:

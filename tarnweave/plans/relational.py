@@ -69,7 +69,8 @@ def distinct_counts(t):
 
 @query("agg07_collect_slice", f"SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT o_custkey))[1:5], ',') AS buyers FROM {PATH} GROUP BY 1")
 def collect_slice(t):
-    return awards(t).groupBy("l_suppkey").agg(F.concat_ws(",", F.slice(F.array_sort(F.collect_set("o_custkey")), 1, 5).cast("array<string>")).alias("buyers"))
+    few = cap_per_key(awards(t).select("l_suppkey", "o_custkey").distinct(), ["l_suppkey"], [c("o_custkey")], 5)
+    return few.groupBy("l_suppkey").agg(F.concat_ws(",", F.array_sort(F.collect_list("o_custkey")).cast("array<string>")).alias("buyers"))
 
 
 @query("agg10_pivot_status", "SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o, count(*) FILTER (o_orderstatus = 'P') AS p FROM orders GROUP BY 1")
@@ -88,12 +89,11 @@ def conditional_sum(t):
 
 @query("agg13_supplier_profile", f"SELECT l_suppkey, count(*) AS wins, {PRICE} AS total, array_to_string(list_sort(list(DISTINCT c_name))[1:6], '|') AS buyers FROM {PATH} JOIN customer ON o_custkey = c_custkey GROUP BY 1 ORDER BY wins DESC, l_suppkey LIMIT 3")
 def supplier_profile(t):
-    rows = awards(t).join(t.customer, c("o_custkey") == c("c_custkey")).groupBy("l_suppkey").agg(
-        F.count("*").alias("wins"),
-        money(c("l_extendedprice")).alias("total"),
-        F.concat_ws("|", F.slice(F.array_sort(F.collect_set("c_name")), 1, 6)).alias("buyers"),
-    )
-    return rows.orderBy(c("wins").desc(), "l_suppkey").limit(3)
+    won = awards(t).join(t.customer.select("c_custkey", "c_name"), c("o_custkey") == c("c_custkey"))
+    best = won.groupBy("l_suppkey").agg(F.count("*").alias("wins"), money(c("l_extendedprice")).alias("total")).orderBy(c("wins").desc(), "l_suppkey").limit(3)
+    theirs = won.join(F.broadcast(best.select("l_suppkey")), "l_suppkey", "left_semi").select("l_suppkey", "c_name").distinct()  # three keys
+    few = cap_per_key(theirs, ["l_suppkey"], [c("c_name")], 6).groupBy("l_suppkey").agg(F.concat_ws("|", F.array_sort(F.collect_list("c_name"))).alias("buyers"))
+    return best.join(few, "l_suppkey").select("l_suppkey", "wins", "total", "buyers")
 
 
 @query("agg14_concentration", f"WITH w AS (SELECT o_custkey, l_suppkey, count(*) AS wins, {PRICE} AS total FROM {PATH} GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY total DESC, l_suppkey) AS k FROM w) SELECT o_custkey, l_suppkey, wins, total, round(100.0 * wins / CAST(sum(wins) OVER (PARTITION BY o_custkey) AS DOUBLE), 1) AS share FROM r WHERE k <= 10")
@@ -465,9 +465,9 @@ def nested_filters(t):
 
 @query("flt17_candidates", f"SELECT count(*) AS n FROM supplier a JOIN supplier b ON substr(a.s_name, 1, 3) = substr(b.s_name, 1, 3) AND a.s_suppkey < b.s_suppkey WHERE {_NEAR}")
 def candidate_filter(t):
-    a, b = t.supplier.alias("a"), t.supplier.alias("b")
-    block = F.expr("substr(a.s_name, 1, 3) = substr(b.s_name, 1, 3) AND a.s_suppkey < b.s_suppkey")
-    return a.join(b, block & near_names(c("a.s_name"), c("b.s_name"))).agg(F.count("*").alias("n"))
+    from tarnweave.operators.linkage import fuzzy_pairs
+
+    return fuzzy_pairs(t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"))).agg(F.count("*").alias("n"))
 
 
 @query("flt19_discounts", "SELECT count(*) FILTER (l_discount >= 0 AND l_discount < 1) AS usable, count(*) FILTER (l_discount < 0.005) AS none FROM lineitem")

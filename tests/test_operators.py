@@ -229,3 +229,45 @@ def test_loads_with_nulls(spark):
     assert all((r.d is None) == (r.id is None) and (r.d is None or 0 <= r.d < 1) for r in draws)
     said = spark.createDataFrame([(None, "same"), (" SAME ", "same"), ("same", "diff"), ("?", "same"), ("diff", "diff")], "h string, v string")
     assert [r[0] for r in said.select(loads.agreement(F.col("h"), F.col("v"))).collect()] == ["other", "agree", "name_misled", "code_found", "agree"]
+
+
+def test_fuzzy_pairs_lose_none_of_many_edits(spark):
+    r = random.Random(5)
+    base = ["Acme trading 001", "Acme trading 002x", "Acmegamma", "aaaaaaaaaaaa", "Acm"]
+    names = []
+    for i in range(160):
+        x = list(r.choice(base))
+        for _ in range(r.randrange(4)):
+            at = r.randrange(len(x) + 1)
+            x[at : at + r.randrange(2)] = r.choice(["", "a", "1", "é", "𝒳"])
+        names.append((i, "".join(x)))
+    names += [(160, None), (161, ""), (None, "Acme trading 001")]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    def near(a, b):
+        short = min(len(a), len(b))
+        return a == b or (a[:3] == b[:3] and short >= 8 and edits(a, b) <= min(2, 0.2 * short))
+
+    known = [(i, x) for i, x in names if i is not None and x]
+    want = {(i, j) for i, x in known for j, y in known if i < j and near(x, y)}
+    got = [(x.a, x.b) for x in linkage.fuzzy_pairs(spark.createDataFrame(names, "id long, name string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_nearest_ties_nulls_and_blocks(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(40)] + [(40, [0.0, 1.0]), (41, None), (42, [0.0, 0.0]), (43, [2.0, 2.0])]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5)
+    for block in (1, 4096):
+        found = vectors.nearest(v, v.where("id IN (7, 40, 41, 42)"), 3, block=block).collect()
+        got = {q: [(x.id, round(x.score, 6)) for x in sorted(found, key=lambda x: x["rank"]) if x.query == q] for q in (7, 40, 41, 42)}
+        assert got[7] == [(0, 1.0), (1, 1.0), (2, 1.0)]
+        assert got[40] == [(40, 1.0), (43, 0.707107), (0, 0.0)]
+        assert got[41] == [] and got[42] == [(0, 0.0), (1, 0.0), (2, 0.0)]
+    assert vectors.nearest(v.where("id < 0"), v, 3).count() == 0 and vectors.nearest(v, v.where("id < 0"), 3).count() == 0
