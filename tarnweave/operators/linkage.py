@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnweave.functions.codes import near_names, verdict
@@ -74,6 +74,55 @@ def judged(pairs: DataFrame, subjects: DataFrame) -> DataFrame:
     return both.select("a", "b", verdict(F.col("a_code"), F.col("b_code"), F.col("an"), F.col("bn")).alias("tier"))
 
 
+#: Names of the edges.
+SAME, POSSIBLE = "STESSO_SOGGETTO", "POSSIBILE_DUPLICATO"
+
+
+def resolve(subjects: DataFrame) -> DataFrame:
+    """``(a, b, tier, edge)`` of ``(id, code, name)``: pairs of equal or near names, judged by their codes.
+
+    Merged and bridged pairs get one kind of edge, pairs to review the other, rejected ones none.
+    """
+    found = judged(fuzzy_pairs(subjects.select("id", "name")), subjects)
+    edge = F.when(F.col("tier").isin("merge", "bridge"), SAME).when(F.col("tier") == "review", POSSIBLE)
+    return found.withColumn("edge", edge)
+
+
+def ceiling(subjects: DataFrame) -> DataFrame:
+    """``(band, tier, n)``: how many pairs of equal and of near names each verdict gets, over all subjects."""
+    names = fuzzy_pairs(subjects.select("id", "name"))
+    band = names.select("a", "b", F.when(F.col("a_name") == F.col("b_name"), "EXACT").otherwise("NEAR").alias("band"))
+    return judged(names, subjects).join(band, ["a", "b"]).groupBy("band", "tier").agg(F.count("*").alias("n"))
+
+
+def annotated(left: Column, right: Column, left_name: Column, right_name: Column, typo: int = 2) -> Column:
+    """Struct (label, confidence) of a pair of different codes for a gold set.
+
+    Other than the verdict's, this table always decides: where codes can't tell, by the names' distance.
+    """
+    from tarnweave.functions.codes import classify
+
+    x, y = classify(left), classify(right)
+    close = F.levenshtein(F.coalesce(left, F.lit("")), F.coalesce(right, F.lit(""))) <= typo
+    m, n = F.coalesce(left_name, F.lit("")), F.coalesce(right_name, F.lit(""))
+    apart = F.levenshtein(m, n) / F.greatest(F.length(m), F.length(n), F.lit(1))
+    said = lambda label, sure: F.struct(F.lit(label).alias("label"), F.lit(sure).alias("confidence"))
+    by_name = F.when(apart == 0, said("same", "medium")).when(apart >= 0.25, said("diff", "medium")).when(apart <= 0.12, said("same", "low")).otherwise(said("diff", "low"))
+    one_kind = lambda k: (x["kind"] == k) & (y["kind"] == k)
+    any_kind = lambda k: (x["kind"] == k) | (y["kind"] == k)
+    typed = one_kind("PIVA") | one_kind("CF")
+    some = x["valid"] | y["valid"] | one_kind("CF")  # of two bad VAT codes neither can be trusted
+    whole = F.when(x["kind"] == "PIVA", x["valid"]).otherwise(y["valid"])
+    return (
+        F.when(typed & x["valid"] & y["valid"], said("diff", "high"))
+        .when(typed & close, F.when(some, said("same", "medium")).otherwise(said("same", "low")))
+        .when(typed, said("diff", "low"))
+        .when(any_kind("FOREIGN"), said("diff", "high"))
+        .when(any_kind("PIVA") & any_kind("NUM_BAD") & close & whole, said("same", "medium"))
+        .otherwise(by_name)
+    )
+
+
 def clusters(ids: DataFrame, edges: DataFrame) -> DataFrame:
     """``(id, cluster)``: components of the edges, an id without edges alone."""
     found = components(edges)

@@ -140,3 +140,80 @@ def seeded(key: Column, seed: int) -> Column:
     """A number from 0 to 1 that the seed and the key fix, alike in any partitioning; sorting by it shuffles, ties go by key. Null for a null key."""
     drawn = F.md5(F.concat_ws(":", F.lit(seed), key.cast("string")))
     return F.when(key.isNotNull(), F.conv(F.substring(drawn, 1, 8), 16, 10).cast("double") / 2**32)
+
+
+RUNS = "run string, status string, rows long, message string, at timestamp"
+
+
+def recorded(spark, path: str, run: str, work) -> bool:
+    """Runs ``work()``, which returns a number of rows, and appends to a log that it began and how it ended.
+
+    An error is logged, not raised; True where the work was done.
+    """
+
+    def note(status, rows=None, message=None):
+        row = spark.createDataFrame([(run, status, rows, message)], "run string, status string, rows long, message string")
+        row.withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)
+
+    note("running")
+    try:
+        note("completed", work())
+    except Exception as e:  # whatever stops a load belongs in its log
+        note("error", message=str(e)[:1000])
+        return False
+    return True
+
+
+def last_status(spark, path: str) -> DataFrame:
+    """``(run, status, rows)``: the last entry of each run."""
+    log = spark.read.schema(RUNS).parquet(path)
+    last = F.max_by(F.struct("status", "rows"), F.struct("at", F.col("status") != "running"))
+    return log.groupBy("run").agg(last.alias("l")).select("run", "l.status", "l.rows")
+
+
+def upsert_flagged(old: DataFrame, new: DataFrame, key: str, flag: str = "_synced") -> DataFrame:
+    """``old`` with the rows of ``new`` in place of those of the same key; every written row is pending again."""
+    written = new.withColumn(flag, F.lit(False))
+    return old.join(written.select(key), key, "left_anti").unionByName(written)
+
+
+def sharded(rows: DataFrame, key: str, shards: int) -> DataFrame:
+    """Rows with their ``shard``, a hash of the key, and dealt by it."""
+    return rows.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")).repartition(shards, "shard")
+
+
+def tag_code(tags: Column) -> Column:
+    """Code made from the tags of a release; null tags count as none."""
+    has = lambda *some: F.forall(F.array(*[F.lit(x) for x in some]), lambda x: F.array_contains(F.coalesce(tags, F.array().cast("array<string>")), x))
+    # fixed values: tags and codes, in the order in which they are tried
+    known = ((("award", "contract"), "OCDS-AC"), (("award",), "OCDS-A"), (("tender",), "OCDS-T"), (("contract",), "OCDS-C"), (("planning",), "OCDS-P"))
+    return F.coalesce(*[F.when(has(*some), code) for some, code in known], F.lit("OCDS-X"))
+
+
+def as_text(v: Column, path: str) -> Column:
+    """A member of a variant as text where it is text and not empty, else null."""
+    return F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "STRING", F.nullif(F.try_variant_get(v, path, "string"), F.lit("")))
+
+
+def as_number(v: Column, path: str) -> Column:
+    """A member of a variant as a number; text may have a decimal comma."""
+    return F.replace(F.try_variant_get(v, path, "string"), F.lit(","), F.lit(".")).try_cast("double")
+
+
+def first_filled(parts: Column, field) -> Column:
+    """The first value of ``field(part)`` over an array of parts that is neither null nor empty."""
+    found = F.filter(F.transform(parts, field), lambda x: x.isNotNull() & (x.cast("string") != ""))
+    return F.get(found, F.lit(0))
+
+
+def summary(sections: Column) -> Column:
+    """Struct of the first known code, title, nature and amount over all items of all sections, and the direct awards."""
+    items = F.flatten(F.filter(F.transform(sections, lambda s: s["items"]), lambda x: x.isNotNull()))
+    awards = F.flatten(F.filter(F.transform(items, lambda i: i["aggiudicatari_ad"]), lambda x: x.isNotNull()))
+    return F.struct(
+        first_filled(items, lambda i: i["cig"]).alias("cig"),
+        first_filled(items, lambda i: i["descrizione"]).alias("oggetto"),
+        first_filled(items, lambda i: i["natura_principale"]).alias("natura"),
+        first_filled(items, lambda i: F.coalesce(i["valore_affidamento"], i["valore_totale"], i["importo"])).alias("importo"),
+        awards.alias("aggiudicatari"),
+    )

@@ -46,12 +46,13 @@ def _best(score: np.ndarray, ids: pa.Array, query: np.ndarray, k: int):
     return score[order], ids.take(pa.array(order)), query[order]
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", block: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", block: int = 4096, lists: Lists | None = None) -> DataFrame:
     """Exact k nearest of each query by cosine: ``(query, id, score, rank)``.
 
     ``queries`` is a stated query set; it is taken in blocks of about ``block`` rows, each block broadcast as a
     matrix of unit rows.  A task multiplies its batches with it and keeps k rows a query.  Scores that agree to 12 places are
     a tie, which the least id wins.  Rows without an embedding are no neighbours and have none; a zero vector has cosine 0.
+    With ``lists`` a query meets only rows of the lists that it looks into.
     """
     spark = vectors.sparkSession
     q = queries.select(F.col(key).alias("query"), F.col("embedding").alias("q")).where("q IS NOT NULL")
@@ -62,21 +63,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", blo
     out = None
     for b in range(blocks):
         part = (q if blocks == 1 else q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b)).toArrow()
-        shared = spark.sparkContext.broadcast((part["query"].combine_chunks(), _units(part["q"].combine_chunks())))
+        shared = spark.sparkContext.broadcast((part["query"].combine_chunks(), _units(part["q"].combine_chunks()), lists))
 
         def run(batches, shared=shared):
-            names, matrix = shared.value
+            names, matrix, lists = shared.value
+            into = lists.looked_into(matrix) if lists and len(names) else None
             held = None
             for batch in batches:
                 if not len(batch) or not len(names):
                     continue
-                score = np.round(_units(batch["v"]) @ matrix.T, 12)
-                least = np.partition(score, -k, axis=0)[-k] if len(score) > k else np.full(len(names), -np.inf)
-                at, query = np.nonzero(score >= least)
-                found = score[at, query], batch["id"].take(pa.array(at)), query
-                if held:
-                    found = np.concatenate([held[0], found[0]]), pa.concat_arrays([held[1], found[1]]), np.concatenate([held[2], found[2]])
-                held = _best(*found, k)
+                units = _units(batch["v"])
+                parts = [(np.arange(len(units)), np.arange(len(names)))]
+                if lists:
+                    of = lists.of(units)
+                    parts = [(np.flatnonzero(of == x), np.flatnonzero(into[:, x])) for x in np.unique(of)]
+                for here, asked in parts:
+                    if not len(asked):
+                        continue
+                    score = np.round(units[here] @ matrix[asked].T, 12)
+                    least = np.partition(score, -k, axis=0)[-k] if len(score) > k else np.full(len(asked), -np.inf)
+                    at, query = np.nonzero(score >= least)
+                    found = score[at, query], batch["id"].take(pa.array(here[at])), asked[query]
+                    if held:
+                        found = np.concatenate([held[0], found[0]]), pa.concat_arrays([held[1], found[1]]), np.concatenate([held[2], found[2]])
+                    held = _best(*found, k)
             if held:
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(held[2])), held[1], pa.array(held[0])], ["query", "id", "score"])
 
@@ -100,20 +110,99 @@ def theme(vectors: DataFrame, query: DataFrame, least: float) -> DataFrame:
     return vectors.join(one, F.lit(True)).withColumn("score", cosine(F.col("embedding"), F.col("q"))).drop("q").where(F.col("score") >= least)
 
 
-def approximate(vectors: DataFrame, queries: DataFrame, k: int, tables: int = 12, width: float = 1.2, seed: int = 7) -> DataFrame:
-    """Nearest by random projection hashes; all candidates that share a bucket are compared."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+class Lists:
+    """Unit centres of inverted lists, and how many of them a query looks into."""
 
-    def prepared(df):
-        return df.select("id", array_to_vector(unit(F.col("embedding"))).alias("v"))
+    def __init__(self, centres: np.ndarray, probes: int):
+        self.centres, self.probes = centres, probes
 
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables, seed=seed).fit(prepared(vectors))
-    pairs = model.approxSimilarityJoin(prepared(queries), prepared(vectors), 2.0, distCol="d")
-    from tarnweave.operators.records import cap_per_key
+    def of(self, units: np.ndarray) -> np.ndarray:
+        """The list of each row: that of the centre of largest cosine."""
+        return (units @ self.centres.T).argmax(1)
+
+    def looked_into(self, units: np.ndarray) -> np.ndarray:
+        """Which lists each query looks into."""
+        order = np.argsort(-(units @ self.centres.T), axis=1, kind="stable")[:, : self.probes]
+        out = np.zeros((len(units), len(self.centres)), bool)
+        out[np.arange(len(units))[:, None], order] = True
+        return out
+
+
+def fit_lists(vectors: DataFrame, k: int = 10, target: float = 0.98, sample: int = 1 << 14, key: str = "id", rounds: int = 10) -> Lists | None:
+    """Inverted lists fitted on a bounded sample: the ``sample`` rows of least hash of the key.
+
+    The square root of the sample's size is the number of lists, by spherical k-means; a query looks into the least number of
+    lists that holds a share ``target`` of the sample's own k nearest.  Every row of a table has a list; the
+    sample only says where the centres are.  None where no row has an embedding.
+    """
+    rows = vectors.where("embedding IS NOT NULL").orderBy(F.xxhash64(key), key).limit(sample).select(F.col("embedding").cast("array<double>").alias("v")).toArrow()
+    if not rows.num_rows:
+        return None
+    u = _units(rows["v"].combine_chunks())
+    n = int(len(u) ** 0.5)
+    centres = u[:n].copy()
+    for _ in range(rounds):
+        at = (u @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, at, u)
+        size = np.sqrt((sums * sums).sum(1, keepdims=True))
+        centres = np.where(size > 0, sums / np.where(size > 0, size, 1), centres)
+    own, found = Lists(centres, 1).of(u), []
+    for one in range(0, len(u), max(len(u) // 512, 1)):
+        score = u @ u[one]
+        score[one] = -np.inf
+        near = np.argsort(-score, kind="stable")[: min(k, len(u) - 1)]
+        place = np.empty(n, np.int64)
+        place[np.argsort(-(centres @ u[one]), kind="stable")] = np.arange(n)
+        found.extend(place[own[near]])
+    found.sort()
+    return Lists(centres, int(found[int(np.ceil(target * len(found))) - 1]) + 1 if found else n)
+
+
+def indexed(vectors: DataFrame, lists: Lists) -> DataFrame:
+    """Rows with their ``list``, to be written in folders by list; a row without an embedding has none."""
+    shared = vectors.sparkSession.sparkContext.broadcast(lists)
+
+    @F.pandas_udf("int")
+    def place(v):
+        units = _units(pa.array(v, pa.list_(pa.float64())).fill_null([0.0] * shared.value.centres.shape[1]))
+        return v.notna().map({True: 0}).astype("Int32") + shared.value.of(units)
+
+    return vectors.withColumn("list", place(F.col("embedding").cast("array<double>")))
+
+
+def approximate(vectors: DataFrame, queries: DataFrame, k: int, lists: Lists | None = None, where: Column | None = None) -> DataFrame:
+    """Nearest within the lists that a query looks into, among the rows that a filter keeps: as ``nearest``.
+
+    Batches meet the queries list by list, so a list of a third of all rows is no hot task.
+    """
+    kept = vectors if where is None else vectors.where(where)
+    return nearest(kept, queries, k, lists=lists or fit_lists(vectors, k))
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int, lists: Lists | None = None, where: Column | None = None) -> DataFrame:
+    """By the lists where there are some, else exact."""
+    if lists is not None:
+        return approximate(vectors, queries, k, lists, where)
+    return nearest(vectors if where is None else vectors.where(where), queries, k)
+
+
+def compared_share(vectors: DataFrame, queries: DataFrame, lists: Lists) -> DataFrame:
+    """``(share)``: pairs of query and row that the lists compare, of all pairs."""
+    shared = vectors.sparkSession.sparkContext.broadcast(lists)
+
+    @F.pandas_udf("array<int>")
+    def into(v):
+        import pandas as pd
+
+        found = shared.value.looked_into(_units(pa.array(v, pa.list_(pa.float64()))))
+        return pd.Series([np.flatnonzero(x).tolist() for x in found])
 
-    rows = pairs.select(F.col("datasetA.id").alias("query"), F.col("datasetB.id").alias("id"), (1 - F.col("d") * F.col("d") / 2).alias("score"))
-    return cap_per_key(rows, ["query"], [F.col("score").desc(), F.col("id")], k)
+    sizes = indexed(vectors.where("embedding IS NOT NULL"), lists).groupBy("list").agg(F.count("*").alias("rows"))
+    asked = queries.where("embedding IS NOT NULL").select(F.explode(into(F.col("embedding").cast("array<double>"))).alias("list")).groupBy("list").agg(F.count("*").alias("asked"))
+    both = sizes.join(asked, "list", "left")  # one row a list
+    total = both.agg(F.sum("rows").alias("n"), F.sum(F.coalesce("asked", F.lit(0)) * F.col("rows")).alias("pairs"))
+    return total.select((F.col("pairs") / F.col("n") / F.lit(max(queries.count(), 1))).alias("share"))
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -367,11 +367,56 @@ def price_estimate(t):
     return vectors.estimate(rows, 100_000.0).select("n", "zero_share", "p25", "median", "p75")
 
 
-@query("vec12_recall")
+@query("vec12_recall", "SELECT count(*) AS asked, true AS enough, true AS fewer FROM embeddings WHERE vec_id % 100 = 0")
 def recall(t):
+    """Recall of the lists is 0.9 or more, at less than all pairs."""
     v = _vec(t).select("id", "embedding")
     q = v.where("id % 100 = 0")
-    return vectors.recall(vectors.approximate(v, q, 10), vectors.nearest(v, q, 10))
+    lists = vectors.fit_lists(v)
+    found, share = vectors.recall(vectors.approximate(v, q, 10, lists), vectors.nearest(v, q, 10)), vectors.compared_share(v, q, lists)
+    return q.agg(F.count("*").alias("asked")).crossJoin(found).crossJoin(share).select("asked", (c("recall") >= 0.9).alias("enough"), (c("share") < 0.9).alias("fewer"))  # rows of one
+
+
+_OPEN = f"SELECT vec_id AS id, round({_COS}, 6) AS score FROM embeddings v, {_ONE} WHERE {{}} ORDER BY {_COS} DESC, vec_id LIMIT {{}}"
+
+
+@query("tl04_semantic_search", _OPEN.format("label % 2 = 0", 8))
+def semantic_search(t):
+    """Nearest to one text among rows that a filter keeps, exact where there is no index."""
+    one = _query_vector(t).select(c("vec_id").alias("id"), "embedding")
+    return vectors.search(_vec(t), one, 8, where=c("label") % 2 == 0).select("id", F.round("score", 6).alias("score"))
+
+
+@query("vec04_filtered_lists", "SELECT count(*) AS found, true AS kept FROM (SELECT 1 FROM embeddings WHERE vec_id % 100 = 0), range(5)")
+def filtered_lists(t):
+    """The filter goes before the search, so k rows are found for each query."""
+    v = _vec(t)
+    found = vectors.search(v, v.where("id % 100 = 0"), 5, vectors.fit_lists(v), c("label") % 2 == 0)
+    labels = found.join(v.select("id", "label"), "id")
+    return labels.agg(F.count("*").alias("found"), F.bool_and(c("label") % 2 == 0).alias("kept"))
+
+
+_CUT = [f"CAST({x}.embedding[1:16] AS DOUBLE[])" for x in "vq"]
+_CUT_COS = f"(list_inner_product({_CUT[0]}, {_CUT[1]}) / sqrt(list_inner_product({_CUT[0]}, {_CUT[0]}) * list_inner_product({_CUT[1]}, {_CUT[1]})))"
+
+
+@query("vec10_truncated", f"SELECT vec_id AS id, round({_CUT_COS}, 6) AS score FROM embeddings v, {_ONE} ORDER BY {_CUT_COS} DESC, vec_id LIMIT 10")
+def truncated(t):
+    short = _vec(t).withColumn("embedding", vectors.truncated(c("embedding"), 16))
+    return vectors.nearest(short, short.orderBy("id").limit(1), 10).select("id", F.round("score", 6).alias("score"))
+
+
+@query("snk16_vector_index", "SELECT count(*) AS n, count(*) AS distinct_ids, true AS one_list FROM embeddings")
+def vector_index(t):
+    """Vectors written in folders by list and read again: every row once, in the list of its nearest centre."""
+    from tarnweave.plans.storage import _folder
+
+    v, path = _vec(t), _folder(t)
+    lists = vectors.fit_lists(v)
+    vectors.indexed(v, lists).write.partitionBy("list").parquet(path)
+    back = t.spark.read.parquet(path)
+    again = vectors.indexed(back.withColumnRenamed("list", "was"), lists)
+    return again.agg(F.count("*").alias("n"), F.countDistinct("id").alias("distinct_ids"), F.bool_and(c("list") == c("was")).alias("one_list"))
 
 
 @query("gr08_entity_search", f"SELECT s_suppkey AS id, s_name AS name, w AS wins FROM (SELECT l_suppkey, count(*) AS w FROM lineitem GROUP BY 1) JOIN supplier ON s_suppkey = l_suppkey WHERE list_min(list_transform(list_filter(regexp_split_to_array(lower(s_name), '[^a-z0-9#]+'), lambda x: x <> ''), lambda x: levenshtein(x, 'suplier'))) <= 2 ORDER BY list_min(list_transform(list_filter(regexp_split_to_array(lower(s_name), '[^a-z0-9#]+'), lambda x: x <> ''), lambda x: levenshtein(x, 'suplier') / greatest(length(x), 7))), w DESC, s_suppkey LIMIT 10")

@@ -271,3 +271,19 @@ def test_nearest_ties_nulls_and_blocks(spark):
         assert got[40] == [(40, 1.0), (43, 0.707107), (0, 0.0)]
         assert got[41] == [] and got[42] == [(0, 0.0), (1, 0.0), (2, 0.0)]
     assert vectors.nearest(v.where("id < 0"), v, 3).count() == 0 and vectors.nearest(v, v.where("id < 0"), 3).count() == 0
+
+
+def test_lists_find_what_exact_search_finds(spark):
+    r = random.Random(2)
+    rows = [(i, [((i % 12 == d) * 4 + r.gauss(0, 0.3)) for d in range(12)], i % 2) for i in range(600)] + [(600, None, 0), (601, [0.0] * 12, 1)]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>, label int").repartition(4)
+    q = v.where("id % 25 = 0 AND id < 600")
+    lists = vectors.fit_lists(v)
+    exact, found = vectors.nearest(v, q, 5), vectors.approximate(v, q, 5, lists)
+    assert vectors.recall(found, exact).first().recall >= 0.9
+    assert vectors.compared_share(v, q, lists).first().share < 0.5
+    odd = vectors.search(v, q, 5, lists, F.col("label") == 1)
+    assert {x.id % 2 for x in odd.collect()} == {1} and vectors.search(v, q, 5).exceptAll(exact).isEmpty()
+    at = {x.id: x.list for x in vectors.indexed(v, lists).collect()}
+    assert at[600] is None and all(at[i] is not None for i in range(600))
+    assert vectors.approximate(v.where("id < 0"), q, 5).count() == 0
