@@ -128,7 +128,10 @@ def money(x: Column) -> Column:
     return F.coalesce(F.sum(x.cast("decimal(18,2)")), F.lit(0)).cast("double")
 
 
-def percentile_floor(x: Column, p: float) -> Column:
-    """The element at floor(p * n) of the sorted values, the last one at most."""
-    values = F.sort_array(F.collect_list(x))
-    return F.get(values, F.least(F.size(values) - 1, F.floor(F.lit(p) * F.size(values)).cast("int")))
+def percentile_floor(x: str, p: float) -> Column:
+    """Aggregate: the element at floor(p * n) of the sorted values, the last one at most; null without values.
+
+    From the other end that is the first value that at least a share 1 - p reaches.  Spark counts equal values on the map side,
+    so a group takes as much memory as it has different values.
+    """
+    return F.expr(f"percentile_disc({round(1 - p, 12)!r}D) WITHIN GROUP (ORDER BY `{x}` DESC)")

@@ -219,7 +219,7 @@ def estimate(neighbours: DataFrame, base: float, least: int = 5) -> DataFrame:
     x = d.agg(
         F.count("*").alias("n"),
         F.avg(F.when(F.col("d") < 0.005, 1.0).otherwise(0.0)).alias("zero"),
-        *[percentile_floor(F.col("d"), p).alias(k) for k, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))],
+        *[percentile_floor("d", p).alias(k) for k, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))],
     ).where(F.col("n") >= least)
     price = lambda p: F.floor(F.lit(base) * (1 - F.col(p)) + 0.5).cast("double")
     return x.select("n", F.round("zero", 6).alias("zero_share"), *[F.round(k, 6).alias(k) for k in ("p25", "median", "p75")], price("median").alias("expected"), price("p75").alias("lowest"), price("p25").alias("highest"))

@@ -141,8 +141,7 @@ _P = "list_sort(list(o_totalprice))[CAST(least(count(*) - 1, floor({} * count(*)
 
 @query("agg21_percentile_floor", f"SELECT o_orderpriority, o_orderstatus, {_P.format(0.25, 'p25')}, {_P.format(0.5, 'p50')}, {_P.format(0.75, 'p75')} FROM orders GROUP BY ALL")
 def percentiles(t):
-    x = c("o_totalprice")
-    return t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(*[percentile_floor(x, p).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75)])
+    return t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(*[percentile_floor("o_totalprice", p).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75)])
 
 
 @query("agg22_share_below", "SELECT l_returnflag, round(avg(CASE WHEN l_discount < 0.005 THEN 1.0 ELSE 0.0 END), 6) AS share FROM lineitem GROUP BY 1")

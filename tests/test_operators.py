@@ -287,3 +287,17 @@ def test_lists_find_what_exact_search_finds(spark):
     at = {x.id: x.list for x in vectors.indexed(v, lists).collect()}
     assert at[600] is None and all(at[i] is not None for i in range(600))
     assert vectors.approximate(v.where("id < 0"), q, 5).count() == 0
+
+
+def test_percentile_floor_is_the_element_at_floor(spark):
+    r = random.Random(4)
+    groups = {n: sorted(float(r.randrange(12)) for _ in range(n)) for n in range(1, 31)}
+    df = spark.createDataFrame([(n, x) for n, xs in groups.items() for x in xs] + [(0, None), (5, None)], "n int, x double")
+    shares = (0.0, 0.1, 0.25, 0.3, 0.5, 0.7, 0.75, 0.9, 1.0)
+    out = df.groupBy("n").agg(*[codes.percentile_floor("x", p).alias(f"p{i}") for i, p in enumerate(shares)]).collect()
+    from fractions import Fraction
+
+    for row in out:
+        xs = groups.get(row.n)
+        want = [None if xs is None else xs[min(row.n - 1, int(Fraction(str(p)) * row.n))] for p in shares]
+        assert list(row)[1:] == want
