@@ -74,3 +74,15 @@ def findings(**rules: DataFrame) -> DataFrame:
         out = one if out is None else out.union(one)
     rank = F.when(F.col("severity") == "high", 0).when(F.col("severity") == "medium", 1).otherwise(2)
     return out.withColumn("severity_rank", rank)
+
+
+def picked(found: DataFrame, entity=None, rule: str | None = None, limit: int | None = None) -> DataFrame:
+    """Findings ``(rule, severity, sa, imp)`` of an entity in either role and of a rule, worst first; without them all."""
+    part = lambda k: F.get_json_object("detail", f"$.{k}").cast("long").alias(k)
+    rows = found.select("rule", "severity", "severity_rank", part("sa"), part("imp"))
+    if rule is not None:
+        rows = rows.where(F.col("rule") == rule)
+    if entity is not None:
+        rows = rows.where((F.col("sa") == entity) | (F.col("imp") == entity))
+    rows = rows.orderBy("severity_rank", "rule", "sa", "imp").drop("severity_rank")
+    return rows if limit is None else rows.limit(limit)

@@ -170,10 +170,14 @@ def homonyms(t):
     return t.part.groupBy("p_name").agg(F.count_distinct("p_brand").alias("brands")).where("brands >= 2")
 
 
-@query("agg27_schema_introspection")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("agg27_schema_introspection", f"""
+SELECT DISTINCT table_name AS "table", column_name AS "column", CASE WHEN data_type = 'INTEGER' THEN 'int' WHEN data_type = 'VARCHAR' THEN 'string' WHEN data_type = 'FLOAT[]' THEN 'array<float>'
+  WHEN data_type = 'TIMESTAMP' THEN 'timestamp_ntz' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp' ELSE lower(data_type) END AS type FROM information_schema.columns WHERE table_name IN {_TABLES}""")
 def introspection(t):
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-    rows = [(n, f.name, f.dataType.simpleString()) for n in names for f in getattr(t, n).schema]
+    rows = [(n, f.name, f.dataType.simpleString()) for n in _TABLES for f in getattr(t, n).schema]
     return t.spark.createDataFrame(rows, "table string, column string, type string")
 
 

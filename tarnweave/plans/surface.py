@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarnweave.operators import chats, linkage, loads
+from tarnweave.operators import anomalies, chats, linkage, loads
 
+from .domain import RF1, RF2, RF3, paths
 from .registry import query
 from .storage import _folder
 
@@ -161,3 +162,13 @@ def chat_store(t):
     have = chats.renamed(have, have.where("id % 2 = 0").select("id", F.lit("even").alias("title")))
     stored = messages.groupBy(c("chat").alias("id")).agg(F.count("*").alias("stored"))
     return have.join(stored, "id")
+
+
+_FOUND = " UNION ALL ".join(f"SELECT '{k}' AS rule, severity, sa, imp FROM ({q}) WHERE sa = 7 OR imp = 7" for k, q in (("rf1", RF1), ("rf2", RF2), ("rf3", RF3)))
+
+
+@query("tl12_findings", f"SELECT * FROM ({_FOUND}) ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, rule, sa, imp LIMIT 50")
+def findings(t):
+    p = paths(t)
+    found = anomalies.findings(rf1=anomalies.recurrent_pairs(p), rf2=anomalies.split_awards(p), rf3=anomalies.dominant_winner(p))
+    return anomalies.picked(found, entity=7, limit=50)
