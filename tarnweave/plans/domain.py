@@ -217,10 +217,19 @@ def html_rewrite(t):
     return t.pages.select("page_id", F.md5(F.regexp_replace("html", r"(?i)<head([^>]*)>", '<head$1><base href="/">')).alias("h"))
 
 
-@query("prj24_dictionary", "SELECT l_returnflag, section, count(*) AS n FROM lineitem LEFT JOIN (VALUES ('A', 'avvisi'), ('R', 'esiti')) d(code, section) ON l_returnflag = code GROUP BY ALL")
+_FORM = "CASE l_partkey % 13 WHEN 0 THEN 'PL1_3' WHEN 1 THEN 'P2_11' WHEN 2 THEN 'P1_15_2' WHEN 3 THEN 'P7_1_1' WHEN 4 THEN 'P7_3' WHEN 5 THEN 'A1_33' WHEN 6 THEN 'AD3' WHEN 7 THEN 'A3_6' WHEN 8 THEN 'AD1_26' WHEN 9 THEN 'M2' WHEN 10 THEN 'ZZ' WHEN 11 THEN '' END"
+
+
+@query("prj24_dictionary", f"""
+SELECT coalesce(d.section, '?') AS section, coalesce(d.label, CASE WHEN coalesce(l.code, '') = '' THEN '—' ELSE 'Scheda ' || l.code END) AS label, coalesce(d.mode, 'altro') AS mode, count(*) AS n
+FROM (SELECT {_FORM} AS code FROM lineitem) l LEFT JOIN (VALUES ('PL1_3', 'avvisi', 'Preinformazione', 'preinformazione'), ('P2_11', 'bandi', 'Bando di gara', 'gara'),
+('P1_15_2', 'avvisi', 'Sistema di qualificazione', 'qualificazione'), ('P7_1_1', 'avvisi', 'Indagine di mercato', 'indagine'), ('P7_3', 'avvisi', 'Elenco operatori economici', 'elenco'),
+('A1_33', 'esiti', 'Avviso di aggiudicazione', 'gara'), ('AD3', 'esiti', 'Esito affidamento diretto', 'diretto'), ('A3_6', 'avvisi', 'Avviso affidamento diretto', 'diretto'),
+('AD1_26', 'esiti', 'Trasparenza preventiva', 'trasparenza'), ('M2', 'avvisi', 'Modifica del contratto', 'modifica')) d(code, section, label, mode) ON l.code = d.code GROUP BY ALL""")
 def dictionary(t):
-    d = t.spark.createDataFrame([("A", "avvisi"), ("R", "esiti")], "code string, section string")
-    return t.lineitem.join(F.broadcast(d), c("l_returnflag") == c("code"), "left").groupBy("l_returnflag", "section").agg(F.count("*").alias("n"))
+    from tarnweave.functions.forms import described
+
+    return described(t.lineitem.select(F.expr(_FORM).alias("code")), "code").groupBy("section", "label", "mode").agg(F.count("*").alias("n"))
 
 
 @query("prj28_status", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'aggiudicato' WHEN o_orderdate IS NULL THEN 'concluso/non datato' WHEN CAST(o_orderdate AS DATE) >= DATE '1997-01-01' THEN 'aperto' ELSE 'scaduto' END AS status FROM orders")
