@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chatformat, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
+from . import chatformat, collocations, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
 
 
 def queries() -> dict:
@@ -19,9 +19,14 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_quality_classifier": resample.op9_quality_classifier,
         "op10_quality_rules": qualityrules.op10_quality_rules,
+        "op11_phrase_collocations": collocations.op11_phrase_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_formatting": chatformat.OP6_SQL, "op10_quality_rules": qualityrules.OP10_SQL}
+    return {
+        "op6_chat_formatting": chatformat.OP6_SQL,
+        "op10_quality_rules": qualityrules.OP10_SQL,
+        "op11_phrase_collocations": collocations.OP11_SQL,
+    }
