@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chatformat, collocations, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
+from . import alignment, chatformat, collocations, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
 
 
 def queries() -> dict:
@@ -20,6 +20,7 @@ def queries() -> dict:
         "op9_quality_classifier": resample.op9_quality_classifier,
         "op10_quality_rules": qualityrules.op10_quality_rules,
         "op11_phrase_collocations": collocations.op11_phrase_collocations,
+        "op12_tokenizer_alignment": alignment.op12_tokenizer_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
