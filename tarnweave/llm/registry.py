@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import alignment, chatformat, collocations, decontaminate, langid, lmscore, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
+from . import alignment, chatformat, collocations, decontaminate, langid, lmscore, neighbours, ngramjoin, pieces, pii, qualityrules, resample, suffixdedup
 
 
 def queries() -> dict:
@@ -21,6 +21,7 @@ def queries() -> dict:
         "op10_quality_rules": qualityrules.op10_quality_rules,
         "op11_phrase_collocations": collocations.op11_phrase_collocations,
         "op12_tokenizer_alignment": alignment.op12_tokenizer_alignment,
+        "op13_nearest_neighbours": neighbours.op13_nearest_neighbours,
         "pipeline": corpus_pipeline.run,
     }
 
