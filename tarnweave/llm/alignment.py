@@ -23,6 +23,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ _LONG_GAP = re.compile(r"\s{1000}")
 #: DuckDB: the group of each token.
 _GROUPS = """
 CREATE OR REPLACE TEMP TABLE grouped_a AS
-    SELECT doc, i, id, s, opens, sum(opens) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING)::BIGINT AS g
-    FROM (SELECT a.*, (a.s = b.s)::INT AS opens FROM a ASOF JOIN b ON a.s >= b.s);
+    SELECT doc, i, id, s, opens, count(opens) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING)::INT AS g
+    FROM (SELECT a.*, CASE WHEN a.s = b.s THEN 1 END AS opens FROM a ASOF JOIN b ON a.s >= b.s);
 CREATE OR REPLACE TEMP TABLE grouped_b AS
     SELECT b.doc, b.i, b.id, g.g FROM b ASOF JOIN (SELECT s, g FROM grouped_a WHERE opens = 1) g ON b.s >= g.s;
 CREATE OR REPLACE TEMP TABLE links AS
@@ -196,16 +197,17 @@ def _aligned(texts: list[str | None], a: ByteLevel, b: Pieces, con, groups: bool
         if a.bytes.size[x].sum() == len(want) == b.bytes.size[y].sum() and np.array_equal(a.bytes.joined(x), want) and np.array_equal(b.bytes.joined(y), want):
             ids_a.append(x)
             ids_b.append(y)
-            doc_a.append(np.full(len(x), d))
-            doc_b.append(np.full(len(y), d))
+            doc_a.append(np.full(len(x), d, np.int32))
+            doc_b.append(np.full(len(y), d, np.int32))
     if not ids_a:
         zero = pa.array([0] * n, pa.int64())
         kinds = [_ARROW[k] for k in ("links", "partial")]
         return [zero] * 4 + [pa.array([""] * n), pa.array(["" if groups else None] * n, pa.string()), *(pa.array([[]] * n, k) for k in kinds)]
     ids_a, ids_b, doc_a, doc_b = (np.concatenate(x) for x in (ids_a, ids_b, doc_a, doc_b))
+    place = np.int32 if max(a.bytes.size[ids_a].sum(), len(ids_a), len(ids_b)) < 1 << 31 else np.int64
     for name, ids, doc, size in (("a", ids_a, doc_a, a.bytes.size), ("b", ids_b, doc_b, b.bytes.size)):
-        end = np.cumsum(size[ids])
-        con.register(name, pa.table({"doc": doc.astype(np.int32), "i": np.arange(len(ids)), "id": ids.astype(np.int32), "s": end - size[ids]}))
+        first = (np.cumsum(size[ids]) - size[ids]).astype(place)
+        con.register(name, pa.table({"doc": doc, "i": np.arange(len(ids), dtype=place), "id": ids.astype(np.int32), "s": first}))
     con.execute(_GROUPS)
     group_a = con.execute("SELECT g FROM grouped_a ORDER BY i").fetchnumpy()["g"]
     group_b = con.execute("SELECT g FROM grouped_b ORDER BY i").fetchnumpy()["g"]
@@ -259,7 +261,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
 
         held, size = [], 0
         for batch in batches:
-            lengths = [len(x) if x else 0 for x in batch.column("text").to_pylist()]
+            lengths = pc.binary_length(batch.column("text")).fill_null(0).to_pylist()
             i = 0
             for j, n in enumerate(lengths):
                 size += n
