@@ -3,12 +3,14 @@
 Each mask reads six of eight or nine consecutive words and ignores the rest; together the masks hit
 every stretch of ``STRETCH`` aligned words with up to two substitutions.  Benchmark items are
 indexed by their seed hashes, documents look theirs up, and around each hit the aligned words
-are compared: an overlap is the best segment with +1 for an equal and -3 for another word,
-and counts from ``LEAST`` equal words and score ``SCORE``; then the best ones left and right of it, and so on.  Items shorter than ``STRETCH`` words must
+are compared.  Words count that stand in a stretch of ``STRETCH`` with at most ``MOST_OTHER`` others, so no such stretch is lost, or in a
+segment that has at least ``LEAST`` equal words and the score ``SCORE`` with +1 for an equal and -3 for another word (the best
+such segment, then the best ones left and right of it, and so on); an overlap is a run of them.  Items shorter than ``STRETCH`` words must
 occur whole and unchanged.
 
-The index goes to the executors in blocks of at most ``block_words`` benchmark words, each block one
-more pass over the same rows without a shuffle, so a benchmark of any size is handled.
+The index goes to the executors in blocks of about ``block_words`` benchmark words, each block one
+more pass over the same rows without a shuffle.  Where there are several, the rows are written after each pass and its block is
+released before the next is sent, so one block is held at a time.  Very long texts are read whole, one at a time.
 
 Words are runs of anything but ASCII white space, A-Z lower-cased.  Null and empty texts match
 nothing, as do items without a word; repeated rows and items are all reported; an empty benchmark leaves all
@@ -22,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnweave.plans.durable import cut
+
 from .tokens import column_bytes, mix, slabs, words
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7), (0, 1, 3, 6, 7, 8))
-STRETCH, LEAST, SCORE = 13, 10, 5
+STRETCH, MOST_OTHER, LEAST, SCORE = 13, 2, 10, 5
 _FILTER_BITS = 22
 _Q = np.uint64(0xD6E8FEB86659FD93)
 HIT = "array<struct<item_id: bigint, start: int, end: int, matched: int>>"
@@ -42,9 +46,29 @@ def _seed(h: np.ndarray, offsets) -> np.ndarray:
 
 
 def _segments(same: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Disjoint segments that count, each the best of what the ones found before it leave; all or nothing of a short item."""
+    """Disjoint segments that count: the runs of words within scored segments or within ``STRETCH`` words of which all but
+    ``MOST_OTHER`` are equal, without other words at their ends; all or nothing of a short item."""
     if length < STRETCH:
         return [(0, length)] if len(same) == length and same.all() else []
+    within = np.zeros(len(same) + 1, np.int64)  # opened less closed
+    for i, j in _scored(same):
+        within[i] += 1
+        within[j] -= 1
+    c = np.concatenate([[0], np.cumsum(same)])
+    near = np.flatnonzero(c[STRETCH:] - c[:-STRETCH] >= STRETCH - MOST_OTHER)
+    np.add.at(within, near, 1)
+    np.add.at(within, near + STRETCH, -1)
+    inside = np.concatenate([[False], np.cumsum(within)[:-1] > 0, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    out = []
+    for i, j in zip(edges[::2], edges[1::2], strict=True):
+        equal = np.flatnonzero(same[i:j])
+        out.append((int(i + equal[0]), int(i + equal[-1] + 1)))
+    return out
+
+
+def _scored(same: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint segments of at least ``SCORE`` and ``LEAST`` equal words, each the best of what the ones found before it leave."""
     out, todo = [], [(0, len(same))]
     while todo:
         i, j = todo.pop()
@@ -54,7 +78,7 @@ def _segments(same: np.ndarray, length: int) -> list[tuple[int, int]]:
         if c[end] - c[start] >= SCORE and same[i + start : i + end].sum() >= LEAST:
             out.append((i + start, i + end))
             todo += [(a, b) for a, b in ((i, i + start), (i + end, j)) if b - a >= LEAST]
-    return sorted(out)
+    return out
 
 
 class Index:
@@ -139,6 +163,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = 1 << 21)
                 yield rows
 
         out = out.mapInArrow(run, schema)
+        if blocks > 1:
+            out = cut(out)
+            index.unpersist()
     return out
 
 
