@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tarnweave.operators.records import distinct_in_order, first_known
 from tarnweave.sources import files
-from tarnweave.streaming.incremental import Table, merge_batches, run_available, upsert_batches
+from tarnweave.streaming.incremental import Buckets, merge_batches, run_available, upsert_batches
 
 from .durable import shared_dir
 from .registry import query
@@ -54,7 +54,7 @@ def slices(t):
 @query("str01_stream_upsert", "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1")
 def stream_upsert(t):
     path = _folder(t)
-    table = Table(t.spark, f"{path}/table")
+    table = Buckets(t.spark, f"{path}/table", ["user_id"])
     stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     run_available(stream, upsert_batches(table, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()]), f"{path}/checkpoint")
     return table.read().select("user_id", "event_id")
@@ -75,7 +75,7 @@ def stream_merge(t):
     """The events of a user come in several batches."""
     path = _folder(t)
     t.events.repartition(3, "event_id").write.parquet(f"{path}/in")
-    kept, merged = Table(t.spark, f"{path}/kept"), Table(t.spark, f"{path}/merged")
+    kept, merged = Buckets(t.spark, f"{path}/kept", ["user_id"]), Buckets(t.spark, f"{path}/merged", ["user_id"])
     stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     run_available(stream, merge_batches(kept, merged, ["user_id"], ["event_id"], [F.col("ts")], first_known_events), f"{path}/checkpoint")
     return merged.read()

@@ -11,7 +11,6 @@ from tarnweave.operators.components import components
 from tarnweave.operators.records import merge_lots, upsert
 from tarnweave.sources import adapters
 from tarnweave.sources.paging import balanced_ranges, keyset_page
-from tarnweave.streaming.incremental import Table
 
 
 def test_components_match_union_find(spark):
@@ -185,18 +184,6 @@ def test_reading_statements(spark):
     assert out.first().n == 1 and out.first().s == 2
 
 
-def test_a_pointer_is_replaced_whole(spark, tmp_path):
-    table = Table(spark, str(tmp_path / "t"))
-    table.replace(spark.range(2))
-    before = table.current()
-    table._point = lambda aside: None  # stopped before the last step
-    table.replace(spark.range(5))
-    assert table.current() == before and table.read().count() == 2
-    del table._point
-    table.replace(spark.range(5))
-    assert table.read().count() == 5
-
-
 def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
     from types import SimpleNamespace
 
