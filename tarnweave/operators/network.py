@@ -28,169 +28,154 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return ranged.withColumn("_own", own).join(before, "_p").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_p", "_own", "_n", "_before")
 
 
-#: Directed edges of a graph that one task settles by the same rule; 2 MB.
-FEW = 1 << 16
+#: Directed edges of a block, and edges from which on a node is a hub.
+BLOCK, HUB = 1 << 18, 1 << 16
 
 
-def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-9, patience: int = 3, few: int = FEW) -> DataFrame:
-    """``(node, community)`` of a weighted graph ``(a, b, w)`` by greedy modularity, synchronous and
-    deterministic.
+def communities(edges: DataFrame, levels: int = 5, tolerance: float = 1e-6, patience: int = 2, block: int = BLOCK, hub: int = HUB) -> DataFrame:
+    """``(node, community)`` of a weighted graph ``(a, b, w)`` by modularity in levels (Louvain), deterministic.
 
-    In each round a node takes, among the communities of its neighbours, the one of largest gain
-    (ties: smallest); only nodes whose hash is even or odd move, in turn, so that two neighbours seldom swap.
-    A level ends when no node moved in a pair of rounds, or when modularity rose by no more than ``tolerance``
-    in ``patience`` pairs, each of another hash; then communities become nodes.
-    Communities are connected: each is split into its components at the end.
+    The nodes of a level are dealt to blocks of about ``block`` directed edges, those of a community to one block where it isn't
+    larger than that, in another way each round.  Within its task a block moves its nodes one after
+    another, each to the neighbouring community of largest gain (ties: smallest), as long as any gains; what other blocks hold stands as
+    it was at the round's start.  Hubs are no part of a block: what they are linked with is summed up across tasks, and they move by
+    the same gain.  The best labels of a level become its result when ``patience`` rounds haven't raised
+    modularity by ``tolerance``, or at once where everything was in one block; then communities become nodes.
 
-    A graph of at most ``few`` directed edges is settled inside one task, by the same moves in the same order, so with the
-    same result; node numbers are longs.
+    Communities are connected: each is split into its components at the end, which can only raise modularity.
     """
     both = edges.select("a", "b", F.col("w").cast("double").alias("w"))
     both = cut(both.union(both.select("b", "a", "w")).groupBy("a", "b").agg(F.sum("w").alias("w")))
     total = both.agg(F.sum("w")).first()[0]
     if not total:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("community")).limit(0)
-    if both.count() <= few:
-
-        def here(batches):
-            rows = [r for batch in batches for r in zip(*(batch.column(x).to_pylist() for x in "abw"), strict=True)]
-            found = sorted(_settled(rows, total, levels, tolerance, patience).items()) if rows else []
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["node", "community"])
-
-        one = both.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), "w").coalesce(1)
-        return one.mapInArrow(here, "node long, community long")
     assigned = both.select(F.col("a").alias("node")).distinct().withColumn("community", F.col("node"))
     graph = both
     for _ in range(levels):
-        nodes = cut(graph.groupBy(F.col("a").alias("n")).agg(F.sum("w").alias("d")).withColumn("c", F.col("n")))
-        best_q, best, moved_any = modularity(graph, nodes, total), nodes, False
-        turn = idle = 0
-        moved = risen = False
-        while True:
-            volume = nodes.groupBy("c").agg(F.sum("d").alias("vol"))
-            links = graph.where("a <> b").join(nodes.select(F.col("n").alias("b"), F.col("c").alias("to")), "b").groupBy("a", "to").agg(F.sum("w").alias("k"))
-            own = nodes.select(F.col("n").alias("a"), "d", "c")
-            options = links.join(own, "a").join(volume.withColumnRenamed("c", "to"), "to")
-            vol = F.when(F.col("to") == F.col("c"), F.col("vol") - F.col("d")).otherwise(F.col("vol"))
-            gain = F.col("k") - F.col("d") * vol / total
-            choice = options.groupBy("a").agg(
-                F.max_by(F.struct(F.col("to").alias("to"), gain.alias("g")), F.struct(F.round(gain, 9), -F.col("to"))).alias("x"),
-                F.max(F.when(F.col("to") == F.col("c"), gain)).alias("stay"),
-            )
-            may = F.pmod(F.xxhash64("n", F.lit(turn // 2)), F.lit(2)) == turn % 2
-            alone = -F.col("d") * 0.0
-            better = F.col("x.g") > F.coalesce("stay", alone) + 1e-9
-            nodes_new = cut(
-                nodes.join(choice, nodes.n == choice.a, "left").select("n", "d", F.when(may & better, F.col("x.to")).otherwise(F.col("c")).alias("c"), F.coalesce(may & better, F.lit(False)).alias("m"))
-            )
-            now = not nodes_new.where("m").isEmpty()
-            nodes = nodes_new.select("n", "d", "c")
-            moved |= now
-            if now:
-                q = modularity(graph, nodes, total)
-                if q > best_q + tolerance:
-                    best_q, best, moved_any, risen = q, nodes, True, True
-            if turn % 2:
-                idle = 0 if risen else idle + 1
-                if not moved or idle == patience:
-                    break
-                moved = risen = False
-                release(edges.sparkSession)
-            turn += 1
-        if not moved_any:
+        best = _level(graph, total, tolerance, patience, block, hub)
+        if best is None:
             break
         name = best.select(F.col("n").alias("community"), F.col("c").alias("up"))
         assigned = cut(assigned.join(name, "community").select("node", F.col("up").alias("community")))
-        x, y = best.select(F.col("n").alias("a"), F.col("c").alias("ca")), best.select(F.col("n").alias("b"), F.col("c").alias("cb"))
-        graph = cut(graph.join(x, "a").join(y, "b").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
-    x, y = assigned.select(F.col("node").alias("a"), F.col("community").alias("ca")), assigned.select(F.col("node").alias("b"), F.col("community").alias("cb"))
-    inside = both.join(x, "a").join(y, "b").where("ca = cb").select("a", "b")
-    found = components(inside)
-    return assigned.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("community"))
-
-
-def _settled(edges: list[tuple[int, int, float]], total: float, levels: int, tolerance: float, patience: int) -> dict[int, int]:
-    """Community of each node of a small symmetric graph: ``communities`` over dictionaries."""
-    import struct
-    from decimal import ROUND_HALF_UP, Decimal
-
-    import xxhash
-
-    def even(n: int, salt: int) -> int:
-        """The hash of a long and an int that the plan takes, modulo 2."""
-        return xxhash.xxh64_intdigest(struct.pack("<i", salt), xxhash.xxh64_intdigest(struct.pack("<q", n), 42)) & 1
-
-    def rounded(x: float) -> Decimal:
-        return Decimal(repr(x)).quantize(Decimal("1e-9"), ROUND_HALF_UP)
-
-    def quality(c: dict[int, int]) -> float:
-        vol: dict[int, float] = {}
-        for n, d in degree.items():
-            vol[c[n]] = vol.get(c[n], 0.0) + d
-        inside = sum(w for a, to in graph.items() for b, w in to.items() if c[a] == c[b])
-        return inside / total - sum(v * v for v in vol.values()) / total / total
-
-    graph: dict[int, dict[int, float]] = {}
-    for a, b, w in edges:
-        graph.setdefault(a, {})[b] = w
-    first, assigned = graph, {n: n for n in graph}
-    for _ in range(levels):
-        degree = {a: sum(to.values()) for a, to in graph.items()}
-        c = {n: n for n in graph}
-        best_q, best, moved_any, turn, idle, moved, risen = quality(c), c, False, 0, 0, False, False
-        while True:
-            vol: dict[int, float] = {}
-            for n, d in degree.items():
-                vol[c[n]] = vol.get(c[n], 0.0) + d
-            new = dict(c)
-            for n, d in degree.items():
-                if even(n, turn // 2) != turn % 2:
-                    continue
-                k: dict[int, float] = {}
-                for b, w in graph[n].items():
-                    if b != n:
-                        k[c[b]] = k.get(c[b], 0.0) + w
-                if k:
-                    gain = {x: v - d * (vol[x] - d if x == c[n] else vol[x]) / total for x, v in k.items()}
-                    to = max(gain, key=lambda x: (rounded(gain[x]), -x))
-                    if gain[to] > gain.get(c[n], 0.0) + 1e-9:
-                        new[n] = to
-            now = new != c
-            c = new
-            moved |= now
-            if now and (q := quality(c)) > best_q + tolerance:
-                best_q, best, moved_any, risen = q, c, True, True
-            if turn % 2:
-                idle = 0 if risen else idle + 1
-                if not moved or idle == patience:
-                    break
-                moved = risen = False
-            turn += 1
-        if not moved_any:
+        graph = cut(_labelled(graph, best).groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
+        release(edges.sparkSession)
+    inside = _labelled(both, assigned.toDF("n", "c")).where("ca = cb").select("a", "b")
+    return assigned.join(components(inside), "node", "left").select("node", F.coalesce("component", "node").alias("community"))
+
+
+def _labelled(graph: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with the communities ``ca`` and ``cb`` of their ends."""
+    x, y = (nodes.select(F.col("n").alias(e), F.col("c").alias(f"c{e}")) for e in "ab")
+    return graph.join(x, "a").join(y, "b")
+
+
+def _level(graph: DataFrame, total: float, tolerance: float, patience: int, block: int, hub: int) -> DataFrame | None:
+    """The best labels ``(n, d, c)`` of a level; none if no move raises modularity."""
+    kind = graph.schema["a"].dataType.simpleString()
+    nodes = cut(graph.groupBy(F.col("a").alias("n")).agg(F.sum("w").alias("d"), F.count("*").alias("links")).withColumn("c", F.col("n")))
+    size = nodes.agg(F.coalesce(F.sum(F.when(F.col("links") <= hub, F.col("links"))), F.lit(0)).alias("edges"), F.count_if(F.col("links") > hub).alias("hubs")).first()
+    blocks = max(1, -(-size.edges // block))
+    best, best_q, first_q, idle, turn = None, None, None, 0, 0
+    while True:
+        volumes = nodes.groupBy("c").agg(F.sum("d").alias("v"))
+        large = F.col("v") > total / blocks
+        own = F.pmod(F.xxhash64(F.when(large, F.col("n")).otherwise(F.col("c")), F.lit(turn)), F.lit(blocks)).cast("int")
+        labels = nodes.join(volumes, "c").withColumn("block", F.when(F.col("links") > hub, -1).otherwise(own))
+        x, y = (labels.select(F.col("n").alias(e), F.col("d").alias(f"d{e}"), F.col("c").alias(f"c{e}"), F.col("v").alias(f"v{e}"), F.col("block").alias(f"k{e}")) for e in "ab")
+        ends = graph.join(x, "a").join(y, "b")
+        inner = ends.where("ka >= 0").select("ka", "a", "da", "ca", "va", F.when(F.col("ka") == F.col("kb"), F.col("b")).alias("b"), F.col("a").eqNullSafe(F.col("b")).alias("self"), "cb", "vb", "w")
+        out = f"n {kind}, d double, c {kind}, was {kind}, links bigint, inside double, inside_now double"
+        new = inner.groupBy("ka").applyInArrow(lambda table: _moved(table, total), out)
+        if size.hubs:
+            new = new.unionByName(_hubs(ends.where("ka < 0"), total, turn))
+        new = cut(new)
+        q = _quality(new, "was", "inside", total)
+        if first_q is None:
+            first_q = best_q = q
+        if q > best_q + tolerance:
+            best, best_q, idle = nodes, q, 0
+        elif turn:
+            idle += 1
+        nodes = new.select("n", "d", "links", "c")
+        if new.where("c <> was").isEmpty() or idle == patience:
             break
-        assigned = {n: best[x] for n, x in assigned.items()}
-        up: dict[int, dict[int, float]] = {}
-        for a, to in graph.items():
-            for b, w in to.items():
-                row = up.setdefault(best[a], {})
-                row[best[b]] = row.get(best[b], 0.0) + w
-        graph = up
-    root: dict[int, int] = {}
-    for n in sorted(first):  # each part is named by its least node
-        if n not in root:
-            root[n], stack = n, [n]
-            while stack:
-                x = stack.pop()
-                for y in first[x]:
-                    if y not in root and assigned[y] == assigned[x]:
-                        root[y] = n
-                        stack.append(y)
-    return root
-
-
-def modularity(graph: DataFrame, nodes: DataFrame, total: float) -> float:
-    """Of a symmetric graph ``(a, b, w)`` under ``(n, d, c)``."""
-    x, y = nodes.select(F.col("n").alias("a"), F.col("c").alias("ca")), nodes.select(F.col("n").alias("b"), F.col("c").alias("cb"))
-    inside = graph.join(x, "a").join(y, "b").where("ca = cb").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
-    vol = nodes.groupBy("c").agg(F.sum("d").alias("v")).agg(F.sum(F.col("v") * F.col("v"))).first()[0]
-    return inside / total - vol / total / total
+        if blocks == 1 and not size.hubs:  # nothing else moved meanwhile
+            if _quality(new, "c", "inside_now", total) > best_q + tolerance:
+                best = nodes
+            break
+        turn += 1
+    return best
+
+
+def _quality(new: DataFrame, label: str, inside: str, total: float) -> float:
+    volume = new.groupBy(label).agg(F.sum("d").alias("v"), F.sum(inside).alias("i"))
+    row = volume.agg(F.sum("i").alias("i"), F.sum(F.col("v") * F.col("v")).alias("v")).first()
+    return row.i / total - row.v / total / total
+
+
+def _moved(table: pa.Table, total: float) -> pa.Table:
+    """One block: its nodes move until none gains, at most 20 times around."""
+    col = {c: table.column(c).to_pylist() for c in table.column_names}
+    degree, label, was, volume, near, inside = {}, {}, {}, {}, {}, {}
+    for a, d, ca, va, b, own, cb, vb, w in zip(*(col[c] for c in ("a", "da", "ca", "va", "b", "self", "cb", "vb", "w")), strict=True):
+        degree[a], label[a], was[a], volume[ca], volume[cb] = d, ca, ca, va, vb
+        near.setdefault(a, []).append((None if own else b, cb, w, own))
+        if ca == cb:
+            inside[a] = inside.get(a, 0.0) + w
+    order = sorted(near)
+    for _ in range(20):
+        moves = 0
+        for a in order:
+            k: dict = {}
+            for b, cb, w, own in near[a]:
+                if not own:
+                    c = label.get(b, cb) if b is not None else cb
+                    k[c] = k.get(c, 0.0) + w
+            now, d = label[a], degree[a]
+            gain = {c: x - d * (volume[c] - (d if c == now else 0.0)) / total for c, x in k.items()}
+            if not gain:
+                continue
+            to = min(gain, key=lambda c: (-round(gain[c], 9), c))
+            if to != now and gain[to] > gain.get(now, -d * (volume[now] - d) / total) + 1e-9:
+                volume[now] -= d
+                volume[to] += d
+                label[a] = to
+                moves += 1
+        if not moves:
+            break
+    ends = {a: sum(w for b, cb, w, own in near[a] if own or (label.get(b, cb) if b is not None else cb) == label[a]) for a in order}
+    kind = table.schema.field("a").type
+    return pa.table(
+        {
+            "n": pa.array(order, kind), "d": [degree[a] for a in order], "c": pa.array([label[a] for a in order], kind), "was": pa.array([was[a] for a in order], kind),
+            "links": pa.array([len(near[a]) for a in order], pa.int64()), "inside": [inside.get(a, 0.0) for a in order], "inside_now": [float(ends[a]) for a in order],
+        }
+    )
+
+
+def _hubs(ends: DataFrame, total: float, turn: int) -> DataFrame:
+    """Hubs move by the sums over what they are linked with, every second one in turn."""
+    sums = ends.groupBy("a", "cb").agg(F.max("da").alias("d"), F.max("ca").alias("ca"), F.max("va").alias("va"), F.max("vb").alias("vb"), F.sum(F.when(F.col("a") != F.col("b"), F.col("w")).otherwise(0)).alias("k"), F.sum("w").alias("w"), F.count("*").alias("links"))
+    gain = F.col("k") - F.col("d") * (F.col("vb") - F.when(F.col("cb") == F.col("ca"), F.col("d")).otherwise(0)) / total
+    found = sums.groupBy("a").agg(
+        F.max("d").alias("d"), F.max("ca").alias("was"), F.sum("links").alias("links"), F.sum(F.when(F.col("cb") == F.col("ca"), F.col("w")).otherwise(0)).alias("inside"),
+        F.max_by(F.struct(F.col("cb").alias("to"), gain.alias("g")), F.struct(F.round(gain, 9), -F.xxhash64("cb"))).alias("x"),
+        F.coalesce(F.max(F.when(F.col("cb") == F.col("ca"), gain)), -F.max(F.col("d") * (F.col("va") - F.col("d"))) / total).alias("stay"),
+    )
+    may = (F.pmod(F.xxhash64("a", F.lit(turn // 2)), F.lit(2)) == turn % 2) & (F.col("x.g") > F.col("stay") + 1e-9)
+    return found.select(F.col("a").alias("n"), "d", F.when(may, F.col("x.to")).otherwise(F.col("was")).alias("c"), "was", "links", "inside", F.lit(0.0).alias("inside_now"))
+
+
+def profile(found: DataFrame, kinds: DataFrame) -> DataFrame:
+    """``(community, size, kind, n)``: how many nodes of each ``(node, kind)`` a community has."""
+    each = found.join(kinds, "node").groupBy("community", "kind").agg(F.count("*").alias("n"))
+    return each.join(found.groupBy("community").agg(F.count("*").alias("size")), "community").select("community", "size", "kind", "n")
+
+
+def partition_quality(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """``(communities, modularity)`` of an undirected graph ``(a, b, w)`` under ``(node, community)``."""
+    both = edges.select("a", "b", F.col("w").cast("double").alias("w"))
+    both = _labelled(both.union(both.select("b", "a", "w")), found.toDF("n", "c"))
+    each = both.groupBy(F.col("ca").alias("c")).agg(F.sum("w").alias("v"), F.sum(F.when(F.col("ca") == F.col("cb"), F.col("w")).otherwise(0)).alias("i"))
+    all_ = each.agg(F.count("*").alias("communities"), F.sum("v").alias("t"), F.sum("i").alias("i"), F.sum(F.col("v") * F.col("v")).alias("vv"))
+    return all_.select("communities", (F.col("i") / F.col("t") - F.col("vv") / F.col("t") / F.col("t")).alias("modularity"))

@@ -8,6 +8,7 @@ from tarnweave.functions import codes
 from tarnweave.operators import anomalies, linkage, lookup, network, vectors
 from tarnweave.operators.records import insert_absent
 
+from .durable import cut
 from .registry import query
 from .relational import PATH, PRICE, M, awards
 
@@ -96,14 +97,15 @@ def rf11(t):
 def rf8(t):
     """Communities of the network of pairs with at least three lots; companies have odd node numbers."""
     pairs = awards(t).groupBy("o_custkey", "l_suppkey").agg(F.count_distinct("o_orderkey").alias("w")).where("w >= 3")
-    edges = pairs.select((c("o_custkey") * 2).alias("a"), (c("l_suppkey") * 2 + 1).alias("b"), "w")
-    found = network.communities(edges)
+    edges = cut(pairs.select((c("o_custkey") * 2).alias("a"), (c("l_suppkey") * 2 + 1).alias("b"), "w"))
+    found = cut(network.communities(edges))
     n = found.groupBy("community").agg(
         F.count("*").alias("size"), F.count_if(c("node") % 2 == 0).alias("authorities"), F.count_if(c("node") % 2 == 1).alias("companies")
     )
     level = F.when(c("size") >= 10, "high").when(c("size") >= 5, "medium").otherwise("low")
     kept = n.where("authorities >= 1 AND companies >= 2 AND size >= 3").withColumn("severity", level)
-    return kept.orderBy(c("size").desc(), "community").limit(50)
+    top = kept.orderBy(c("size").desc(), "community").limit(50)
+    return top.join(F.broadcast(network.partition_quality(edges, found).select(F.round("modularity", 6).alias("modularity"))))  # one row
 
 
 @query("gr02_projection", f"SELECT o_custkey AS sa, l_suppkey AS imp, count(*) AS w FROM {PATH} GROUP BY ALL")

@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -194,11 +195,42 @@ def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
         durable.shared_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
 
 
-def test_small_graphs_are_settled_alike(spark):
-    """Two triangles and a bridge: one task and the plan give the same communities."""
-    df = spark.createDataFrame([(1, 2, 3), (2, 3, 3), (1, 3, 2), (4, 5, 3), (5, 6, 3), (4, 6, 2), (3, 4, 1)], "a long, b long, w long")
-    one = {x.node: x.community for x in network.communities(df, levels=1, patience=1).collect()}
-    assert one == {x.node: x.community for x in network.communities(df, levels=1, patience=1, few=0).collect()}
+def modularity_of(edges, of):
+    """By SQL over the returned labels."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE e (a BIGINT, b BIGINT, w DOUBLE)")
+    con.execute("CREATE TABLE l (n BIGINT, c BIGINT)")
+    con.executemany("INSERT INTO e VALUES (?, ?, ?)", edges)
+    con.executemany("INSERT INTO l VALUES (?, ?)", list(of.items()))
+    return con.execute(
+        "WITH u AS (SELECT a, b, w FROM e UNION ALL SELECT b, a, w FROM e), t AS (SELECT sum(w) AS t FROM u), "
+        "j AS (SELECT x.c AS ca, y.c AS cb, w FROM u JOIN l x ON a = x.n JOIN l y ON b = y.n), "
+        "v AS (SELECT ca, sum(w) AS v, coalesce(sum(w) FILTER (ca = cb), 0) AS i FROM j GROUP BY 1) SELECT sum(i) / max(t) - sum(v * v) / max(t) ** 2 FROM v, t"
+    ).fetchone()[0]
+
+
+@pytest.mark.parametrize(("block", "hub"), [(1 << 18, 1 << 16), (200, 1 << 16), (200, 25)])
+def test_modularity_of_planted_communities(spark, block, hub):
+    """In one block, in many, and with hubs: about as good as the planted partition, and the figure returned is that of SQL."""
+    r = random.Random(9)
+    edges = {}
+    for a in range(120):
+        for b in range(a + 1, 120):
+            if r.random() < (0.35 if a // 15 == b // 15 else 0.01) or a == 0 and b % 4 == 0:
+                edges[a, b] = float(r.randrange(1, 4))
+    edges = [(*k, w) for k, w in edges.items()]
+    df = spark.createDataFrame(edges, "a long, b long, w double")
+    found = network.communities(df, block=block, hub=hub)
+    of = {x.node: x.community for x in found.collect()}
+    q = network.partition_quality(df, spark.createDataFrame(list(of.items()), "node long, community long")).first()
+    assert abs(q.modularity - modularity_of(edges, of)) < 1e-9 and q.communities == len(set(of.values()))
+    assert q.modularity > modularity_of(edges, {n: n // 15 for n in of}) - 0.05
+
+
+def test_profile_of_communities(spark):
+    found = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 4)], "node long, community long")
+    kinds = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y"), (4, "x")], "node long, kind string")
+    assert sorted(map(tuple, network.profile(found, kinds).collect())) == [(1, 3, "x", 1), (1, 3, "y", 2), (4, 1, "x", 1)]
 
 
 def test_loads_with_nulls(spark):
