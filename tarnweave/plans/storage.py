@@ -10,7 +10,7 @@ from tarnweave.operators.records import distinct_in_order, first_known
 from tarnweave.sources import files
 from tarnweave.streaming.incremental import Buckets, merge_batches, run_available, upsert_batches
 
-from .durable import shared_dir
+from .durable import cut, shared_dir
 from .registry import query
 
 
@@ -32,14 +32,27 @@ def csv(t):
     return files.read_csv(t.spark, path, df.schema)
 
 
-@query("src12_json_array", "SELECT n_nationkey AS id, n_name AS ocid FROM nation")
+@query(
+    "src12_json_array",
+    r"""SELECT 'R' || o_orderkey AS id, 'O' || o_custkey || '\"}{[' AS ocid, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders""",
+)
 def json_array(t):
+    """One document of all orders in 64 byte ranges; strings hold quotes, backslashes and brackets."""
     from tarnweave.sources.adapters import huge_json
 
     path = _folder(t)
-    releases = F.collect_list(F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("ocid")))
-    t.nation.agg(releases.alias("releases")).write.json(path)  # one document, as the source gives it
-    return huge_json(t.spark, path).select(F.col("id").cast("int").alias("id"), "ocid")
+    release = F.struct(
+        F.concat(F.lit("R"), "o_orderkey").alias("id"), F.concat(F.lit("O"), "o_custkey", F.lit('\\"}{[')).alias("ocid"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+    )
+    files.write_json_document(t.orders.select(release.alias("r")), path, '{"uri": "a{b", "publisher": {"name": "x"}, "links": [{"id": "no", "ocid": "no"}], "releases": [{}', ' ], "extra": [{"id": "no", "ocid": "no"}]}')
+    size = files.bytes_of(t.spark, path)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = t.spark.conf.get(key)
+    t.spark.conf.set(key, str(size // 64 + 1))
+    try:
+        return cut(huge_json(t.spark, path).select("id", "ocid", "date"))
+    finally:
+        t.spark.conf.set(key, before)
 
 
 @query("snk07_slice", "SELECT event_type, count(*) + CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS n FROM events GROUP BY 1")

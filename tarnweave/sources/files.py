@@ -26,3 +26,34 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 def replace_slices(df: DataFrame, path: str, column: str) -> None:
     """Writes a partitioned table, replacing only the slices that ``df`` has."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def write_json_document(df: DataFrame, path: str, head: str, tail: str) -> None:
+    """One JSON document in one file: ``head``, which ends inside an array after an element, a comma and the JSON of each row's only column, ``tail``.
+
+    The parts are written by all tasks; the driver's JVM streams them one after another.
+    """
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    df.select(F.concat(F.lit(","), F.to_json(df.columns[0])).alias("value")).write.text(f"{path}-parts")
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    folder = hadoop.fs.Path(f"{path}-parts")
+    fs = folder.getFileSystem(conf)
+    out = fs.create(hadoop.fs.Path(f"{path}/document.json"), True)
+    try:
+        out.write(bytearray(head.encode()))
+        for name in sorted(x.getPath().getName() for x in fs.listStatus(folder)):
+            if name.startswith("part-"):
+                part = fs.open(hadoop.fs.Path(folder, name))
+                hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                part.close()
+        out.write(bytearray(tail.encode()))
+    finally:
+        out.close()
+    fs.delete(folder, True)
+
+
+def bytes_of(spark: SparkSession, path: str) -> int:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()

@@ -162,3 +162,35 @@ def test_windows_are_pushed_to_the_pages(spark, tmp_path):
     spark.dataSource.register(Pages)
     rows = spark.read.format("pages").options(**options).load().where("day >= DATE '2024-01-03' AND day < DATE '2024-01-06'")
     assert sorted(r.id for r in rows.collect()) == list(range(12, 30)) and rows.rdd.getNumPartitions() == 3
+
+
+def test_one_json_document_in_many_ranges(spark, tmp_path):
+    """Any splits give the records that a whole parse gives; other arrays, nested values and brackets in strings are no records."""
+    import json
+    import random
+
+    from tarnweave.sources.bigjson import json_records
+
+    r = random.Random(6)
+    odd = ['"', "\\", "{", "}", "[", "]", "}}", "a", "é", "\n", ",", ":", '\\"}', "releases"]
+    value = lambda depth: r.choice(
+        [lambda: "".join(r.choice(odd) for _ in range(r.randrange(6))), lambda: r.randrange(100), lambda: None, lambda: [value(depth + 1) for _ in range(r.randrange(3))] if depth < 3 else [], lambda: {r.choice(odd): value(depth + 1) for _ in range(r.randrange(3))} if depth < 3 else {}]
+    )()
+    releases = [{"id": i, "x": value(0), "y{": value(0)} for i in range(150)] + [{}]
+    docs = {
+        "first": {"releases": releases, "other": [{"id": 1}], "z": {"releases": [{"id": 2}]}},
+        "last": {"uri": 'a"{[', "n": 3, "publisher": {"name": "}"}, "tags": ["a", "}"], "links": [{"id": 5}, {}], "releases": releases},
+        "none": {"other": [{"id": 1}, {"a": {"b": {}}}]},
+        "empty": {"releases": [], "after": [{"id": 9}]},
+    }
+    for name, doc in docs.items():
+        for indent in (None, 1):
+            at = tmp_path / f"{name}-{indent}.json"
+            at.write_text(json.dumps(doc, ensure_ascii=indent is None, indent=indent))
+            for size in (1 << 20, 600) if len(doc.get("releases", [])) > 9 else (1 << 20, 7):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+                spark.conf.set("spark.sql.files.openCostInBytes", "0")
+                got = [json.loads(x.text) for x in json_records(spark, str(at)).orderBy("number").collect()]
+                assert got == doc.get("releases", []), (name, indent, size)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
