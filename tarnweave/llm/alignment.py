@@ -32,7 +32,7 @@ from tarnweave.plans.durable import cut, shared_dir, small_batches
 from .lookups import lookup
 
 #: Text bytes that DuckDB gets at once.
-CHUNK = 1 << 21
+CHUNK = 3 << 19
 #: White space of such length is more than the fast encoder's regular expressions can take.
 _LONG_GAP = re.compile(r"\s{1000}")
 
