@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tarnweave.functions.codes import near_names, verdict
 from tarnweave.operators.components import components
+from tarnweave.plans.durable import cut
 
-EDIT = 2  # near names are at most this many edits apart, and have a part more than that
+EDIT = 2  # near names are at most this many edits apart
+#: Rows of the two sides of a part, multiplied, from which on the part is too common to meet under.
+COMMON = 1 << 10
 
 
-def _cuts(long: DataFrame) -> DataFrame:
-    """``(k, m, cut)``: where names of start k and length m are cut into parts that tell names apart about equally.
+def _cuts(long: DataFrame, parts: int) -> DataFrame:
+    """``(k, m, cut)``: where names of block k and length m are cut into parts that tell names apart about equally.
 
     A place counts by the information of its characters (minus log of the chance that two names agree there).
     """
@@ -26,44 +29,118 @@ def _cuts(long: DataFrame) -> DataFrame:
         step = lambda s, x: F.struct((s["sum"] + x).alias("sum"), (s["n"] + F.when(s["sum"] + x <= share * total, 1).otherwise(0)).alias("n"))
         return F.aggregate("bits", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")), step, lambda s: s["n"])
 
-    one, two = F.greatest(F.least(before(1 / 3), F.col("m") - 2), F.lit(1)), F.least(before(2 / 3), F.col("m") - 1)
-    return told.groupBy("k", "m").agg(bits.alias("bits")).select("k", "m", one.alias("one"), two.alias("two")).select(
-        "k", "m", F.array(F.lit(0), "one", F.greatest("two", F.col("one") + 1), "m").alias("cut")
-    )
+    at = [F.lit(0)]
+    for i in range(1, parts):
+        at.append(F.greatest(F.least(before(i / parts), F.col("m") - (parts - i)), at[-1] + 1))
+    return told.groupBy("k", "m").agg(bits.alias("bits")).select("k", "m", F.array(*at, F.col("m")).alias("cut"))
 
 
-def fuzzy_pairs(names: DataFrame, block: int = 3) -> DataFrame:
-    """Pairs (a, b, a_name, b_name), a < b, of ``(id, name)`` whose names start alike and are near.
+def _left_out(name, edit: int, right: bool):
+    """Hashes of what is left of a name without up to ``edit`` characters, of a kind that names at most so many edits apart share.
 
-    A name is cut into three parts, so two edits leave one of them whole.  With i parts before it, there is such a
-    part i with at most i edits before and ``EDIT`` - i after it, which bounds its shift: the first part stays
-    in place, the last one keeps its distance from the end.  Parts of the smaller id meet these substrings of
-    the larger one.  Any cut loses no pair; where names are cut follows from what tells them apart (``_cuts``), so a
-    common beginning is no block.  Equal names meet by themselves.  Null and empty names have no partner.
+    Within two edits: both leave out at most one character; or two each at the same places; or one side two and the other at most one (``right`` tells the
+    sides apart).  Within more, any number each.
     """
+    n = F.length(name)
+    cut_ = lambda x, i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x)))
+    one = F.transform(F.sequence(F.lit(1), n), lambda i: cut_(name, i))
+    few = F.array_distinct(F.concat(F.array(name), one))
+    marked = lambda xs, mark: F.transform(xs, lambda x: F.xxhash64(F.lit(mark), x))
+    if edit == 1:
+        return F.array_distinct(marked(few, 1))
+    if edit == 2:
+        between = lambda p, q: F.concat(F.substring(name, F.lit(1), p - 1), F.substring(name, p + 1, q - p - 1), F.substring(name, q + 1, n))
+        two = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda p: F.transform(F.sequence(p + 1, n), lambda q: F.struct(between(p, q).alias("z"), p.alias("p"), q.alias("q")))))
+        placed = F.transform(two, lambda x: F.xxhash64(F.lit(2), x["z"], x["p"], x["q"]))
+        plain = F.array_distinct(F.transform(two, lambda x: x["z"]))
+        return F.array_distinct(F.concat(marked(few, 1), placed, marked(few, 4 if right else 3), marked(plain, 3 if right else 4)))
+    every = [few]
+    for _ in range(edit - 1):
+        every.append(F.array_distinct(F.flatten(F.transform(every[-1], lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i, x=x: cut_(x, i))))))
+    return F.array_distinct(marked(F.concat(*every), 1))
+
+
+def name_classes(names: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """``(class, name, *within, members)``: equal names are one class, named by their least id; null and empty names have none."""
     named = names.where("id IS NOT NULL AND name IS NOT NULL AND name <> ''")
-    long = named.select("id", "name", F.substring("name", 1, block).alias("k"), F.length("name").alias("n")).where("n >= 8")
-    cuts = _cuts(long)
+    return named.groupBy("name", *within).agg(F.min("id").alias("class"), F.count("*").alias("members"))
+
+
+def candidates(classes: DataFrame, within: tuple[str, ...] = (), block: int = 3, edit: int = EDIT, common: int = COMMON) -> DataFrame:
+    """Distinct pairs ``(a, b, a_name, b_name)`` of classes, a < b, that may be near; no near pair is left out.
+
+    A name is cut into parts, one more than the edits, so one of them stays whole.  With i parts before it, there is such a
+    part i with at most i edits before and ``edit`` - i after it, which bounds its shift: the first part stays
+    in place, the last one keeps its distance from the end.  Parts of the smaller id meet these substrings of the larger one.
+
+    A part that is too common (``common``) is no key.  The names that have one meet instead by
+    what is left of them without up to ``edit`` characters (``_left_out``): near names leave the same string, others hardly any, so these keys
+    are as rare as near names are, however alike the names begin.  A name has about the square of its length of them.
+    """
+    extra = [F.col(c) for c in within]
+    long = classes.select(F.col("class").alias("id"), "name", F.struct(F.substring("name", 1, block).alias("begin"), *extra).alias("k"), F.length("name").alias("n")).where("n >= 8")
+    cuts = _cuts(long, edit + 1)
     begin, size = F.get("cut", F.col("i")), F.get("cut", F.col("i") + 1) - F.get("cut", F.col("i"))
-    numbers = F.array(*[F.lit(i) for i in range(EDIT + 1)])
+    numbers = F.array(*[F.lit(i) for i in range(edit + 1)])
     left = (
         long.join(cuts.withColumnRenamed("m", "n"), ["k", "n"]).withColumn("i", F.explode(numbers))
         .select("id", "name", "k", "i", F.col("n").alias("m"), F.substring("name", begin + 1, size).alias("part"))
     )
-    gap = F.explode(F.sequence(F.col("n") - EDIT, F.col("n") + EDIT)).alias("m")
+    gap = F.explode(F.sequence(F.col("n") - edit, F.col("n") + edit)).alias("m")
     i, delta = F.col("i"), F.col("n") - F.col("m")
-    low, high = F.greatest(-i, delta - EDIT + i), F.least(i, delta + EDIT - i)
+    low, high = F.greatest(-i, delta - edit + i), F.least(i, delta + edit - i)
     right = (
         long.select("*", gap).join(cuts, ["k", "m"]).withColumn("i", F.explode(numbers)).where(low <= high)
         .withColumn("at", F.explode(F.sequence(begin + low, begin + high))).where((F.col("at") >= 0) & (F.col("at") + size <= F.col("n")))
         .select(F.col("id").alias("id2"), F.col("name").alias("name2"), "k", "i", "m", F.substring("name", F.col("at") + 1, size).alias("part"))
         .distinct()
     )
-    meet = left.join(right, ["k", "i", "m", "part"]).where((F.col("id") < F.col("id2")) & (F.col("name") != F.col("name2")) & near_names(F.col("name"), F.col("name2")))
-    fuzzy = meet.select(F.col("id").alias("a"), F.col("id2").alias("b"), F.col("name").alias("a_name"), F.col("name2").alias("b_name")).distinct()
+    key = ["k", "i", "m", "part"]
+    left, right = cut(left), cut(right)
+    sizes = left.groupBy(*key).agg(F.count("*").alias("nl")).join(right.groupBy(*key).agg(F.count("*").alias("nr")), key)
+    hot = cut(sizes.where(F.col("nl") * F.col("nr") > common).select(*key))
+    if hot.isEmpty():
+        met = left.join(right, key)
+    else:
+        met = left.join(hot, key, "left_anti").join(right, key)
+        crowd = left.join(hot, key, "left_semi").select("id", "name", "k").union(right.join(hot, key, "left_semi").select("id2", "name2", "k")).distinct()
+        x, y = (crowd.withColumn("key", F.explode(_left_out(F.col("name"), edit, right))) for right in (False, True))
+        rest = x.join(y.select(F.col("id").alias("id2"), F.col("name").alias("name2"), "k", "key"), ["k", "key"])
+        met = met.select("id", "name", "id2", "name2").union(rest.select("id", "name", "id2", "name2"))
+    pairs = met.where(F.col("id") < F.col("id2")).select(F.col("id").alias("a"), F.col("id2").alias("b"), F.col("name").alias("a_name"), F.col("name2").alias("b_name"))
+    return pairs.distinct()  # a pair may share several keys
+
+
+def near_classes(classes: DataFrame, within: tuple[str, ...] = (), block: int = 3, edit: int = EDIT) -> DataFrame:
+    """Pairs of different names ``(a, b, a_name, b_name)`` of ``name_classes`` that start alike and are near."""
+    return candidates(classes, within, block, edit).where(near_names(F.col("a_name"), F.col("b_name"), edit=edit))
+
+
+def fuzzy_pairs(names: DataFrame, block: int = 3, edit: int = EDIT, within: tuple[str, ...] = ()) -> DataFrame:
+    """All pairs (a, b, a_name, b_name), a < b, of ``(id, name)`` whose names start alike and are near or equal.
+
+    For what needs no pair by pair listing, ``near_classes`` gives the same as pairs of classes, without the square of equal names.
+    """
+    named = names.where("id IS NOT NULL AND name IS NOT NULL AND name <> ''").select("id", "name", *within)
+    near = near_classes(name_classes(named, within), within, block, edit)
+    of = lambda e: named.select(F.col("name").alias(f"{e}_name"), F.col("id").alias(e), *[F.col(c).alias(f"_{c}{e}") for c in within])
+    same = [F.col(f"_{c}a") == F.col(f"_{c}b") for c in within]
+    every = near.select("a_name", "b_name").distinct().join(of("a"), "a_name").join(of("b"), "b_name")
+    for s in same:
+        every = every.where(s)
+    low = F.col("a") < F.col("b")
+    pick = lambda x, y: F.when(low, F.col(x)).otherwise(F.col(y))
+    fuzzy = every.select(pick("a", "b").alias("a"), pick("b", "a").alias("b"), pick("a_name", "b_name").alias("a_name"), pick("b_name", "a_name").alias("b_name"))
     x, y = named.alias("x"), named.alias("y")
-    equal = x.join(y, F.expr("x.name = y.name AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("a_name"), F.col("y.name").alias("b_name"))
-    return fuzzy.union(equal)
+    equal = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("name", *within)] + [F.col("x.id") < F.col("y.id")])
+    return fuzzy.union(equal.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("a_name"), F.col("y.name").alias("b_name")))
+
+
+def name_edges(names: DataFrame, block: int = 3, edit: int = EDIT, within: tuple[str, ...] = ()) -> DataFrame:
+    """Edges ``(a, b)`` with the components of ``fuzzy_pairs``: near classes, and each member with its class."""
+    classes = cut(name_classes(names, within))
+    members = names.join(classes, ["name", *within]).where("id <> class").select(F.col("class").alias("a"), F.col("id").alias("b"))
+    return near_classes(classes, within, block, edit).select("a", "b").union(members)
 
 
 def judged(pairs: DataFrame, subjects: DataFrame) -> DataFrame:

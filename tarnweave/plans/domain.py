@@ -267,10 +267,8 @@ _FUZZY = "a.s_suppkey < b.s_suppkey AND substr(a.s_name, 1, 3) = substr(b.s_name
 
 
 def _supplier_edges(t):
-    near = linkage.fuzzy_pairs(t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"))).where(F.levenshtein("a_name", "b_name") <= 1)
-    s = t.supplier
-    x = near.join(s.select(c("s_suppkey").alias("a"), c("s_nationkey").alias("x")), "a").join(s.select(c("s_suppkey").alias("b"), c("s_nationkey").alias("y")), "b")
-    return x.where("x = y").select("a", "b")
+    """Names of one nation that are one edit apart."""
+    return linkage.name_edges(t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"), "s_nationkey"), edit=1, within=("s_nationkey",))
 
 
 _CLOSURE = f"""

@@ -320,3 +320,37 @@ def test_percentile_floor_is_the_element_at_floor(spark):
         xs = groups.get(row.n)
         want = [None if xs is None else xs[min(row.n - 1, int(Fraction(str(p)) * row.n))] for p in shares]
         assert list(row)[1:] == want
+
+
+def test_names_that_begin_alike_are_no_hot_block(spark):
+    """A thousand names with one common beginning: candidates stay near the pairs found, and no key is common."""
+    names = spark.range(1000).select("id", F.format_string("Supplier#%09d", "id").alias("name"))
+    classes = linkage.name_classes(names)
+    met, near = linkage.candidates(classes).count(), linkage.near_classes(classes).count()
+    assert near <= met < 1.5 * near
+    keys = classes.select(F.explode(linkage._left_out(F.col("name"), 2, False)).alias("key"))
+    largest = keys.groupBy("key").count().agg(F.max("count")).first()[0]
+    assert largest < 0.01 * keys.count()
+
+
+def test_equal_names_are_classes(spark):
+    rows = [(i, "one and the same name") for i in range(50)] + [(50, "one and the same nam"), (51, "another name"), (52, "another name"), (53, None)]
+    names = spark.createDataFrame([(i, x, i % 2) for i, x in rows], "id long, name string, part int")
+    assert {(r["class"], r.members) for r in linkage.name_classes(names).collect()} == {(0, 50), (50, 1), (51, 2)}
+    edges = [tuple(r) for r in linkage.name_edges(names).collect()]
+    assert len(edges) == 49 + 1 + 1 and {x.cluster for x in linkage.clusters(names, linkage.name_edges(names)).collect()} == {0, 51, 53}
+    assert linkage.fuzzy_pairs(names).count() == 50 * 49 // 2 + 50 + 1
+    assert linkage.fuzzy_pairs(names, within=("part",)).count() == 2 * (25 * 24 // 2) + 25
+
+
+@pytest.mark.parametrize("common", [0, 1 << 10])
+def test_common_parts_lose_no_pair(spark, monkeypatch, common):
+    r = random.Random(8)
+    names = sorted({"".join(r.choice("ab") for _ in range(r.randrange(8, 12))) for _ in range(150)})
+    df = spark.createDataFrame(list(enumerate("abc" + x for x in names)), "id long, name string")
+    classes = linkage.name_classes(df)
+    for edit in (1, 2, 3):
+        near = codes.near_names(F.col("a_name"), F.col("b_name"), edit=edit)
+        got = {(x.a, x.b) for x in linkage.candidates(classes, edit=edit, common=common).where(near).collect()}
+        a, b = df.select(F.col("id").alias("a"), F.col("name").alias("a_name")), df.select(F.col("id").alias("b"), F.col("name").alias("b_name"))
+        assert got == {(x.a, x.b) for x in a.join(b, F.col("a") < F.col("b")).where(near).collect()}
