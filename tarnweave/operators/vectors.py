@@ -187,6 +187,110 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, lists: Lists | None =
     return nearest(vectors if where is None else vectors.where(where), queries, k)
 
 
+class Codes:
+    """Vectors in parts, each replaced by the number of the nearest of at most 256 centres: a byte a part."""
+
+    def __init__(self, centres: np.ndarray):
+        self.centres = centres  # (parts, centres, length of a part)
+
+    def encode(self, units: np.ndarray) -> np.ndarray:
+        out = np.empty((len(units), len(self.centres)), np.uint8)
+        size = self.centres.shape[2]
+        for p, c in enumerate(self.centres):
+            out[:, p] = ((c * c).sum(1)[None, :] - 2 * (units[:, p * size : (p + 1) * size] @ c.T)).argmin(1)
+        return out
+
+    def scores(self, tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """About the cosine of each query (``tables`` of it) with each coded row."""
+        out = np.zeros((len(codes), len(tables)), np.float32)
+        for p in range(codes.shape[1]):
+            out += tables[:, p].T[codes[:, p]]
+        return out
+
+    def tables(self, units: np.ndarray) -> np.ndarray:
+        size = self.centres.shape[2]
+        return np.stack([units[:, p * size : (p + 1) * size] @ c.T for p, c in enumerate(self.centres)], axis=1).astype(np.float32)
+
+
+def fit_codes(vectors: DataFrame, parts: int = 16, sample: int = 1 << 14, key: str = "id", rounds: int = 8) -> Codes | None:
+    """Centres of each part by k-means on a bounded sample, the rows of least hash of the key; every row of a table is coded with them."""
+    rows = vectors.where("embedding IS NOT NULL").orderBy(F.xxhash64(key), key).limit(sample).select(F.col("embedding").cast("array<double>").alias("v")).toArrow()
+    if not rows.num_rows:
+        return None
+    u = _units(rows["v"].combine_chunks())
+    parts = max(p for p in range(1, parts + 1) if u.shape[1] % p == 0)
+    size, out = u.shape[1] // parts, []
+    for p in range(parts):
+        x = u[:, p * size : (p + 1) * size]
+        c = x[np.linspace(0, len(x) - 1, min(256, len(x))).astype(int)].copy()
+        for _ in range(rounds):
+            at = ((c * c).sum(1)[None, :] - 2 * (x @ c.T)).argmin(1)
+            n = np.bincount(at, minlength=len(c))
+            sums = np.zeros_like(c)
+            np.add.at(sums, at, x)
+            c[n > 0] = sums[n > 0] / n[n > 0, None]
+        out.append(c)
+    return Codes(np.stack(out))
+
+
+def coded(vectors: DataFrame, codes: Codes) -> DataFrame:
+    """Rows with ``code`` (null without an embedding) instead of the embedding: the index, a sixteenth of the vectors' size for 64 floats."""
+    shared = vectors.sparkSession.sparkContext.broadcast(codes)
+    width = codes.centres.shape[0] * codes.centres.shape[2]
+
+    @F.pandas_udf("binary")
+    def code(v):
+        units = _units(pa.array(v, pa.list_(pa.float64())).fill_null([0.0] * width))
+        found = [x.tobytes() for x in shared.value.encode(units)]
+        return v.notna().map({True: 1, False: None}).combine(v.__class__(found), lambda known, x: x if known == 1 else None)
+
+    return vectors.withColumn("code", code(F.col("embedding").cast("array<double>"))).drop("embedding")
+
+
+def search_coded(index: DataFrame, vectors: DataFrame, queries: DataFrame, k: int, codes: Codes, candidates: int = 100, where: Column | None = None, key: str = "id", block: int = 1024) -> DataFrame:
+    """The ``k`` nearest among the ``candidates`` rows of best coded score of each query: ``(query, id, score, rank)`` as ``nearest``.
+
+    A filter applies to the index before the search.  Tasks read the codes only; the vectors of the candidates come by a join on the
+    id, so just those pairs are compared in full.
+    """
+    from tarnweave.operators.records import cap_per_key
+
+    spark = vectors.sparkSession
+    q = queries.select(F.col(key).alias("query"), F.col("embedding").cast("array<double>").alias("q")).where("q IS NOT NULL")
+    rows = (index if where is None else index.where(where)).where("code IS NOT NULL").select(F.col(key).alias("id"), "code")
+    kind, blocks, best = q.schema["query"].dataType.simpleString(), max(1, -(-q.count() // block)), None
+    for b in range(blocks):
+        part = (q if blocks == 1 else q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b)).toArrow()
+        if not part.num_rows:
+            continue
+        shared = spark.sparkContext.broadcast((codes, part["query"].combine_chunks(), codes.tables(_units(part["q"].combine_chunks()))))
+
+        def run(batches, shared=shared):
+            codes, names, tables = shared.value
+            held = None
+            for batch in batches:
+                if len(batch):
+                    own = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint8).reshape(len(batch), -1)
+                    score = codes.scores(tables, own)
+                    least = np.partition(score, -candidates, axis=0)[-candidates] if len(score) > candidates else np.full(len(names), -np.inf)
+                    at, query = np.nonzero(score >= least)
+                    found = score[at, query], batch["id"].take(pa.array(at)), query
+                    if held:
+                        found = np.concatenate([held[0], found[0]]), pa.concat_arrays([held[1], found[1]]), np.concatenate([held[2], found[2]])
+                    held = _best(*found, candidates)
+            if held:
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(held[2])), held[1], pa.array(held[0].astype(np.float64))], ["query", "id", "about"])
+
+        found = rows.mapInArrow(run, f"query {kind}, id {rows.schema['id'].dataType.simpleString()}, about double")
+        best = found if best is None else best.union(found)
+    if best is None:
+        return nearest(vectors.limit(0), queries, k, key)
+    few = cap_per_key(best, ["query"], [F.col("about").desc(), F.col("id")], candidates).select("query", "id")
+    full = few.join(vectors.select(F.col(key).alias("id"), F.col("embedding").alias("v")), "id").join(q, "query")
+    scored = full.select("query", "id", F.round(cosine(F.col("v"), F.col("q")), 12).alias("score"))
+    return cap_per_key(scored, ["query"], [F.col("score").desc(), F.col("id")], k)
+
+
 def compared_share(vectors: DataFrame, queries: DataFrame, lists: Lists) -> DataFrame:
     """``(share)``: pairs of query and row that the lists compare, of all pairs."""
     shared = vectors.sparkSession.sparkContext.broadcast(lists)

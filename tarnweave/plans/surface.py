@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarnweave.operators import anomalies, chats, linkage, loads
+from tarnweave.operators import anomalies, chats, linkage, loads, vectors
 
 from .domain import RF1, RF2, RF3, paths
 from .registry import query
@@ -172,3 +172,28 @@ def findings(t):
     p = paths(t)
     found = anomalies.findings(rf1=anomalies.recurrent_pairs(p), rf2=anomalies.split_awards(p), rf3=anomalies.dominant_winner(p))
     return anomalies.picked(found, entity=7, limit=50)
+
+
+def _coded_search(t, where=None):
+    v = t.embeddings.select(c("vec_id").alias("id"), "embedding", "label")
+    codes = vectors.fit_codes(v)
+    index, q = vectors.coded(v, codes), v.where("id % 100 = 0")
+    return v, q, vectors.search_coded(index, v, q, 10, codes, candidates=100, where=where)
+
+
+@query("vec04_coded_search")
+def coded_search(t):
+    """Recall of coded search, and the share of all pairs that it compares in full."""
+    v, q, found = _coded_search(t)
+    return vectors.recall(found, vectors.nearest(v, q, 10)).withColumn("compared_share", F.least(F.lit(1.0), F.lit(100.0) / F.lit(v.count())))
+
+
+@query(
+    "vec04_filter_first",
+    "SELECT q.vec_id AS query, count(*) AS found, bool_and(v.label = 3) AS kept FROM (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q, (SELECT * FROM embeddings WHERE label = 3 LIMIT 10) v GROUP BY 1",
+)
+def filter_first(t):
+    """The filter comes before the search, so every query has its ten rows of the label."""
+    v, _, found = _coded_search(t, c("label") == 3)
+    kept = found.join(v.select("id", "label"), "id")
+    return kept.groupBy("query").agg(F.count("*").alias("found"), F.bool_and(c("label") == 3).alias("kept"))

@@ -354,3 +354,24 @@ def test_common_parts_lose_no_pair(spark, monkeypatch, common):
         got = {(x.a, x.b) for x in linkage.candidates(classes, edit=edit, common=common).where(near).collect()}
         a, b = df.select(F.col("id").alias("a"), F.col("name").alias("a_name")), df.select(F.col("id").alias("b"), F.col("name").alias("b_name"))
         assert got == {(x.a, x.b) for x in a.join(b, F.col("a") < F.col("b")).where(near).collect()}
+
+
+@pytest.mark.parametrize("spread", [0.3, None])
+def test_coded_search_finds_most_and_compares_few(spark, spread):
+    """Clustered and even vectors; null and zero ones; a filter before the search."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    x = r.normal(size=(1500, 32))
+    if spread:
+        x = r.normal(size=(12, 32))[r.integers(0, 12, 1500)] + spread * x
+    rows = [(i, y.tolist(), i % 4) for i, y in enumerate(x)] + [(2000, None, 0), (2001, [0.0] * 32, 0)]
+    v = spark.createDataFrame(rows, "id long, embedding array<double>, kind int")
+    codes = vectors.fit_codes(v)
+    index, q = vectors.coded(v, codes), v.where("id % 50 = 0 AND id < 1500")
+    assert index.where("code IS NULL").count() == 1
+    got = vectors.search_coded(index, v, q, 10, codes, candidates=100, block=7)
+    assert vectors.recall(got, vectors.nearest(v, q, 10)).first().recall >= 0.9  # 100 of 1502: 0.07 of all pairs
+    only = vectors.search_coded(index, v, q, 10, codes, candidates=100, where=F.col("kind") == 1).join(v.select("id", "kind"), "id")
+    assert only.count() == 300 and only.where("kind <> 1").isEmpty()
+    assert vectors.recall(only.select("query", "id"), vectors.nearest(v.where("kind = 1"), q, 10)).first().recall >= 0.95
