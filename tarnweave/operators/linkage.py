@@ -54,10 +54,16 @@ def _left_out(name, edit: int, right: bool):
         placed = F.transform(two, lambda x: F.xxhash64(F.lit(2), x["z"], x["p"], x["q"]))
         plain = F.array_distinct(F.transform(two, lambda x: x["z"]))
         return F.array_distinct(F.concat(marked(few, 1), placed, marked(few, 4 if right else 3), marked(plain, 3 if right else 4)))
-    every = [few]
-    for _ in range(edit - 1):
-        every.append(F.array_distinct(F.flatten(F.transform(every[-1], lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i, x=x: cut_(x, i))))))
-    return F.array_distinct(marked(F.concat(*every), 1))
+    return marked(spellings(name, edit), 1)
+
+
+def spellings(word, edit: int):
+    """The distinct strings that a word leaves without up to ``edit`` characters; words within so many edits have one in common."""
+    less = lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
+    every = [F.array(word)]
+    for _ in range(edit):
+        every.append(F.array_distinct(F.flatten(F.transform(every[-1], less))))
+    return F.array_distinct(F.concat(*every))
 
 
 def name_classes(names: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:

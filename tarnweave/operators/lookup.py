@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnweave.operators.linkage import spellings
+
 READING = frozenset(
     "Project Filter Aggregate Sort GlobalLimit LocalLimit Distinct SubqueryAlias UnresolvedRelation UnresolvedWith"
     " CTERelationDef Join Union Except Intersect UnresolvedInlineTable OneRowRelation UnresolvedHaving Window"
@@ -30,25 +32,38 @@ def tokens(text: str) -> list[str]:
     return [w for w in re.findall(r"[^\W_]+", text.lower()) if len(w) > 1]
 
 
-def search(entities: DataFrame, text: str, edit: int = 2, k: int = 10) -> DataFrame:
+def token_index(entities: DataFrame, edit: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Index of ``(id, name, ...)`` for ``search``: ``(key, token)``, each distinct token under what it leaves without up to ``edit``
+    characters, and ``(token, id)``.  To be written in folders by key and by token, and kept."""
+    own = F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}#]+"), lambda w: w != "")
+    postings = entities.select(F.explode(F.array_distinct(own)).alias("token"), "id")
+    keys = postings.select("token").distinct().select(F.explode(spellings(F.col("token"), edit)).alias("key"), "token")
+    return keys, postings
+
+
+def near_tokens(keys: DataFrame, words: DataFrame, edit: int = 2) -> DataFrame:
+    """``(word, token, d)``: tokens within ``edit`` edits of each of few words; only tokens that share a key are compared."""
+    asked = words.select("word", F.explode(spellings(F.col("word"), edit)).alias("key"))  # as many as the query's text allows
+    met = keys.join(F.broadcast(asked), "key").select("word", "token").distinct()
+    return met.withColumn("d", F.levenshtein("word", "token", edit)).where("d >= 0")
+
+
+def search(entities: DataFrame, text: str, edit: int = 2, k: int = 10, index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Entities of ``(id, name, wins)`` in whose names every word of the query is within ``edit`` edits.
 
-    Ranked by the mean of 1 - edits / longest over the query words, then wins, then id.
+    Ranked by the mean of 1 - edits / longest over the query words, then wins, then id.  With a ``token_index`` that
+    was kept, only its matching keys are read.
     """
-    words = tokens(text)
+    words = sorted(tokens(text))
     if not words:
         return entities.select("id", "name", "wins", F.lit(0.0).alias("score")).limit(0)
-    own = F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}#]+"), lambda w: w != "")
-    best = [
-        F.array_min(F.transform(own, lambda w: F.struct(F.levenshtein(w, F.lit(q)).alias("d"), F.greatest(F.length(w), F.lit(len(q))).alias("m"))))
-        for q in words
-    ]
-    ok = F.lit(True)
-    total = F.lit(0.0)
-    for b in best:
-        ok = ok & (b["d"] <= edit)
-        total = total + (1 - b["d"] / b["m"])
-    found = entities.where(ok).select("id", "name", "wins", F.round(total / len(words), 6).alias("score"))
+    keys, postings = index or token_index(entities, edit)
+    asked = entities.sparkSession.createDataFrame([(w,) for w in sorted(set(words))], "word string")
+    near = near_tokens(keys, asked, edit).withColumn("m", F.greatest(F.length("word"), F.length("token")))
+    best = postings.join(near, "token").groupBy("id", "word").agg(F.min(F.struct("d", "m")).alias("b"))
+    often = F.element_at(F.create_map(*[F.lit(x) for w in sorted(set(words)) for x in (w, words.count(w))]), F.col("word"))
+    each = best.groupBy("id").agg(F.count("*").alias("met"), (F.sum((1 - F.col("b.d") / F.col("b.m")) * often) / len(words)).alias("score"))
+    found = each.where(F.col("met") == len(set(words))).join(entities, "id").select("id", "name", "wins", F.round("score", 6).alias("score"))
     return found.orderBy(F.col("score").desc(), F.col("wins").desc(), "id").limit(k)
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import duckdb
 import pytest
@@ -375,3 +376,30 @@ def test_coded_search_finds_most_and_compares_few(spark, spread):
     only = vectors.search_coded(index, v, q, 10, codes, candidates=100, where=F.col("kind") == 1).join(v.select("id", "kind"), "id")
     assert only.count() == 300 and only.where("kind <> 1").isEmpty()
     assert vectors.recall(only.select("query", "id"), vectors.nearest(v.where("kind = 1"), q, 10)).first().recall >= 0.95
+
+
+def test_fuzzy_words_equal_a_full_comparison(spark):
+    r = random.Random(11)
+    names = [" ".join("".join(r.choice("abcé") for _ in range(r.randrange(1, 6))) for _ in range(r.randrange(4))) for _ in range(120)] + [None, "a", "ab-ab"]
+    df = spark.createDataFrame([(i, x, i % 5) for i, x in enumerate(names)], "id long, name string, wins int")
+    own = {i: [w for w in re.split(r"[\W_]+", x or "") if w] for i, x in enumerate(names)}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    for text in ("abca", "ab cab", "aa aa bcé", "x"):
+        words, want = lookup.tokens(text), []
+        for i, ws in own.items():
+            best = [min(((edits(w, q), max(len(w), len(q))) for w in ws), default=(9, 1)) for q in words]
+            if words and all(d <= 2 for d, _ in best):
+                want.append((-round(sum(1 - d / m for d, m in best) / len(words), 6), -(i % 5), i))
+        got = [(-x.score, -x.wins, x.id) for x in lookup.search(df, text, k=1000).collect()]
+        assert got == sorted(want)
+    keys, _ = lookup.token_index(spark.range(2000).select("id", F.concat(F.lit("firm "), F.sha2(F.col("id").cast("string"), 256)).alias("name")))
+    asked = spark.createDataFrame([("fimr",)], "word string")
+    assert [x.token for x in lookup.near_tokens(keys, asked).collect()] == ["firm"]  # one of 2001 tokens compared
