@@ -197,3 +197,38 @@ def filter_first(t):
     v, _, found = _coded_search(t, c("label") == 3)
     kept = found.join(v.select("id", "label"), "id")
     return kept.groupBy("query").agg(F.count("*").alias("found"), F.bool_and(c("label") == 3).alias("kept"))
+
+
+_GOLD = """WITH s AS (SELECT s_suppkey AS id, 'c' || s_nationkey AS code, s_name AS name FROM supplier UNION ALL SELECT 1000000 + p_partkey, p_brand, p_name FROM part),
+e AS (SELECT *, substr(name, 1, 3) AS p FROM s WHERE length(name) >= 8),
+one AS (SELECT name, code, min(id) AS id FROM e GROUP BY ALL),
+two AS (SELECT name, arg_min(id, code) AS l, arg_max(id, code) AS r FROM (SELECT * FROM one QUALIFY row_number() OVER (PARTITION BY name ORDER BY code) <= 2) GROUP BY 1 HAVING count(*) = 2),
+g AS (SELECT id, code, name, p, j, list_min(list_transform(range(1, length(name) - 1), lambda i: md5(j || ':' || substr(name, i, 3)))) AS m FROM e, range(4) t(j)),
+few AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY p, j, m ORDER BY md5('42:' || id), id) <= 16),
+met AS (SELECT DISTINCT a.p, a.id AS l, b.id AS r, levenshtein(a.name, b.name) AS d, least(length(a.name), length(b.name)) AS n FROM few a JOIN few b ON a.p = b.p AND a.j = b.j AND a.m = b.m AND a.id < b.id AND a.code <> b.code AND a.name <> b.name),
+banded AS (SELECT *, d / n AS rel, CASE WHEN d <= 2 AND d / n <= 0.2 THEN 'NEAR' WHEN d BETWEEN 3 AND 6 THEN 'MID' END AS band FROM met),
+spread AS (SELECT * FROM banded WHERE band IS NOT NULL QUALIFY row_number() OVER (PARTITION BY band, p ORDER BY md5('42:' || l || ':' || r), l, r) <= 2),
+mid AS (SELECT band, l, r, d, rel FROM spread QUALIFY row_number() OVER (PARTITION BY band ORDER BY md5('42:' || l || ':' || r), l, r) <= 14),
+placed AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || id), id) AS place, count(*) OVER () AS n FROM e),
+far AS (SELECT 'FAR' AS band, a.id AS l, b.id AS r, levenshtein(a.name, b.name) AS d, levenshtein(a.name, b.name) / least(length(a.name), length(b.name)) AS rel
+  FROM placed a JOIN placed b ON b.place = (a.place * 7919 + 12345) % a.n + 1 WHERE a.p <> b.p AND a.code <> b.code ORDER BY a.place LIMIT 8)
+SELECT band, l AS "left", r AS "right", d AS dist, round(rel, 6) AS rel FROM ((SELECT 'EXACT' AS band, l, r, 0 AS d, 0.0 AS rel FROM two ORDER BY md5('42:' || name), name LIMIT 12) UNION ALL SELECT * FROM mid UNION ALL SELECT * FROM far)"""
+
+
+@query("lk11_gold_bands", _GOLD)
+def gold_bands(t):
+    """Suppliers and parts as subjects: pairs in four bands."""
+    from tarnweave.operators import goldset
+
+    s = t.supplier.select(c("s_suppkey").alias("id"), F.concat(F.lit("c"), "s_nationkey").alias("code"), c("s_name").alias("name"))
+    s = s.union(t.part.select(c("p_partkey") + 1000000, "p_brand", "p_name"))
+    return goldset.gold_pairs(s).withColumn("rel", F.round("rel", 6))
+
+
+@query("tl02_part_search", "SELECT p_partkey AS id, p_name AS name, p_size AS wins FROM part WHERE list_min(list_transform(regexp_split_to_array(lower(p_name), '[^a-z0-9#]+'), lambda x: levenshtein(x, 'rde'))) <= 2 AND list_min(list_transform(regexp_split_to_array(lower(p_name), '[^a-z0-9#]+'), lambda x: levenshtein(x, 'wigdet'))) <= 2 ORDER BY list_min(list_transform(regexp_split_to_array(lower(p_name), '[^a-z0-9#]+'), lambda x: levenshtein(x, 'rde') / greatest(length(x), 3))) + list_min(list_transform(regexp_split_to_array(lower(p_name), '[^a-z0-9#]+'), lambda x: levenshtein(x, 'wigdet') / greatest(length(x), 6))), p_size DESC, p_partkey LIMIT 10")
+def part_search(t):
+    """Two misspelt words over part names."""
+    from tarnweave.operators import lookup
+
+    rows = t.part.select(c("p_partkey").alias("id"), c("p_name").alias("name"), c("p_size").alias("wins"))
+    return lookup.search(rows, "rde wigdet").select("id", "name", "wins")
