@@ -403,3 +403,45 @@ def test_fuzzy_words_equal_a_full_comparison(spark):
     keys, _ = lookup.token_index(spark.range(2000).select("id", F.concat(F.lit("firm "), F.sha2(F.col("id").cast("string"), 256)).alias("name")))
     asked = spark.createDataFrame([("fimr",)], "word string")
     assert [x.token for x in lookup.near_tokens(keys, asked).collect()] == ["firm"]  # one of 2001 tokens compared
+
+
+def test_leaves_of_any_json(spark):
+    import json
+
+    from tarnweave.sources.trees import leaves
+
+    r = random.Random(12)
+    value = lambda d: r.choice([lambda: r.randrange(9), lambda: None, lambda: "ab", lambda: [value(d + 1) for _ in range(r.randrange(4))] if d < 5 else 1, lambda: {k: value(d + 1) for k in "zay"[: r.randrange(4)]} if d < 5 else 2])()
+    docs = {i: {"k": value(0), "m": value(0)} for i in range(40)}
+
+    def walk(x, name):
+        if isinstance(x, dict):
+            return [y for k, v in x.items() for y in walk(v, k)]
+        if isinstance(x, list):
+            return [y for v in x for y in walk(v, None)]
+        return [] if x is None else [(name, str(x))]
+
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in docs.items()] + [(98, "no json"), (99, None)], "id long, text string")
+    got = leaves(df, "id", "text").collect()
+    for i in [*docs, 98, 99]:
+        assert sorted(((x.name, x.value) for x in got if x.id == i), key=str) == sorted(walk(docs.get(i), None), key=str)
+
+
+def test_gold_pairs_are_drawn_alike_and_spread(spark):
+    from tarnweave.operators import goldset
+
+    r = random.Random(13)
+    rows = [(i, f"c{i % 7}", "same name of all") for i in range(300)] + [(300 + i, f"c{i % 9}", "alpha " + "".join(r.choice("abcd") for _ in range(6))) for i in range(300)]
+    rows += [(600 + i, f"c{i}", r.choice(["betas", "gammas"]) + f" company {i % 40}") for i in range(100)] + [(None, "c", "nameless one"), (701, None, "nameless one"), (702, "c", "short"), (703, "c", None)]
+    df = spark.createDataFrame(rows, "id long, code string, name string")
+    code, name = {i: c for i, c, _ in rows}, {i: n for i, _, n in rows}
+    one = sorted(map(tuple, goldset.gold_pairs(df).collect()))
+    assert one == sorted(map(tuple, goldset.gold_pairs(df.repartition(7)).collect()))
+    for band, a, b, dist, rel in one:
+        assert code[a] != code[b] and abs(rel - dist / min(len(name[a]), len(name[b]))) < 1e-9
+        assert {"EXACT": dist == 0, "NEAR": 1 <= dist <= 2, "MID": 3 <= dist <= 6, "FAR": name[a][:3] != name[b][:3]}[band]
+    bands = [x[0] for x in one]
+    assert bands.count("EXACT") == 12 and bands.count("FAR") == 8 and "NEAR" in bands and "MID" in bands
+    for band in ("NEAR", "MID"):
+        begins = [name[x[1]][:3] for x in one if x[0] == band]
+        assert max(begins.count(p) for p in begins) <= 2
