@@ -281,9 +281,21 @@ def strategies(gold: DataFrame) -> DataFrame:
         "very_near_name": (rel <= 0.03) & (code != "diff"),
         "verdict": tier.isin("merge", "bridge"),
     }
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("strategy"), F.coalesce(v, F.lit(False)).alias("said")) for k, v in said.items()]))
+    return _scored(gold, said, "strategy")
+
+
+def edit_sweep(gold: DataFrame, edits: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
+    """Scores of near names whose codes don't differ, by the most edits that count as near."""
+    from tarnweave.functions.codes import relation
+
+    code = relation(F.col("left_code"), F.col("right_code"))
+    return _scored(gold, {k: near_names(F.col("left_name"), F.col("right_name"), edit=k) & (code != "diff") for k in edits}, "edit")
+
+
+def _scored(gold: DataFrame, said: dict, name: str) -> DataFrame:
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias(name), F.coalesce(v, F.lit(False)).alias("said")) for k, v in said.items()]))
     x = gold.select("so", rows.alias("s")).select("so", "s.*")
-    n = x.groupBy("strategy").agg(
+    n = x.groupBy(name).agg(
         *[F.count_if(F.expr(e)).alias(k) for k, e in (("tp", "said AND so"), ("fp", "said AND NOT so"), ("fn", "NOT said AND so"), ("tn", "NOT said AND NOT so"))]
     )
     p = F.expr("CASE WHEN tp + fp = 0 THEN 1D ELSE tp / (tp + fp) END")

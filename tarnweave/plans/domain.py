@@ -30,8 +30,8 @@ def nation_paths(t):
     )
 
 
-RF1 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n, {PRICE} AS total, CASE WHEN count(DISTINCT o_orderkey) >= 5 THEN 'high' ELSE 'medium' END AS severity FROM {PATH} WHERE l_returnflag = 'R' GROUP BY ALL HAVING count(DISTINCT o_orderkey) >= 3"
-RF2 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n, {PRICE} AS total, max(l_extendedprice) AS largest, CASE WHEN {PRICE} > 100000 THEN 'high' ELSE 'medium' END AS severity FROM {PATH} WHERE l_returnflag = 'R' AND l_extendedprice > 0 AND l_extendedprice < 40000 GROUP BY ALL HAVING count(DISTINCT o_orderkey) >= 2 AND {PRICE} > 40000"
+RF1 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n, {PRICE} AS total, CASE WHEN count(DISTINCT o_orderkey) >= 5 THEN 'high' ELSE 'medium' END AS severity FROM {PATH} WHERE l_returnflag = 'R' GROUP BY ALL HAVING count(DISTINCT o_orderkey) >= 3 AND {PRICE} < 500000000"
+RF2 = f"SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n, {PRICE} AS total, max(l_extendedprice) AS largest, CASE WHEN {PRICE} > 100000 THEN 'high' ELSE 'medium' END AS severity FROM {PATH} WHERE l_returnflag = 'R' AND l_extendedprice > 0 AND l_extendedprice < 40000 GROUP BY ALL HAVING count(DISTINCT o_orderkey) >= 2 AND {PRICE} > 40000 AND {PRICE} < 500000000"
 RF3 = f"WITH p AS (SELECT o_custkey AS sa, l_suppkey AS imp, count(DISTINCT o_orderkey) AS n FROM {PATH} GROUP BY ALL), q AS (SELECT o_custkey AS sa, count(DISTINCT o_orderkey) AS lots FROM {PATH} GROUP BY 1) SELECT sa, imp, n, lots, round(n / lots, 6) AS share, CASE WHEN n / lots > 0.8 THEN 'high' ELSE 'medium' END AS severity FROM p JOIN q USING (sa) WHERE lots >= 3 AND n / lots > 0.5"
 RF4 = "SELECT l_orderkey AS lot, count(*) AS n, CASE WHEN count(*) > 6 THEN 'high' ELSE 'medium' END AS severity FROM lineitem GROUP BY 1 HAVING count(*) > 3"
 RF5 = "SELECT l_orderkey AS lot, count(*) AS n, CASE WHEN count(*) > 1 THEN 'high' ELSE 'low' END AS severity FROM lineitem WHERE l_returnflag IN ('A', 'M1') GROUP BY 1"
@@ -78,6 +78,13 @@ def rf7(t):
     return anomalies.captured_client(nation_paths(t), share=0.07, high=0.09)
 
 
+@query("rf7_client_capture_share", RF7.replace("JOIN customer ON o_custkey = c_custkey", "JOIN nation ON n_nationkey = l_suppkey % 25").replace("c_nationkey", "CASE WHEN o_custkey % 4 > 0 THEN 0 ELSE n_nationkey END").replace("0.09", "0.9").replace("0.07", "0.7"))
+def rf7_share(t):
+    """The rule's own share: three customers in four are one authority."""
+    rows = paths(t).withColumn("sa", F.when(c("sa") % 4 > 0, 0).otherwise(c("imp") % 25))
+    return anomalies.captured_client(rows)
+
+
 _ALL = " UNION ALL ".join(f"SELECT '{k}' AS rule, severity FROM ({q})" for k, q in (("rf1", RF1), ("rf2", RF2), ("rf3", RF3), ("rf4", RF4), ("rf5", RF5), ("rf6", RF6), ("rf7", RF7)))
 
 
@@ -115,16 +122,27 @@ def projection(t):
 
 # codes and names
 
-_NAMES = ("ROSSI S.R.L.", "Rossi   srl", "BETA s.p.a.", "GAMMA S.C.P.A. DI X", "coop. DELTA", "Epsilon Cooperativa", "A&B s.n.c.", "zeta spazio", "snc", "")
-_CODES = ("it 12345678901", "IT12345678901", " 0123456789 ", "abc", "RSSMRA80A01H501U", "12345678", "1234567890123456789", "ESB1234567", "")
-_KINDS = ("12345678903", "12345678901", "00000000000", "RSSMRA80A01H501U", "RSSMRA80A01H501A", "123456789", "ESB12345", "1", "AAAAAAAAAAAAAAAA", "")
+# codes and names of every kind from the keys of the orders, in SQL that both sides read alike
+_N = "CAST(o_orderkey AS STRING)"
+_NAMES = (
+    f"CASE o_orderkey % 9 WHEN 0 THEN concat('Alfa ', {_N}, ' S.R.L.') WHEN 1 THEN concat('  BETA s.p.a. & figli  ', {_N}) WHEN 2 THEN concat('coop. Gamma', {_N}, ' società cooperativa') WHEN 3 THEN concat('Delta-', {_N}, ' (in liquidazione) srl') "
+    f"WHEN 4 THEN concat('Casa di Cura ', {_N}, ' s.n.c. / S.A.S.') WHEN 5 THEN '' WHEN 6 THEN concat('scarlatti ', {_N}, ' scarl') WHEN 7 THEN concat('s.r.l. ', {_N}) ELSE concat('Perù Àlfa ', {_N}) END"
+)
+_VATS = "lpad(CAST(o_orderkey * 7919 + o_custkey AS STRING), 11, '0')"
+_LETTER = lambda x: f"chr(CAST(65 + ({x}) % 26 AS INT))"
+_TWO = lambda x, n=2: f"lpad(CAST(({x}) % {10**n} AS STRING), {n}, '0')"
+_PERSONS = f"concat('RSSMRA', {_TWO('o_orderkey')}, {_LETTER('o_custkey')}, {_TWO('o_custkey')}, {_LETTER('o_orderkey')}, {_TWO('o_orderkey * 7', 3)}, {_LETTER('o_orderkey + o_custkey')})"
+_CODES = (
+    f"CASE o_orderkey % 8 WHEN 0 THEN concat('IT', {_VATS}) WHEN 1 THEN concat(' it ', {_VATS}) WHEN 2 THEN {_N} WHEN 3 THEN concat('DE 12', {_N}) WHEN 4 THEN {_PERSONS} WHEN 5 THEN lower({_PERSONS}) "
+    f"WHEN 6 THEN concat({_VATS}, {_VATS}) ELSE concat('12-', {_N}, '78.90') END"
+)
+_KINDS = f"CASE o_orderkey % 7 WHEN 0 THEN {_PERSONS} WHEN 1 THEN concat('DE', {_TWO('o_orderkey', 5)}) WHEN 2 THEN substr({_VATS}, 1, 9) WHEN 3 THEN '' WHEN 4 THEN concat('x ', {_N}) ELSE {_VATS} END"
 
 
-def _values(t, values):
-    return t.spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+def _values(t, text: str):
+    return t.orders.select(c("o_orderkey").alias("i"), F.expr(text).alias("v"))
 
 
-_V = ", ".join("({}, '{}')".format(i, v) for i, v in enumerate(_NAMES))
 _FORMS = r"\b(s\.?r\.?l\.?|s\.?p\.?a\.?|s\.?n\.?c\.?|s\.?a\.?s\.?|s\.?c\.?r\.?l\.?|s\.?c\.?p\.?a\.?|scarl|coop\.?|cooperativa|s\.?\s*coop\.?)\b"
 
 
@@ -132,7 +150,7 @@ def _name_sql(x: str) -> str:
     return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({x}), '{_FORMS}', '', 'g'), '[^a-z0-9àèéìòù\\s]+', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-@query("scl_normalize_name", f"SELECT i, {_name_sql('v')} AS name FROM (VALUES {_V}) x(i, v)")
+@query("scl_normalize_name", f"SELECT i, {_name_sql('v')} AS name FROM (SELECT o_orderkey AS i, {_NAMES} AS v FROM orders)")
 def names(t):
     return _values(t, _NAMES).select("i", codes.normalize_name(c("v")).alias("name"))
 
@@ -142,21 +160,19 @@ def part_names(t):
     return t.part.select("p_partkey", codes.normalize_name(c("p_name")).alias("name"))
 
 
-_W = ", ".join("({}, '{}')".format(i, v) for i, v in enumerate(_CODES))
 _CODE = r"regexp_replace(regexp_replace(upper(trim(v)), '^IT', ''), '\s+', '', 'g')"
 
 
-@query("scl_normalize_code", f"SELECT i, CASE WHEN regexp_full_match({_CODE}, '[0-9A-Z]{{8,16}}') THEN {_CODE} END AS code FROM (VALUES {_W}) x(i, v)")
+@query("scl_normalize_code", f"SELECT i, CASE WHEN regexp_full_match({_CODE}, '[0-9A-Z]{{8,16}}') THEN {_CODE} END AS code FROM (SELECT o_orderkey AS i, {_CODES} AS v FROM orders)")
 def code_values(t):
     return _values(t, _CODES).select("i", codes.normalize_code(c("v")).alias("code"))
 
 
-_K = ", ".join("({}, '{}')".format(i, v) for i, v in enumerate(_KINDS))
 _D = lambda i: f"CAST(substr(v, {i}, 1) AS INT)"
 _VAT = " + ".join(_D(i) if i % 2 else f"(2 * {_D(i)} - CASE WHEN {_D(i)} > 4 THEN 9 ELSE 0 END)" for i in range(1, 11))
 
 
-@query("scl_vat_checksum", f"SELECT i, CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN (10 - ({_VAT}) % 10) % 10 = {_D(11)} ELSE false END AS valid FROM (VALUES {_K}) x(i, v)")
+@query("scl_vat_checksum", f"SELECT i, CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN (10 - ({_VAT}) % 10) % 10 = {_D(11)} ELSE false END AS valid FROM (SELECT o_orderkey AS i, {_KINDS} AS v FROM orders)")
 def vat(t):
     return _values(t, _KINDS).select("i", codes.vat_valid(c("v")).alias("valid"))
 
@@ -166,12 +182,12 @@ _ODDS = "[" + ", ".join(map(str, codes.ODD)) + "]"
 _PERSON = " + ".join(f"{_ODDS}[{_PLACE(i)}]" if i % 2 else f"(CASE WHEN {_PLACE(i)} > 10 THEN {_PLACE(i)} - 11 ELSE {_PLACE(i)} - 1 END)" for i in range(1, 16))
 
 
-@query("scl_person_checksum", f"SELECT i, CASE WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN chr(CAST(65 + ({_PERSON}) % 26 AS INT)) = substr(v, 16, 1) ELSE false END AS valid FROM (VALUES {_K}) x(i, v)")
+@query("scl_person_checksum", f"SELECT i, CASE WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN chr(CAST(65 + ({_PERSON}) % 26 AS INT)) = substr(v, 16, 1) ELSE false END AS valid FROM (SELECT o_orderkey AS i, {_KINDS} AS v FROM orders)")
 def person(t):
     return _values(t, _KINDS).select("i", codes.person_valid(c("v")).alias("valid"))
 
 
-@query("scl_classify", f"SELECT i, CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN 'PIVA' WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN 'CF' WHEN regexp_full_match(v, '[0-9]{{8,13}}') THEN 'NUM_BAD' WHEN regexp_full_match(v, '[A-Z]{{2}}[0-9A-Z]{{3,}}') THEN 'FOREIGN' ELSE 'OTHER' END AS kind FROM (VALUES {_K}) x(i, v)")
+@query("scl_classify", f"SELECT i, CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN 'PIVA' WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN 'CF' WHEN regexp_full_match(v, '[0-9]{{8,13}}') THEN 'NUM_BAD' WHEN regexp_full_match(v, '[A-Z]{{2}}[0-9A-Z]{{3,}}') THEN 'FOREIGN' ELSE 'OTHER' END AS kind FROM (SELECT o_orderkey AS i, {_KINDS} AS v FROM orders)")
 def kinds(t):
     return _values(t, _KINDS).select("i", codes.classify(c("v"))["kind"].alias("kind"))
 
@@ -248,19 +264,43 @@ def embedding_text(t):
 
 # linkage
 
-_PAIRS = (
-    ("12345678903", "12345678903", "a", "b"), ("12345678903", "00743110157", "a", "a"), ("12345678903", "12345678901", "a", "b"),
-    ("12345678901", "99999999999", "a", "a"), ("RSSMRA80A01H501U", "12345678903", "rossi mario", "rossimario"),
-    ("RSSMRA80A01H501U", "12345678903", "rossi", "verdi"), ("ESB12345", "12345678903", "a", "a"), ("1234567890", "12345678903", "a", "b"),
-    ("", "", "a", "a"), ("9999999999", "12345678903", "a", "a"),
-)
-_TIERS = ("merge", "reject", "merge", "review", "bridge", "review", "reject", "merge", "review", "review")
+_LEFT = f"CASE o_orderkey % 6 WHEN 0 THEN {_PERSONS} WHEN 1 THEN concat('ES', {_TWO('o_orderkey', 6)}) WHEN 2 THEN '' ELSE {_VATS} END"
+_RIGHT = f"CASE o_custkey % 5 WHEN 0 THEN {_VATS} WHEN 1 THEN concat(substr({_VATS}, 1, 9), '0', substr({_VATS}, 11, 1)) WHEN 2 THEN substr({_VATS}, 1, 10) WHEN 3 THEN {_PERSONS} ELSE lpad(CAST(o_custkey * 104729 AS STRING), 11, '0') END"
+_LEFT_NAME = f"concat('company of number ', {_N})"
+_RIGHT_NAME = f"CASE o_orderkey % 4 WHEN 0 THEN {_LEFT_NAME} WHEN 1 THEN concat('company ofnumber ', {_N}) WHEN 2 THEN concat('compny of numbr ', {_N}, 'x') ELSE concat('other name ', {_N}) END"
+_KIND = f"CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN 'PIVA' WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN 'CF' WHEN regexp_full_match(v, '[0-9]{{8,13}}') THEN 'NUM_BAD' WHEN regexp_full_match(v, '[A-Z]{{2}}[0-9A-Z]{{3,}}') THEN 'FOREIGN' ELSE 'OTHER' END"
+_VALID = f"CASE WHEN regexp_full_match(v, '[0-9]{{11}}') THEN (10 - ({_VAT}) % 10) % 10 = {_D(11)} WHEN regexp_full_match(v, '{codes.PERSON[1:-1]}') THEN chr(CAST(65 + ({_PERSON}) % 26 AS INT)) = substr(v, 16, 1) ELSE false END"
+_JUDGED = f"""WITH p AS (SELECT o_orderkey AS i, {_LEFT} AS a, {_RIGHT} AS b, {_LEFT_NAME} AS an, {_RIGHT_NAME} AS bn, o_orderkey % 4 < 2 AND o_custkey % 5 < 3 AS so FROM orders),
+s AS (SELECT i, 'a' AS e, a AS v FROM p UNION ALL SELECT i, 'b', b FROM p), k AS (SELECT i, e, {_KIND} AS kind, {_VALID} AS valid FROM s),
+x AS (SELECT p.*, ka.kind AS ak, ka.valid AS av, kb.kind AS bk, kb.valid AS bv, levenshtein(an, bn) AS d, least(length(an), length(bn)) AS short, greatest(length(an), length(bn)) AS long
+  FROM p JOIN k ka ON ka.i = p.i AND ka.e = 'a' JOIN k kb ON kb.i = p.i AND kb.e = 'b'),
+r AS (SELECT *, CASE WHEN a <> '' AND a = b THEN 'same' WHEN ak = bk AND ak IN ('PIVA', 'CF') THEN CASE WHEN av AND bv THEN 'diff' WHEN levenshtein(a, b) <= 2 THEN 'same' ELSE 'inconclusive' END
+  WHEN ak = 'FOREIGN' OR bk = 'FOREIGN' THEN 'diff' WHEN ((ak = 'PIVA' AND av AND bk = 'NUM_BAD') OR (bk = 'PIVA' AND bv AND ak = 'NUM_BAD')) AND levenshtein(a, b) <= 2 THEN 'same' ELSE 'inconclusive' END AS rel FROM x),
+j AS (SELECT *, CASE WHEN rel = 'diff' THEN 'reject' WHEN rel = 'same' THEN 'merge' WHEN replace(an, ' ', '') = replace(bn, ' ', '') AND ((ak = 'CF' AND av AND bk = 'PIVA' AND bv) OR (bk = 'CF' AND bv AND ak = 'PIVA' AND av)) THEN 'bridge' ELSE 'review' END AS tier FROM r) """
+_NEAR_SQL = lambda edit: f"(an = bn OR (short >= 8 AND long - short <= {edit} AND d BETWEEN 1 AND {edit} AND d / short <= 0.2))"
+
+
+def _pairs(t):
+    return t.orders.select(
+        c("o_orderkey").alias("i"), F.expr(_LEFT).alias("left_code"), F.expr(_RIGHT).alias("right_code"), F.expr(_LEFT_NAME).alias("left_name"), F.expr(_RIGHT_NAME).alias("right_name"),
+        ((c("o_orderkey") % 4 < 2) & (c("o_custkey") % 5 < 3)).alias("so"),
+    )
+
+
+def _scored(said: str) -> str:
+    n = {"tp": "said AND so", "fp": "said AND NOT so", "fn": "NOT said AND so", "tn": "NOT said AND NOT so"}
+    counts = ", ".join(f"count(*) FILTER ({x}) AS {k}" for k, x in n.items())
+    return f"(SELECT *, CASE WHEN tp + fp = 0 THEN 1 ELSE tp / (tp + fp) END AS p, CASE WHEN tp + fn = 0 THEN 1 ELSE tp / (tp + fn) END AS r FROM (SELECT {counts} FROM (SELECT so, {said} AS said FROM j)))"
+
 
+def _table(rows: dict, name: str) -> str:
+    one = "SELECT {v} AS {n}, tp, fp, fn, tn, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END, 6) AS f1 FROM {q}"
+    return _JUDGED + " UNION ALL ".join(one.format(v=v, n=name, q=_scored(q)) for v, q in rows.items())
 
-@query("lk02_verdict", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{x}')" for i, x in enumerate(_TIERS)) + ") v(i, tier)")
+
+@query("lk02_verdict", _JUDGED + "SELECT i, tier FROM j")
 def verdicts(t):
-    rows = t.spark.createDataFrame([(i, *p) for i, p in enumerate(_PAIRS)], "i int, a string, b string, an string, bn string")
-    return rows.select("i", codes.verdict(c("a"), c("b"), c("an"), c("bn")).alias("tier"))
+    return _pairs(t).select("i", codes.verdict(c("left_code"), c("right_code"), c("left_name"), c("right_name")).alias("tier"))
 
 
 _FUZZY = "a.s_suppkey < b.s_suppkey AND substr(a.s_name, 1, 3) = substr(b.s_name, 1, 3) AND length(a.s_name) >= 8 AND abs(length(a.s_name) - length(b.s_name)) <= 2 AND levenshtein(a.s_name, b.s_name) <= 1 AND a.s_nationkey = b.s_nationkey"
@@ -300,11 +340,21 @@ def incremental(t):
     return new.groupBy("cluster").agg(F.min("id").alias("least"), F.collect_list("id").alias("ids")).select(c("least").alias("cluster"), F.explode("ids").alias("id"))
 
 
-@query("lk10_strategies")
+_SAID = {
+    "'exact_name'": "an = bn", "'fuzzy_name'": _NEAR_SQL(2), "'same_code'": "a = b", "'code_relation'": "rel = 'same'",
+    "'name_unless_code_differs'": f"({_NEAR_SQL(2)} AND rel <> 'diff')", "'very_near_name'": "(d / greatest(long, 1) <= 0.03 AND rel <> 'diff')", "'verdict'": "tier IN ('merge', 'bridge')",
+}
+
+
+@query("lk10_strategies", _table(_SAID, "strategy"))
 def strategies(t):
-    """The literal pairs as a gold set."""
-    rows = t.spark.createDataFrame([(*p, x in ("merge", "bridge")) for p, x in zip(_PAIRS, _TIERS, strict=True)], "left_code string, right_code string, left_name string, right_name string, so boolean")
-    return linkage.strategies(rows)
+    """Pairs of every order as a gold set, all seven strategies."""
+    return linkage.strategies(_pairs(t))
+
+
+@query("lk10_sweep", _table({k: f"({_NEAR_SQL(k)} AND rel <> 'diff')" for k in (1, 2, 3, 4)}, "edit"))
+def sweep(t):
+    return linkage.edit_sweep(_pairs(t))
 
 
 @query("lk11_bands", "WITH p AS (SELECT levenshtein(a.n_name, b.n_name) AS d, greatest(length(a.n_name), length(b.n_name)) AS m FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey) SELECT CASE WHEN d = 0 THEN 'EXACT' WHEN d <= 2 THEN 'NEAR' WHEN d <= 6 THEN 'MID' ELSE 'FAR' END AS band, count(*) AS n FROM p GROUP BY 1")
