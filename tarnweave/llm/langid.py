@@ -2,9 +2,10 @@
 
 One model of order ``ORDER`` per language value, learnt from the texts of that language.  Letters
 are lower-cased and folded to 12-bit symbols, every run of anything else is one boundary symbol.
-The n-gram counts of all training texts are summed per range of contexts.  The longest n-grams are used in blocks of
-ranges with about ``MAX_ENTRIES`` entries, one block in the driver and in a broadcast at a time; an n-gram and its
-context are in one block, so a text's entropy is the sum over blocks.  A text gets the language of
+The n-gram counts of all training texts are summed per range of the two symbols before the last.  N-grams of four and
+three symbols are used in blocks of ranges with about ``MAX_ENTRIES`` entries, one block in the driver and in a broadcast at a time; an n-gram,
+its context and its back-off are in one block, so a text's entropy is the sum over blocks.  Pairs of symbols, which the symbols
+bound, are in every block.  Very long texts are read whole, one at a time.  A text gets the language of
 the lowest cross-entropy per symbol.  It is rejected when that entropy lies further above the
 language's mean than the calibrated quantile allows; mean and quantile come from a fold of the training texts (``FOLD``) and a
 model that didn't see it.
@@ -81,8 +82,10 @@ def grams(s: np.ndarray, row_at: np.ndarray) -> np.ndarray:
 
 
 def _range(keys: np.ndarray) -> np.ndarray:
-    """Range of the context of each key."""
-    return (mix(keys >> np.uint64(BITS)) >> np.uint64(32)).astype(np.int64) % RANGES
+    """Range of the two symbols before the last of each key: an n-gram, its context, the n-gram without its first symbol and
+    that one's context are all in one range."""
+    pair = keys >> np.uint64(BITS) & np.uint64((1 << 2 * BITS) - 1)
+    return (mix(pair) >> np.uint64(32)).astype(np.int64) % RANGES
 
 
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +143,19 @@ def _sum(batches):
     )
 
 
+def _pairs(batches):
+    """Of each range of n-grams the pairs at their ends, with how many symbols stand before each."""
+    for batch in batches:
+        keys, counts = [], []
+        for x in batch.column("k").to_pylist():
+            longer = np.sort(np.frombuffer(x, np.uint64))
+            for n in range(ORDER - 1, 1, -1):
+                longer, before = _shorter(longer, n)
+            keys.append(longer.tobytes())
+            counts.append(before.astype(np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["lang", "k", "c"])
+
+
 class Sorted:
     """Values in the order of their keys' hashes, found by a directory of the leading bits."""
 
@@ -187,7 +203,7 @@ def _shorter(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Smoothed:
     """Kneser-Ney tables of one language: per order sorted n-grams, contexts, totals and widths.
 
-    ``low`` has the second order where ``keys`` are only a part of the first.
+    ``low`` has the pairs of symbols where ``keys`` are only some ranges.
     """
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, low: tuple[np.ndarray, np.ndarray] | None = None):
@@ -198,7 +214,7 @@ class Smoothed:
             _, wide = _group(ctx, np.ones(len(ctx)))
             self.levels.append((keys, counts.astype(float), cs, tot, wide))
             if n > 1:
-                keys, counts = low if low and n == ORDER else _shorter(keys, n - 1)
+                keys, counts = low if low and n == 3 else _shorter(keys, n - 1)
 
     def back(self, level: int, ctx: np.ndarray) -> np.ndarray:
         _, _, cs, tot, wide = self.levels[level]
@@ -253,7 +269,8 @@ class Model:
 class Counts:
     """Summed n-gram counts ``(lang, r, k, c)`` of a training set, from which models of blocks of ranges are made.
 
-    The second order of every language is held whole: it has a fraction of the entries of the first.
+    The longest n-grams of a range give its n-grams of one symbol less whole; only pairs of symbols go over all ranges.  Tasks count them, and
+    the driver adds up at most 4096 * 4096 of a language.
     """
 
     def __init__(self, rows: DataFrame):
@@ -261,10 +278,10 @@ class Counts:
         sizes = rows.groupBy("r").agg(F.sum(F.octet_length("k")).alias("n")).collect()  # at most RANGES
         self.size = {x.r: x["n"] // 8 for x in sizes}
         low: dict[str, tuple[list, list]] = {}
-        for x in rows.select("lang", "k").coalesce(8).toLocalIterator():
+        for x in rows.select("lang", "k").mapInArrow(_pairs, "lang string, k binary, c binary").coalesce(8).toLocalIterator():
             ks, cs = low.setdefault(x.lang, ([], []))
-            for held, new in zip((ks, cs), _shorter(np.sort(np.frombuffer(x.k, np.uint64)), ORDER - 1), strict=True):
-                held.append(new)
+            ks.append(np.frombuffer(x.k, np.uint64))
+            cs.append(np.frombuffer(x.c, np.int64))
             if len(ks) > 16:
                 low[x.lang] = tuple([y] for y in _merge(ks, cs))
         self.low = {k: _merge(*v) for k, v in low.items()}
