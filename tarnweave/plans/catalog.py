@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import canonical, domain, flows, relational, storage, surface  # noqa: F401
+from . import canonical, domain, flows, graphs, relational, storage, surface  # noqa: F401
 from .registry import QUERIES, SQL
 
 
