@@ -71,7 +71,7 @@ def _centres(x: np.ndarray, parts: int, rounds: int = 10) -> np.ndarray:
 def balanced_parts(x: np.ndarray, near: np.ndarray, parts: int, slack: float = 0.1, rounds: int = 15) -> np.ndarray:
     """A part for each node: near centres at first, then moved to where most of its neighbours are, no part larger than the mean by more than ``slack``."""
     n = len(x)
-    room = int(np.ceil(n / parts * (1 + slack)))
+    room = max(-(-n // parts), int(n / parts * (1 + slack)))
     d = (x * x).sum(1)[:, None] - 2 * (x @ (c := _centres(x, parts)).T) + (c * c).sum(1)
     part, size = np.full(n, -1), np.zeros(parts, np.int64)
     for i in np.argsort(d.min(1), kind="stable"):
