@@ -17,10 +17,14 @@ def last_known(x: Column | str, order: Column) -> Column:
     return F.max_by(x, F.when(x.isNotNull(), order))
 
 
-def distinct_in_order(x: Column, order: Column) -> Column:
-    """Aggregate: distinct known values, each at the place of its first row."""
-    rows = F.array_sort(F.collect_list(F.when(x.isNotNull(), F.struct(order.alias("o"), x.alias("x")))))
-    return F.array_distinct(F.transform(rows, lambda r: r["x"]))
+def ordered_values(df: DataFrame, keys: list[str], x: str, order: str, name: str) -> DataFrame:
+    """``(keys, name)``: distinct known values of each key, each at the place of its first row.
+
+    Equal values meet before anything is gathered, so a key of very many rows gathers its distinct values only.
+    """
+    one = df.where(F.col(x).isNotNull()).groupBy(*keys, F.col(x).alias("_x")).agg(F.min(order).alias("_first"))
+    rows = F.array_sort(F.collect_list(F.struct("_first", "_x")))
+    return one.groupBy(*keys).agg(F.transform(rows, lambda r: r["_x"]).alias(name))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -46,11 +50,13 @@ def merge_lots(contributions: DataFrame, order: Column) -> DataFrame:
     """
     c = contributions.withColumn("_o", order)
     o = F.col("_o")
-    lists = {"cpv": c.select("cig", "_o", F.posexplode("cpv").alias("p", "x")).groupBy("cig").agg(distinct_in_order(F.col("x"), F.struct("_o", "p")).alias("cpv"))}
+    placed = c.select("cig", "_o", F.posexplode("cpv").alias("p", "x")).withColumn("_at", F.struct("_o", "p"))
+    lists = {"cpv": ordered_values(placed, ["cig"], "x", "_at", "cpv"), "_sources": ordered_values(c, ["cig"], "fonte", "_o", "_sources")}
 
     def keyed(name: str, exploded: DataFrame, key: str) -> DataFrame:
-        one = first_per_key(exploded.where(F.col(key).isNotNull()).withColumn("_k", F.col(key)), ["cig", "_k"], [F.col("_o"), F.col("p")])
-        rows = F.array_sort(F.collect_list(F.struct("_o", "p", "x")))
+        first = F.min_by(F.struct("_o", "p", "x"), F.struct("_o", "p")).alias("r")  # meets in the map side already
+        one = exploded.where(F.col(key).isNotNull()).groupBy("cig", F.col(key).alias("_k")).agg(first)
+        rows = F.array_sort(F.collect_list("r"))
         return one.groupBy("cig").agg(F.transform(rows, lambda r: r["x"]).alias(name))
 
     lists["avvisi"] = keyed("avvisi", c.select("cig", "_o", F.lit(0).alias("p"), F.col("avviso").alias("x")), "x.idAvviso")
@@ -68,7 +74,6 @@ def merge_lots(contributions: DataFrame, order: Column) -> DataFrame:
         F.struct(
             *[last_known(F.when(F.col("fonte") == s, F.col("garaId")), o).alias(s) for s in ("pl", "ocds")]
         ).alias("garaId"),
-        distinct_in_order(F.col("fonte"), o).alias("_sources"),
     )
     for name, one in lists.items():
         lots = lots.join(one, "cig", "left").withColumn(name, F.coalesce(name, F.array()))

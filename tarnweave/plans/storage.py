@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tarnweave.operators.records import distinct_in_order, first_known
+from tarnweave.operators.records import first_known, ordered_values
 from tarnweave.sources import files
 from tarnweave.streaming.incremental import Buckets, merge_batches, run_available, upsert_batches
 
@@ -76,11 +76,12 @@ def stream_upsert(t):
 def first_known_events(events):
     """Per user the first known value and purchase, and the event types in order."""
     order = F.struct("ts", "event_id")
-    return events.groupBy("user_id").agg(
-        first_known("value", order).alias("value"),
-        first_known(F.when(F.col("event_type") == "purchase", F.col("event_id")), order).alias("purchase"),
-        F.array_join(distinct_in_order(F.col("event_type"), order), ",").alias("types"),
+    known = events.groupBy("user_id").agg(
+        first_known("value", order).alias("value"), first_known(F.when(F.col("event_type") == "purchase", F.col("event_id")), order).alias("purchase")
     )
+    types = ordered_values(events.withColumn("_o", order), ["user_id"], "event_type", "_o", "_types").withColumnRenamed("user_id", "_user")
+    both = known.join(types, F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    return both.select("user_id", "value", "purchase", F.array_join(F.coalesce("_types", F.array().cast("array<string>")), ",").alias("types"))
 
 
 @query("str02_stream_merge", "WITH f AS (SELECT user_id, event_type, min((ts, event_id)) AS o FROM events WHERE event_type IS NOT NULL GROUP BY ALL), t AS (SELECT user_id, string_agg(event_type, ',' ORDER BY o) AS types FROM f GROUP BY 1), v AS (SELECT user_id, arg_min(value, (ts, event_id)) FILTER (value IS NOT NULL) AS value, arg_min(event_id, (ts, event_id)) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY 1) SELECT user_id, value, purchase, coalesce(types, '') AS types FROM v LEFT JOIN t USING (user_id)")
