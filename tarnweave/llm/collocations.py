@@ -32,7 +32,7 @@ from .lookups import lookup
 from .tokens import _FOLDED, _powers, column_bytes, mix, slabs
 
 #: Words of a trie, and words whose phrases a range should hold.
-SHARD, RANGE = 1 << 21, 1 << 21
+SHARD, RANGE = 1 << 20, 1 << 20
 #: One in so many phrases stands in the sample of borders; samples for each range.
 RATE, PER_RANGE = 1 << 12, 16
 _PIECE = np.zeros(256, bool)
