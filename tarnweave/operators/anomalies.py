@@ -86,3 +86,28 @@ def picked(found: DataFrame, entity=None, rule: str | None = None, limit: int |
         rows = rows.where((F.col("sa") == entity) | (F.col("imp") == entity))
     rows = rows.orderBy("severity_rank", "rule", "sa", "imp").drop("severity_rank")
     return rows if limit is None else rows.limit(limit)
+
+
+def run_rules(rules: dict[str, DataFrame], path: str) -> None:
+    """Writes the findings of the rules that run, each in place of what it found before; other rules keep theirs.
+
+    A rule that finds nothing any more has none left.
+    """
+    from tarnweave.sources.files import replace_slices
+
+    replace_slices(findings(**rules), path, "rule")
+    spark = next(iter(rules.values())).sparkSession
+    jvm = spark._jvm.org.apache.hadoop.fs
+    there = {r.rule for r in spark.read.parquet(path).select("rule").distinct().collect()}  # one row a rule
+    for name in there & set(rules):
+        if rules[name].isEmpty():
+            at = jvm.Path(f"{path}/rule={name}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def worst(found: DataFrame, k: int = 3) -> DataFrame:
+    """``(rule, severity, lot, sa, imp, rank)``: the k worst findings of each rule, of equal ones those of the least keys."""
+    part = lambda x: F.get_json_object("detail", f"$.{x}").cast("long").alias(x)
+    rows = found.select("rule", "severity", "severity_rank", part("lot"), part("sa"), part("imp"))
+    rank = F.row_number().over(Window.partitionBy("rule").orderBy("severity_rank", "lot", "sa", "imp"))
+    return rows.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).drop("severity_rank")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tarnweave.functions import codes
 from tarnweave.operators import anomalies, linkage, lookup, network, vectors
 from tarnweave.operators.records import insert_absent
 
-from .durable import cut
+from .durable import cut, shared_dir
 from .registry import query
 from .relational import PATH, PRICE, M, awards
 
@@ -505,8 +507,43 @@ def sample(t):
     return t.orders.orderBy(F.xxhash64("o_orderkey"), "o_orderkey").limit(100).select("o_orderkey")
 
 
-@query("src07_window_split")
+@query(
+    "src07_window_split",
+    """WITH RECURSIVE d AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1),
+    w(a, b, n) AS (SELECT min(d), max(d), sum(n) FROM d
+      UNION ALL SELECT x.a, x.b, (SELECT coalesce(sum(n), 0) FROM d WHERE d BETWEEN x.a AND x.b)
+      FROM (SELECT unnest([{'a': a, 'b': a + CAST((b - a) // 2 AS INT)}, {'a': a + CAST((b - a) // 2 AS INT) + 1, 'b': b}]) AS x FROM w WHERE n > 300 AND a < b))
+    SELECT strftime(a, '%Y-%m-%d') AS first_day, strftime(b, '%Y-%m-%d') AS last_day, CAST(n AS BIGINT) AS n FROM w WHERE n > 0 AND (n <= 300 OR a = b)""",
+)
 def window_split(t):
-    from tarnweave.sources.paging import window_plan
+    from tarnweave.sources.paging import windows
+
+    day = lambda x: F.date_format(x, "yyyy-MM-dd").alias(x)
+    return windows(t.events, "ts", 300).select(day("first_day"), day("last_day"), "n")
+
+
+def _rules(t) -> dict:
+    return {"rf1": rf1(t), "rf2": rf2(t), "rf3": rf3(t), "rf4": rf4(t), "rf5": rf5(t), "rf6": rf6(t), "rf7": rf7(t)}
+
+
+@query("rf9_replaced_slices", f"SELECT rule, severity, count(*) AS n FROM ({_ALL.replace(RF4, RF4.replace('> 6', '> 9').replace('> 3', '> 5'))}) GROUP BY ALL")
+def replaced_slices(t):
+    """All rules run; then one runs again with other thresholds and replaces its own findings."""
+    path = f"{shared_dir(t.spark)}/findings-{uuid.uuid4().hex}"
+    anomalies.run_rules(_rules(t), path)
+    anomalies.run_rules({"rf4": anomalies.many_notices(_notices(t), 5, 9)}, path)
+    return t.spark.read.parquet(path).groupBy("rule", "severity").agg(F.count("*").alias("n"))
+
+
+_KEYED = " UNION ALL ".join(
+    f"SELECT '{k}' AS rule, severity, {'lot' if k in ('rf4', 'rf5') else 'NULL'} AS lot, {'NULL' if k in ('rf4', 'rf5') else 'sa'} AS sa, {'NULL' if k in ('rf4', 'rf5') else 'imp'} AS imp FROM ({q})"
+    for k, q in (("rf1", RF1), ("rf2", RF2), ("rf3", RF3), ("rf4", RF4), ("rf5", RF5), ("rf6", RF6), ("rf7", RF7))
+)
+
 
-    return t.spark.createDataFrame(window_plan(t.events, "ts", 2000) or [], "first_day date, last_day date, n long")
+@query("rf11_top_findings", f"SELECT rule, severity, CAST(lot AS BIGINT) AS lot, CAST(sa AS BIGINT) AS sa, CAST(imp AS BIGINT) AS imp, rank FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, lot, sa, imp) AS rank FROM ({_KEYED})) WHERE rank <= 3")
+def top_findings(t):
+    """Findings are written once, the status reads the three worst of each rule."""
+    path = f"{shared_dir(t.spark)}/findings-{uuid.uuid4().hex}"
+    anomalies.run_rules(_rules(t), path)
+    return anomalies.worst(t.spark.read.parquet(path), 3)

@@ -22,6 +22,8 @@ from pyspark.sql.datasource import (
     LessThanOrEqual,
 )
 
+from tarnweave.plans.durable import cut
+
 
 def keyset_page(df: DataFrame, order: list[str], after: tuple | None, size: int) -> DataFrame:
     """The next ``size`` rows after a key in a total order."""
@@ -59,6 +61,26 @@ def window_plan(df: DataFrame, column: str, most: int) -> list[tuple[dt.date, dt
     return balanced_ranges(days, min(days), max(days), most) if days else []
 
 
+def windows(df: DataFrame, column: str, most: int) -> DataFrame:
+    """``(first_day, last_day, n)``: disjoint ranges of days with at most ``most`` rows unless it is one day, as ``balanced_ranges``.
+
+    One row a day carries its window; each round halves the windows that hold too much, so there are as many rounds as the span has binary digits.
+    """
+    days = df.groupBy(F.col(column).cast("date").alias("d")).agg(F.count("*").alias("n")).where("d IS NOT NULL")
+    ends = days.agg(F.min("d").alias("a"), F.max("d").alias("b")).first()
+    if ends.a is None:
+        return days.select(F.col("d").alias("first_day"), F.col("d").alias("last_day"), "n")
+    at = days.select("d", "n", F.lit(ends.a).alias("a"), F.lit(ends.b).alias("b"))
+    for _ in range((ends.b - ends.a).days.bit_length()):
+        held = at.groupBy("a", "b").agg(F.sum("n").alias("held"))
+        mid = F.expr("date_add(a, CAST(floor(datediff(b, a) / 2) AS INT))")
+        at = at.join(held, ["a", "b"]).withColumn("mid", F.when((F.col("held") > most) & (F.col("a") < F.col("b")), mid))
+        right = F.col("d") > F.col("mid")
+        at = at.select("d", "n", F.when(right, F.date_add("mid", 1)).otherwise(F.col("a")).alias("a"), F.when(~right, F.col("mid")).otherwise(F.col("b")).alias("b"))
+        at = cut(at)
+    return at.groupBy(F.col("a").alias("first_day"), F.col("b").alias("last_day")).agg(F.sum("n").alias("n"))
+
+
 def until_known(pages: DataFrame, known: DataFrame, key: str, wave: int = 1) -> DataFrame:
     """Rows of a list of pages, newest first (``page`` from 0), that a scan brings in: unseen ones of the pages before
     the first wave of ``wave`` pages in which every row is known."""

@@ -445,3 +445,29 @@ def test_gold_pairs_are_drawn_alike_and_spread(spark):
     for band in ("NEAR", "MID"):
         begins = [name[x[1]][:3] for x in one if x[0] == band]
         assert max(begins.count(p) for p in begins) <= 2
+
+
+def test_rules_replace_their_own_findings(spark, tmp_path):
+    from tarnweave.operators import anomalies
+
+    of = lambda lots, severity: spark.createDataFrame([(x, 5, severity) for x in lots], "lot long, n int, severity string")
+    path = f"{tmp_path}/findings"
+    anomalies.run_rules({"x": of([1, 2, 3, 4], "low"), "y": of([9, 8], "high")}, path)
+    anomalies.run_rules({"x": of([7, 5], "high")}, path)
+    top = [(r.rule, r.lot, r["rank"]) for r in anomalies.worst(spark.read.parquet(path), 3).orderBy("rule", "rank").collect()]
+    assert top == [("x", 5, 1), ("x", 7, 2), ("y", 8, 1), ("y", 9, 2)]
+    anomalies.run_rules({"x": of([], "low")}, path)
+    assert {r.rule for r in spark.read.parquet(path).collect()} == {"y"}
+
+
+@settings(max_examples=15, deadline=None)
+@given(sizes=st.lists(st.integers(0, 30), min_size=1, max_size=20), most=st.integers(1, 60))
+def test_windows_equal_the_ranges(spark, sizes, most):
+    import datetime as dt
+
+    from tarnweave.sources.paging import windows
+
+    first = dt.date(2024, 1, 1)
+    days = {first + dt.timedelta(days=i): n for i, n in enumerate(sizes) if n}
+    df = spark.createDataFrame([(d,) for d, n in days.items() for _ in range(n)], "d date")
+    assert sorted(map(tuple, windows(df, "d", most).collect())) == (balanced_ranges(days, min(days), max(days), most) if days else [])
