@@ -171,6 +171,24 @@ def resolve(subjects: DataFrame) -> DataFrame:
     return found.withColumn("edge", edge)
 
 
+def status(found: DataFrame) -> DataFrame:
+    """``(tier, edge, pairs, subjects)`` of ``resolve``: pairs of each verdict and the edge that they get, and how many subjects are in them."""
+    ends = found.select("tier", "edge", F.explode(F.array("a", "b")).alias("id")).groupBy("tier", "edge").agg(F.count_distinct("id").alias("subjects"))
+    n = found.groupBy("tier", "edge").agg(F.count("*").alias("pairs"))
+    return n.alias("n").join(ends.alias("e"), F.expr("n.tier = e.tier AND n.edge <=> e.edge")).select("n.tier", "n.edge", "pairs", "subjects")
+
+
+def scaling(names: DataFrame, part: str, parts: int = 4) -> DataFrame:
+    """``(share, names, pairs)``: near pairs among the first 1/parts, 2/parts, ... of ``(id, name)`` by the number ``part`` from 0."""
+    out = None
+    for k in range(1, parts + 1):
+        some = names.where(F.col(part) < k).select("id", "name")
+        pairs = near_classes(name_classes(some)).agg(F.count("*").alias("pairs"))
+        one = some.agg(F.count("*").alias("names")).join(F.broadcast(pairs)).select(F.lit(k / parts).alias("share"), "names", "pairs")  # one row each
+        out = one if out is None else out.union(one)
+    return out
+
+
 def ceiling(subjects: DataFrame) -> DataFrame:
     """``(band, tier, n)``: how many pairs of equal and of near names each verdict gets, over all subjects."""
     names = fuzzy_pairs(subjects.select("id", "name"))

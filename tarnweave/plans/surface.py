@@ -232,3 +232,28 @@ def part_search(t):
 
     rows = t.part.select(c("p_partkey").alias("id"), c("p_name").alias("name"), c("p_size").alias("wins"))
     return lookup.search(rows, "rde wigdet").select("id", "name", "wins")
+
+
+@query("lk16_link_status", _PAIRS + """, e AS (SELECT *, CASE tier WHEN 'merge' THEN 'STESSO_SOGGETTO' WHEN 'review' THEN 'POSSIBILE_DUPLICATO' END AS edge FROM t),
+u AS (SELECT tier, edge, a AS id FROM e UNION SELECT tier, edge, b FROM e) SELECT n.tier, n.edge, n.pairs, s.subjects FROM (SELECT tier, edge, count(*) AS pairs FROM e GROUP BY ALL) n JOIN (SELECT tier, count(*) AS subjects FROM u GROUP BY ALL) s USING (tier)""")
+def link_status(t):
+    return linkage.status(linkage.resolve(_subjects(t)))
+
+
+_SHARE = "SELECT CAST({s} AS DOUBLE) AS share, (SELECT count(*) FROM f WHERE part < {k}) AS names, count(*) AS pairs FROM f a JOIN f b ON a.id < b.id AND a.part < {k} AND b.part < {k} AND substr(a.name, 1, 3) = substr(b.name, 1, 3) AND least(length(a.name), length(b.name)) >= 8 AND levenshtein(a.name, b.name) BETWEEN 1 AND 2 AND levenshtein(a.name, b.name) / least(length(a.name), length(b.name)) <= 0.2"
+
+
+@query("lk17_link_scaling", "WITH f AS (SELECT s_suppkey AS id, s_name AS name, s_nationkey % 4 AS part FROM supplier) " + " UNION ALL ".join(_SHARE.format(s=k / 4, k=k) for k in (1, 2, 3, 4)))
+def link_scaling(t):
+    return linkage.scaling(t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"), (c("s_nationkey") % 4).alias("part")), "part")
+
+
+@query("snk15_edge_slice", "SELECT l_returnflag AS kind, l_orderkey, l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL")
+def edge_slice(t):
+    """Edges in folders by type, one type deleted."""
+    from tarnweave.sources import files
+
+    path = _folder(t)
+    files.replace_slices(t.lineitem.groupBy(c("l_returnflag").alias("kind"), "l_orderkey", "l_suppkey").agg(F.count("*").alias("n")), path, "kind")
+    files.delete_slice(t.spark, path, "kind", "N")
+    return t.spark.read.parquet(path).select(c("kind").cast("string").alias("kind"), "l_orderkey", "l_suppkey", "n")

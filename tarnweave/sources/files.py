@@ -57,3 +57,9 @@ def write_json_document(df: DataFrame, path: str, head: str, tail: str) -> None:
 def bytes_of(spark: SparkSession, path: str) -> int:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def delete_slice(spark: SparkSession, path: str, column: str, value: str) -> bool:
+    """Removes one slice of a partitioned table; the others are not touched.  Says whether it was there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
