@@ -471,3 +471,39 @@ def test_windows_equal_the_ranges(spark, sizes, most):
     days = {first + dt.timedelta(days=i): n for i, n in enumerate(sizes) if n}
     df = spark.createDataFrame([(d,) for d, n in days.items() for _ in range(n)], "d date")
     assert sorted(map(tuple, windows(df, "d", most).collect())) == (balanced_ranges(days, min(days), max(days), most) if days else [])
+
+
+def test_exploded_keys_are_never_broadcast(spark):
+    """Keys made of common names are some hundred a name, which no estimate of Spark's knows."""
+    names = spark.createDataFrame([(i, f"Supplier#{i:09d}") for i in range(200)], "id long, name string")
+    plan = linkage.candidates(linkage.name_classes(names), common=1)._jdf.queryExecution().optimizedPlan().toString()
+    crowd = [x for x in plan.splitlines() if "Join Inner" in x and "key#" in x]
+    assert crowd and all("strategy=merge" in x for x in crowd)
+
+
+def test_counted_pairs_equal_listed_ones(spark):
+    rows = [(i, f"company {i % 7} of town", f"c{i % 3}" if i % 5 else None, i % 4) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, name string, code string, part long")
+    listed = linkage.fuzzy_pairs(df, carry=("code",))
+    for by in ((), ("code",)):
+        counted = linkage.counted_pairs(df.select("id", "name", "code"), by)
+        assert counted.agg(F.sum("n")).first()[0] == listed.count()
+        assert counted.where("a_name = b_name").agg(F.sum("n")).first()[0] == listed.where("a_name = b_name").count()
+    tiers = {(r.tier, r.n) for r in linkage.ceiling(df).groupBy("tier").agg(F.sum("n").alias("n")).collect()}
+    assert tiers == {(r.tier, r["count"]) for r in linkage.resolve(df).groupBy("tier").count().collect()}
+    for r in linkage.scaling(df, "part").collect():  # equal names count as many times as they occur
+        some = df.where(F.col("part") < int(r.share * 4))
+        assert (r.names, r.pairs) == (some.count(), linkage.fuzzy_pairs(some).where("a_name <> b_name").count())
+
+
+def test_confusion_of_all_pairs_from_group_sizes(spark):
+    import itertools
+
+    rows = [(i % 3, f"n{i % 4}" if i % 6 else None, f"t{i % 5}" if i % 7 else None) for i in range(60)]
+    got = linkage.exact_confusion(spark.createDataFrame(rows, "b long, name string, label string"), ["b"], "name", "label").first()
+    want = {"tp": 0, "fp": 0, "fn": 0, "tn": 0}
+    for x, y in itertools.combinations(rows, 2):
+        if x[0] == y[0] and None not in (*x, *y):
+            want[("t" if (x[1] == y[1]) == (x[2] == y[2]) else "f") + ("p" if x[1] == y[1] else "n")] += 1
+    assert got.asDict() == want
+    assert linkage.exact_confusion(spark.createDataFrame([], "b long, name string, label string"), ["b"], "name", "label").first().asDict() == dict.fromkeys(want, 0)
