@@ -507,3 +507,10 @@ def test_confusion_of_all_pairs_from_group_sizes(spark):
             want[("t" if (x[1] == y[1]) == (x[2] == y[2]) else "f") + ("p" if x[1] == y[1] else "n")] += 1
     assert got.asDict() == want
     assert linkage.exact_confusion(spark.createDataFrame([], "b long, name string, label string"), ["b"], "name", "label").first().asDict() == dict.fromkeys(want, 0)
+
+
+def test_merge_reads_contributions_twice_at_most(spark):
+    raw = spark.createDataFrame([("{}",)], "j string").select(F.from_json("j", adapters.NOTICE).alias("r")).select("r.*")
+    lots = merge_lots(adapters.notices(raw), F.struct("fonte", "avviso.idAvviso"))
+    plan = lots._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Scan") <= 2 and plan.count("Join") == 1
