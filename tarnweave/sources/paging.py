@@ -91,11 +91,16 @@ def until_known(pages: DataFrame, known: DataFrame, key: str, wave: int = 1) ->
     return unseen.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col("_wave") < F.col("_stop"))).drop("_wave", "_stop")
 
 
-def write_pages(df: DataFrame, path: str, order: list[str], size: int, day: str | None = None) -> None:
-    """Numbered pages of ``size`` rows in ``order``, as a paged service keeps them: ``page=<n>``, under ``day=<date>`` of a column if one is named."""
+def paged(df: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Rows with the number of their ``page`` of ``size`` rows in ``order``, from 0."""
     from tarnweave.operators.network import numbered
 
-    rows = numbered(df, order, "_row").withColumn("page", F.floor((F.col("_row") - 1) / size)).drop("_row")
+    return numbered(df, order, "_row").withColumn("page", F.floor((F.col("_row") - 1) / size)).drop("_row")
+
+
+def write_pages(df: DataFrame, path: str, order: list[str], size: int, day: str | None = None) -> None:
+    """Numbered pages of ``size`` rows in ``order``, as a paged service keeps them: ``page=<n>``, under ``day=<date>`` of a column if one is named."""
+    rows = paged(df, order, size)
     if day:
         rows = rows.withColumn("day", F.col(day).cast("date"))
     by = ["day", "page"] if day else ["page"]
@@ -109,7 +114,7 @@ class Pages(DataSource):
 
     In batch, filters on ``day`` are pushed down: only days inside the window are listed, and the window is split into balanced
     ranges of days with at most ``most`` pages (unless a day has more), a task each.  An equal filter on the id is taken at the page.
-    As a stream, an offset is the number of pages read so far, so a poll reads pages that it doesn't know and stops at the first
+    As a stream, tasks read ``most`` pages each and an offset is the number of pages read so far, so a poll reads pages that it doesn't know and stops at the first
     that it does; after a stop it goes on from the checkpoint and reads no page again.
     """
 
@@ -206,7 +211,7 @@ class _PageReader(DataSourceReader):
 
 class _PageStream(DataSourceStreamReader):
     def __init__(self, options, schema):
-        self.path, self.key = options["path"], options.get("id")
+        self.path, self.key, self.most = options["path"], options.get("id"), int(options.get("most", "8"))
         self.fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
     def initialOffset(self) -> dict:
@@ -220,7 +225,8 @@ class _PageStream(DataSourceStreamReader):
         for _, page, name in _listed(self.path):
             if start["pages"] <= page < end["pages"]:
                 new.setdefault(page, []).append(name)
-        return [_Task(files) for files in new.values()] or [_Task([])]
+        pages = list(new.values())
+        return [_Task(sum(pages[i : i + self.most], [])) for i in range(0, len(pages), self.most)] or [_Task([])]
 
     def read(self, partition):
         yield from _rows(self.path, partition.files, self.fields, self.key, None)

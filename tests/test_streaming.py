@@ -122,6 +122,46 @@ def test_polls_read_no_page_twice(spark, tmp_path):
     assert sorted(got) == [(i // 40, i // 10, i) for i in range(120)]
 
 
+def test_tasks_of_a_poll_read_several_pages(tmp_path):
+    """One task a page made as many tasks as pages."""
+    from pyspark.sql.types import StructType
+
+    from tarnweave.sources.paging import Pages
+
+    for page in range(40):
+        (tmp_path / f"page={page}").mkdir()
+        for part in "ab":
+            (tmp_path / f"page={page}" / f"{part}.json").write_text('{"id": %d}\n' % page)
+    options = {"path": str(tmp_path), "columns": "id long, page long", "most": "16"}
+    reader = Pages(options).streamReader(StructType.fromDDL(options["columns"]))
+    tasks = reader.partitions({"pages": 3}, {"pages": 40})
+    assert [len(x.files) for x in tasks] == [32, 32, 10]
+    assert [r for x in tasks for r in reader.read(x)] == [(i, i) for i in range(3, 40) for _ in range(2)]
+
+
+def test_batches_have_adaptive_plans(spark, tmp_path):
+    """A stream's session has none, so every join of a batch had all shuffle partitions and no skew handling."""
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    seen = []
+    stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+    run_available(stream, lambda batch, n: seen.append((batch.sparkSession.conf.get("spark.sql.adaptive.enabled"), batch.count())), f"{tmp_path}/checkpoint")
+    assert seen == [("true", 10)]
+
+
+def test_amendments_are_a_streaming_aggregate(spark, tmp_path):
+    """No row goes through a Python worker, and the query's batches are written by all tasks."""
+    import inspect
+
+    from tarnweave.plans import flows
+    from tarnweave.streaming.corrections import amendments
+
+    spark.range(4).selectExpr("id AS lot", "id AS notice", "'x' AS day").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("lot long, notice long, day string").parquet(f"{tmp_path}/in")
+    plan = amendments(stream, ["lot", "notice"], ["day"])._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
+    assert "coalesce(1)" not in inspect.getsource(flows)
+
+
 def test_scan_stops_at_the_first_known_wave(spark):
     from tarnweave.sources.paging import until_known
 
