@@ -46,6 +46,26 @@ def _best(score: np.ndarray, ids: pa.Array, query: np.ndarray, k: int):
     return score[order], ids.take(pa.array(order)), query[order]
 
 
+#: Scores that a task holds at once.
+CELLS = 1 << 21
+
+
+def _slices(queries: int, rows: int) -> list[slice]:
+    """The queries in runs whose scores against ``rows`` rows fit ``CELLS``."""
+    step = max(1, CELLS // max(rows, 1))
+    return [slice(i, min(i + step, queries)) for i in range(0, queries, step)]
+
+
+def _kept(score: np.ndarray, k: int):
+    """Places of scores, row and query, that are among the k best of a query or equal to the last of them."""
+    least = np.partition(score, -k, axis=0)[-k] if len(score) > k else np.full(score.shape[1], -np.inf)
+    return np.nonzero(score >= least)
+
+
+def _joined(held: list) -> tuple:
+    return np.concatenate([h[0] for h in held]), pa.concat_arrays([h[1] for h in held]), np.concatenate([h[2] for h in held])
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", block: int = 4096, lists: Lists | None = None) -> DataFrame:
     """Exact k nearest of each query by cosine: ``(query, id, score, rank)``.
 
@@ -80,13 +100,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "id", blo
                 for here, asked in parts:
                     if not len(asked):
                         continue
-                    score = np.round(units[here] @ matrix[asked].T, 12)
-                    least = np.partition(score, -k, axis=0)[-k] if len(score) > k else np.full(len(asked), -np.inf)
-                    at, query = np.nonzero(score >= least)
-                    found = score[at, query], batch["id"].take(pa.array(here[at])), asked[query]
-                    if held:
-                        found = np.concatenate([held[0], found[0]]), pa.concat_arrays([held[1], found[1]]), np.concatenate([held[2], found[2]])
-                    held = _best(*found, k)
+                    found = [held] if held else []
+                    for some in _slices(len(asked), len(here)):
+                        to = asked[some]
+                        score = np.round(units[here] @ matrix[to].T, 12)
+                        at, query = _kept(score, k)
+                        found.append((score[at, query], batch["id"].take(pa.array(here[at])), to[query]))
+                    held = _best(*_joined(found), k)
             if held:
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(held[2])), held[1], pa.array(held[0])], ["query", "id", "score"])
 
@@ -271,13 +291,12 @@ def search_coded(index: DataFrame, vectors: DataFrame, queries: DataFrame, k: in
             for batch in batches:
                 if len(batch):
                     own = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint8).reshape(len(batch), -1)
-                    score = codes.scores(tables, own)
-                    least = np.partition(score, -candidates, axis=0)[-candidates] if len(score) > candidates else np.full(len(names), -np.inf)
-                    at, query = np.nonzero(score >= least)
-                    found = score[at, query], batch["id"].take(pa.array(at)), query
-                    if held:
-                        found = np.concatenate([held[0], found[0]]), pa.concat_arrays([held[1], found[1]]), np.concatenate([held[2], found[2]])
-                    held = _best(*found, candidates)
+                    found = [held] if held else []
+                    for some in _slices(len(names), len(batch)):
+                        score = codes.scores(tables[some], own)
+                        at, query = _kept(score, candidates)
+                        found.append((score[at, query], batch["id"].take(pa.array(at)), query + some.start))
+                    held = _best(*_joined(found), candidates)
             if held:
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(held[2])), held[1], pa.array(held[0].astype(np.float64))], ["query", "id", "about"])
 

@@ -514,3 +514,21 @@ def test_merge_reads_contributions_twice_at_most(spark):
     lots = merge_lots(adapters.notices(raw), F.struct("fonte", "avviso.idAvviso"))
     plan = lots._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Scan") <= 2 and plan.count("Join") == 1
+
+
+def test_scores_of_a_task_are_bounded(spark):
+    """A block of queries times a batch was one matrix: 4096 x 10,000 scores."""
+    import numpy as np
+
+    from tarnweave.operators import vectors
+
+    runs = vectors._slices(4096, 10_000)
+    assert [i for s in runs for i in range(s.start, s.stop)] == list(range(4096))
+    assert max(s.stop - s.start for s in runs) * 10_000 <= vectors.CELLS
+    m = np.random.default_rng(3).normal(size=(5000, 4)).round(2)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "id long, embedding array<double>").repartition(2)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    got = {(r["query"], r["rank"]): r["id"] for r in vectors.nearest(df, df, 2).where("query % 50 = 0").collect()}
+    for q in range(0, 5000, 50):
+        score = np.round(u @ u[q], 12)
+        assert [got[q, 1], got[q, 2]] == np.lexsort((np.arange(5000), -score))[:2].tolist()
