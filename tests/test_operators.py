@@ -532,3 +532,14 @@ def test_scores_of_a_task_are_bounded(spark):
     for q in range(0, 5000, 50):
         score = np.round(u @ u[q], 12)
         assert [got[q, 1], got[q, 2]] == np.lexsort((np.arange(5000), -score))[:2].tolist()
+
+
+def test_stored_rows_are_read_by_column(spark):
+    """A checkpoint kept whole rows uncompressed."""
+    from tarnweave.plans.durable import stored
+
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) AS wide", "array(named_struct('a', id, 'b', CAST(NULL AS STRING))) AS s")
+    kept = stored(df)
+    assert kept.dtypes == df.dtypes and sorted(kept.collect()) == sorted(df.collect())
+    plan = kept.select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "wide" not in plan
