@@ -512,3 +512,25 @@ def test_empty_tables(spark, odd):
     assert qualityrules.ledger(text).count() == 0
     assert lmscore.score(none.select(F.col("doc_id").alias("row"), "text"), F.lit(True)).count() == 0
     assert langid.train(none) is None
+
+
+def test_stage_of_near_duplicates_leaves_texts_in_place(spark, tmp_path):
+    """Only texts of documents that go, or of repeated ids, are shuffled; of repeated ids the row of least hash stays."""
+    import random
+
+    import corpus_pipeline
+
+    rnd = random.Random(5)
+    text = lambda: " ".join("%032x" % rnd.getrandbits(128) for _ in range(100))
+    one = {i: text() for i in range(600)}
+    rows = [(i, t) for i, t in one.items()] + [(1000, one[3] + " more"), (1001, one[4]), (1002, text()), (1002, text()), (1003, "a b"), (1003, "a b"), (None, text()), (None, one[5])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    used = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    before = used()
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert used() - before < sum(len(t) for t in one.values())
+    assert sorted(i for i, _ in got if i is not None) == [*range(600), 1002, 1003]
+    assert all(t == one[i] for i, t in got if i in one) and sum(i is None for i, _ in got) == 2
+    both = docs.where("doc_id = 1002").selectExpr("text", "xxhash64(struct(doc_id, text)) AS h").orderBy("h").first().text
+    assert dict(got)[1002] == both
