@@ -543,3 +543,17 @@ def test_stored_rows_are_read_by_column(spark):
     assert kept.dtypes == df.dtypes and sorted(kept.collect()) == sorted(df.collect())
     plan = kept.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "wide" not in plan
+
+
+def test_tasks_over_awards_read_little_unless_the_session_says_otherwise(spark):
+    import __spark_entry__
+
+    key, run = "spark.sql.adaptive.advisoryPartitionSizeInBytes", __spark_entry__.queries()["jn14_ratio"]
+    try:
+        run(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(key, "64m") == "16m"
+        spark.conf.set(key, "32m")
+        run(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(key, "64m") == "32m"
+    finally:
+        spark.conf.unset(key)
