@@ -557,3 +557,15 @@ def test_tasks_over_awards_read_little_unless_the_session_says_otherwise(spark):
         assert spark.conf.get(key, "64m") == "32m"
     finally:
         spark.conf.unset(key)
+
+
+def test_releases_are_read_from_json_once(spark):
+    import __spark_entry__
+
+    key = "spark.sql.debug.maxToStringFields"
+    try:
+        spark.conf.set(key, "10000")
+        plan = __spark_entry__.queries()["prj21_release_rows"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset(key)
+    assert plan.count("from_json") == 1
