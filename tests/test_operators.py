@@ -569,3 +569,21 @@ def test_releases_are_read_from_json_once(spark):
     finally:
         spark.conf.unset(key)
     assert plan.count("from_json") == 1
+
+
+def test_a_crowd_gives_each_pair_once_from_few_keys(spark):
+    """Names of one length have half the square of their length of keys, and those that differ at two places one key in common."""
+    r = random.Random(2)
+    words = {f"Supplier#{i:09d}" for i in range(300)} | {"abc" + "".join(r.choice("ab𝄞") for _ in range(r.randrange(6, 10))) for _ in range(150)}
+    names = spark.createDataFrame([(i, x, x[:3]) for i, x in enumerate(sorted(words))], "id long, name string, k string")
+    crowd = names.where("k = 'Sup'")
+    keys = linkage._less_one(crowd).count() + linkage._less_two(crowd).count()
+    assert keys <= 300 * (18 * 19 // 2)
+    two = linkage._less_two(crowd)
+    differ = F.col("p").isin(17, 18) & (F.col("q") == 18)
+    assert two.where(differ).count() == 300
+    got = [tuple(x) for x in linkage._crowded(names, 2).collect()]
+    assert len(got) == len(set(got)) and all(x[0] < x[2] for x in got)
+    a, b = (names.select(F.col("id").alias(f"id{e}"), F.col("name").alias(f"name{e}"), "k") for e in ("", "2"))
+    near = a.join(b, "k").where("id < id2").where(F.levenshtein("name", "name2") <= 2).select("id", "name", "id2", "name2")
+    assert {tuple(x) for x in near.collect()} <= set(got)
