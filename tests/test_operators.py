@@ -587,3 +587,19 @@ def test_a_crowd_gives_each_pair_once_from_few_keys(spark):
     a, b = (names.select(F.col("id").alias(f"id{e}"), F.col("name").alias(f"name{e}"), "k") for e in ("", "2"))
     near = a.join(b, "k").where("id < id2").where(F.levenshtein("name", "name2") <= 2).select("id", "name", "id2", "name2")
     assert {tuple(x) for x in near.collect()} <= set(got)
+
+
+def test_rules_run_once(spark, tmp_path):
+    from tarnweave.operators import anomalies
+
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    lots = spark.createDataFrame([(x, "low") for x in range(6)], "lot long, severity string").repartition(2).mapInArrow(count, "lot long, severity string").repartition(2, "lot").distinct()
+    anomalies.run_rules({"x": lots, "y": lots.where("lot > 90")}, f"{tmp_path}/findings")
+    assert runs.value == 12  # each rule's rows once
+    assert {r.rule for r in spark.read.parquet(f"{tmp_path}/findings").collect()} == {"x"}
