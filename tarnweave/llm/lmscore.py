@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 from tarnweave.plans.durable import cut, release, small_batches
 
 from .langid import held_out
-from .tokens import slabs, words
+from .tokens import give_back, slabs, words
+
+give_back(8 << 20, 32 << 20)  # a batch's arrays of up to some MB come and go all the time
 
 BLOCK = 1 << 20
 STRIDE, DIM, CLASSES = 16, 16, 64
@@ -91,23 +93,40 @@ class Attention:
         s, t = np.arange(STRIDE)[:, None] + STRIDE, np.arange(2 * STRIDE)[None]
         self.mask = np.where(t <= s, np.float32(0), np.float32(-1e9))
 
-    def forward(self, x: np.ndarray, live: np.ndarray):
-        """Log class probabilities of the second half of windows (n, 2 * STRIDE) of ids."""
+    def _read(self, x: np.ndarray, live: np.ndarray):
+        """Unscaled log class probabilities, with what they came from."""
         p = self.p
-        h = p["E"][x] + p["P"]
+        h = p["E"].take(x, 0)
+        h += p["P"]
         q, k, v = _times(h[:, STRIDE:], p["Q"]), _times(h, p["K"]), _times(h, p["V"])
-        a = q @ k.transpose(0, 2, 1) * np.float32(DIM**-0.5) + self.mask + np.where(live, np.float32(0), np.float32(-1e9))[:, None]
+        a = q @ k.transpose(0, 2, 1)
+        a *= np.float32(DIM**-0.5)
+        a += self.mask
+        a += np.where(live, np.float32(0), np.float32(-1e9))[:, None]
         a -= a.max(2, keepdims=True)
         np.exp(a, out=a)
-        a /= a.sum(2, keepdims=True)
-        y = h[:, STRIDE:] + a @ v
-        z = _times(y, p["U"]) + p["b"]
+        a *= 1 / _sums_of(a)
+        y = a @ v
+        y += h[:, STRIDE:]
+        z = _times(y, p["U"])
+        z += p["b"]
         z -= z.max(2, keepdims=True)
+        return z, (h, q, k, v, a, y)
+
+    def forward(self, x: np.ndarray, live: np.ndarray):
+        """Log class probabilities of the second half of windows (n, 2 * STRIDE) of ids."""
+        z, rest = self._read(x, live)
         share = np.exp(z)
-        total = share.sum(2, keepdims=True)
+        total = _sums_of(share)
         z -= np.log(total)
-        share /= total
-        return z, (h, q, k, v, a, y, share)
+        share *= 1 / total
+        return z, (*rest, share)
+
+    def logs_of(self, x: np.ndarray, live: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probabilities of the target classes only."""
+        z, _ = self._read(x, live)
+        own = z.reshape(-1)[np.arange(target.size) * CLASSES + target.ravel()].reshape(target.shape)
+        return own - np.log(_sums_of(np.exp(z, out=z))[..., 0])
 
     def partials(self, x, live, target, weight):
         """Mean loss of the targets, the gradients but that of the embeddings, and the ids read with theirs."""
@@ -118,12 +137,12 @@ class Attention:
         loss = -(z.ravel()[at] * weight.ravel()).sum() / n
         dz.reshape(-1)[at] -= 1
         dz *= (weight / n)[..., None]
-        g = {"U": _outer(y, dz), "b": dz.sum((0, 1))}
+        g = {"U": _outer(y, dz), "b": np.ones(target.size, dz.dtype) @ dz.reshape(-1, CLASSES)}
         dy = _times(dz, p["U"].T)
         ds = dy @ v.transpose(0, 2, 1)
         dv = a.transpose(0, 2, 1) @ dy
         ds *= a
-        ds -= a * ds.sum(2, keepdims=True)
+        ds -= a * _sums_of(ds)
         ds *= np.float32(DIM**-0.5)
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
         dh = _times(dk, p["K"].T) + _times(dv, p["V"].T)
@@ -131,10 +150,10 @@ class Attention:
         g["Q"] = _outer(h[:, STRIDE:], dq)
         g["K"], g["V"] = _outer(h, dk), _outer(h, dv)
         g["P"] = dh.sum(0)
-        order = np.argsort(x, axis=None, kind="stable")
+        order = np.argsort(x.astype(np.uint16), axis=None, kind="stable")
         ids = x.ravel()[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        return loss, g, ids[first], np.add.reduceat(dh.reshape(-1, DIM)[order], first, axis=0)
+        return loss, g, ids[first], np.add.reduceat(dh.reshape(-1, DIM).take(order, 0), first, axis=0)
 
     def gradient(self, x, live, target, weight):
         """Mean loss of the targets and the gradient of every parameter."""
@@ -165,7 +184,8 @@ class Adam:
                 self.move(k, slice(None), g[k])
 
     def move(self, k: str, at, g: np.ndarray) -> None:
-        m, s = 0.9 * self.m[k][at] + 0.1 * g, 0.99 * self.s[k][at] + 0.01 * g * g
+        some = (lambda x: x.take(at, 0)) if isinstance(at, np.ndarray) else (lambda x: x[at])
+        m, s = 0.9 * some(self.m[k]) + 0.1 * g, 0.99 * some(self.s[k]) + 0.01 * g * g
         self.m[k][at], self.s[k][at] = m, s
         self.net.p[k][at] -= self.rate / (1 - 0.9**self.t) * m / (np.sqrt(s / (1 - 0.99**self.t)) + 1e-8)
 
@@ -175,6 +195,11 @@ def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
 
 
+def _sums_of(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, which is kept."""
+    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], x.dtype)).reshape(*x.shape[:-1], 1)
+
+
 def _outer(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1]).T @ y.reshape(-1, y.shape[-1])
 
@@ -214,10 +239,10 @@ class Model:
         out = np.empty(len(ids))
         x, live, target, where = windows(ids, at)
         for i in range(0, len(x), batch):
-            z, _ = self.net.forward(x[i : i + batch], live[i : i + batch])
             t, w = target[i : i + batch], where[i : i + batch]
-            a, b = np.nonzero(w >= 0)
-            out[w[a, b]] = z[a, b, self.of[t[a, b]]] + self.share[t[a, b]]
+            own = self.net.logs_of(x[i : i + batch], live[i : i + batch], self.of.take(t)) + self.share.take(t)
+            inside = w >= 0
+            out[w[inside]] = own[inside]
         return out
 
 

@@ -534,3 +534,12 @@ def test_stage_of_near_duplicates_leaves_texts_in_place(spark, tmp_path):
     assert all(t == one[i] for i, t in got if i in one) and sum(i is None for i, _ in got) == 2
     both = docs.where("doc_id = 1002").selectExpr("text", "xxhash64(struct(doc_id, text)) AS h").orderBy("h").first().text
     assert dict(got)[1002] == both
+
+
+def test_logs_of_targets_are_those_of_all_classes():
+    m = lmscore.Model(np.random.default_rng(2).integers(0, 90, lmscore.IDS))
+    ids = np.random.default_rng(3).integers(0, lmscore.IDS, 300)
+    x, live, target, _ = lmscore.windows(ids, np.array([0, 41, 41, 300]))
+    z, _ = m.net.forward(x, live)
+    every = np.take_along_axis(z, m.of[target][..., None], 2)[..., 0]
+    assert np.allclose(m.net.logs_of(x, live, m.of[target]), every, atol=1e-5)
