@@ -603,3 +603,13 @@ def test_rules_run_once(spark, tmp_path):
     anomalies.run_rules({"x": lots, "y": lots.where("lot > 90")}, f"{tmp_path}/findings")
     assert runs.value == 12  # each rule's rows once
     assert {r.rule for r in spark.read.parquet(f"{tmp_path}/findings").collect()} == {"x"}
+
+
+def test_notices_are_read_as_json_once_a_pass(spark):
+    """A condition on an exploded list must not make and read the JSON again below it."""
+    from tarnweave.plans.canonical import raw_notices, raw_releases
+    from tarnweave.plans.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for rows in (adapters.notices(raw_notices(t)), adapters.releases(raw_releases(t))):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
