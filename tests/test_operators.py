@@ -613,3 +613,13 @@ def test_notices_are_read_as_json_once_a_pass(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     for rows in (adapters.notices(raw_notices(t)), adapters.releases(raw_releases(t))):
         assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_release_frames_read_their_own_columns(spark):
+    """Flat rows of releases stand as compressed columns; a frame decodes those that it names."""
+    from tarnweave.plans.graphs import _frames
+    from tarnweave.plans.registry import Tables
+
+    frames = _frames(Tables(spark, "/root/testdata/sf0.001"))
+    plan = frames["RIGUARDA"]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<idAvviso:string,idAppalto:string>" in plan
